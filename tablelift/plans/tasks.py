@@ -36,7 +36,7 @@ def plan_tasks(
             "table",
             "chunk_id",
             lo.alias("block_lo"),
-            F.least(lo + F.col("__per"), F.col("__blocks")).alias("block_hi"),
+            F.when(lo.isNotNull(), F.least(lo + F.col("__per"), F.col("__blocks"))).alias("block_hi"),
             F.when(F.col("chunk_id").isNull(), f"data.{extension}")
             .otherwise(F.format_string(f"data_chunk_%04d.{extension}", F.col("chunk_id")))
             .alias("file_name"),

@@ -6,7 +6,6 @@ import json
 from dataclasses import asdict
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +33,16 @@ def schema_rows(spec: TableSpec, row_hash: bool = False) -> list[tuple[str, str,
     return rows
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """A path with its file system, whichever kind of storage it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete_manifest(spark: SparkSession, place: TableDir) -> None:
     """Forget an earlier export before its files are replaced."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(place.manifest)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path, fs = _hadoop(spark, place.manifest)
+    fs.delete(path, True)
 
 
 def write_manifest(
@@ -66,12 +71,11 @@ def write_manifest(
 
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:
     """All completion records below an output folder; empty where there is none yet."""
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).json(f"{out.rstrip('/')}/*/*/config/manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    pattern = f"{out.rstrip('/')}/*/*/config/manifest"
+    path, fs = _hadoop(spark, pattern)
+    if not fs.globStatus(path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).json(pattern)
 
 
 def manifest_checks(manifest: DataFrame) -> DataFrame:
