@@ -66,7 +66,7 @@ SUMMED = {
 
 def total(c: str) -> str:
     name, _, kind = c.partition(":")
-    inner = f"CAST({name} AS DECIMAL(28,9))" if kind else name
+    inner = f"CAST({name} AS DECIMAL(28,6))" if kind else name
     return f"CAST(SUM({inner}) AS VARCHAR)"
 
 

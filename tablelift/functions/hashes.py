@@ -39,4 +39,4 @@ def key_number(parts: Sequence[tuple[Column, T.DataType]]) -> Column:
     """A 32-bit number per key, typed wide enough to be summed over any row count."""
     texts = [F.coalesce(canonical_text(c, t), F.lit("")) for c, t in parts]
     text = texts[0] if len(texts) == 1 else F.concat_ws("_", *texts)
-    return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("decimal(20,0)")
+    return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long").cast("decimal(20,0)")

@@ -39,9 +39,7 @@ def export_frame(spark: SparkSession, source: Source, spec: TableSpec, options:
     if chunked and parallel > 1:
         df = scan_chunked(spark, source, spec, spec.pk_cols[0], parallel, options.where)
     else:
-        df = scan(spark, source, spec, options.where)
-        if options.row_hash or options.fmt == "csv":
-            df = spread(df, spark.sparkContext.defaultParallelism)
+        df = spread(scan(spark, source, spec, options.where), spark.sparkContext.defaultParallelism)
     df = apply_types(physical(df, spec), spec, options.string_nulls)
     return with_row_hash(df, spec) if options.row_hash else df
 

@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift.functions.text import plain_decimal
+from tablelift.functions.text import micros_of, plain_decimal
 from tablelift.operators.project import field_type, quoted
 from tablelift.operators.rowhash import key_hash_total
 from tablelift.plans.spec import ROW_HASH, SUMMED_TARGETS, TableSpec
 
 ROW_COUNT, PK_HASH, SUM = "ROW_COUNT", "PK_HASH", "SUM"
 
-# Floating numbers are added as decimals: the total then does not depend on row order.
-_SUMMAND = T.DecimalType(28, 9)
+# Floating numbers are added in millionths: the total then does not depend on row order.
+_BIG, _TOTAL = "decimal(38,6)", "decimal(38,6)"
 
 
 def summed_columns(df: DataFrame, spec: TableSpec) -> list[str]:
@@ -32,11 +32,16 @@ def sum_text(c: Column, dtype: T.DataType) -> Column:
         return F.try_sum(c.cast("decimal(20,0)")).cast("string")
     if isinstance(dtype, T.DecimalType):
         return plain_decimal(F.try_sum(c), dtype.scale)
-    exact = c.try_cast(_SUMMAND)
-    # Values that no decimal can hold (NaN, infinite, huge) need floating addition.
-    return F.when(F.count(exact) == F.count(c), plain_decimal(F.try_sum(exact), _SUMMAND.scale)).otherwise(
-        F.sum(c.try_cast("double")).cast("string")
-    )
+    number = c.try_cast("double")
+    micros = micros_of(number)
+    # Only numbers too big for millionths in 64 bits take the slow way over a decimal.
+    big = F.when(micros.isNull(), number.try_cast(_BIG))
+    total = F.coalesce(F.try_sum(micros.cast("decimal(20,0)")) / F.lit(1_000_000), F.lit(0)).cast(_TOTAL) + F.coalesce(
+        F.try_sum(big), F.lit(0)
+    ).cast(_TOTAL)
+    held = F.count(micros) + F.count(big)
+    # What no decimal can hold (NaN, infinite, beyond 32 digits) needs floating addition.
+    return F.when(held < F.count(number), F.sum(number).cast("string")).when(held > 0, total.cast("string"))
 
 
 def statistics(df: DataFrame, spec: TableSpec, with_pk_hash: bool) -> list[tuple[str, str | None, Column]]:

@@ -51,12 +51,19 @@ def map_types(columns: DataFrame, number_fallback: str = "string") -> DataFrame:
     is the Spark type of a NUMBER without any precision.
     """
     raw = F.upper(F.trim("data_type"))
-    base = F.trim(F.regexp_replace(F.regexp_replace(raw, r"\([^)]*\)", " "), r"\s+", " "))
-    precision = _digits(columns, "data_precision", raw, r"\(\s*(\d+)")
-    scale = _digits(columns, "data_scale", raw, r",\s*(-?\d+)\s*\)")
+    # Parsed once, in a projection of its own; the rules below only look at the results.
+    parsed = columns.withColumns(
+        {
+            "__raw": raw,
+            "__base": F.trim(F.regexp_replace(raw, r"\([^)]*\)", "")),
+            "__precision": _digits(columns, "data_precision", raw, r"\(\s*(\d+)"),
+            "__scale": _digits(columns, "data_scale", raw, r",\s*(-?\d+)\s*\)"),
+        }
+    )
+    base, precision = F.col("__base"), F.col("__precision")
     # A precision without a scale means scale zero; neither means an open NUMBER.
     p = F.coalesce(precision, F.lit(0))
-    s = F.coalesce(scale, F.when(precision > 0, 0).otherwise(_UNDEFINED_SCALE))
+    s = F.coalesce("__scale", F.when(precision > 0, 0).otherwise(_UNDEFINED_SCALE))
 
     undefined = (s == _UNDEFINED_SCALE) & (p == 0)
     fits_long = (s == 0) & p.between(1, _LONG_DIGITS)
@@ -76,31 +83,32 @@ def map_types(columns: DataFrame, number_fallback: str = "string") -> DataFrame:
         F.when(undefined, number_fallback)
         .when(s == _UNDEFINED_SCALE, "double")
         .when(fits_long, "bigint")
-        .when(digits <= _MAX_DIGITS,
-              F.format_string("decimal(%d,%d)", digits, F.greatest(s, F.lit(0))))
+        .when(
+            digits <= _MAX_DIGITS,
+            F.concat(
+                F.lit("decimal("), digits.cast("string"), F.lit(","),
+                F.greatest(s, F.lit(0)).cast("string"), F.lit(")"),
+            ),
+        )
         .otherwise("string")
     )
 
     marked = reduce(
-        lambda rest, rule: F.when(raw.rlike(rule[0]), rule[1]).otherwise(rest),
+        lambda rest, rule: F.when(F.col("__raw").rlike(rule[0]), rule[1]).otherwise(rest),
         reversed(MARKED_TYPES),
         F.lit(None).cast("string"),
     )
-    plain = reduce(
-        lambda rest, kind: F.when(base.isin(*BASE_TYPES[kind]), kind).otherwise(rest),
-        reversed(BASE_TYPES),
-        F.lit("STRING"),
-    )
-    is_number = marked.isNull() & (base == "NUMBER")
+    by_base = F.create_map(*[F.lit(x) for kind, names in BASE_TYPES.items() for n in names for x in (n, kind)])
     by_target = F.create_map(*[F.lit(x) for kv in SPARK_TYPES.items() for x in kv])
+    is_number = base == "NUMBER"
+    target = F.coalesce(
+        marked, F.when(is_number, number_target), by_base[base], F.lit("STRING")
+    )
+    spark_type = F.when(is_number, number_spark).otherwise(by_target[F.col("target_type")])
     return (
-        columns.withColumn(
-            "target_type", F.when(is_number, number_target).otherwise(F.coalesce(marked, plain))
-        )
-        .withColumn(
-            "spark_type", F.when(is_number, number_spark).otherwise(by_target[F.col("target_type")])
-        )
-        .withColumn("is_transformed", raw.rlike(TRANSFORMED))
+        parsed.withColumns({"target_type": target, "is_transformed": F.col("__raw").rlike(TRANSFORMED)})
+        .withColumn("spark_type", spark_type)
+        .drop("__raw", "__base", "__precision", "__scale")
     )
 
 

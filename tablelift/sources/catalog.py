@@ -136,7 +136,7 @@ def index_cols_of(indexes: DataFrame) -> DataFrame:
 
 def _names(rows: DataFrame, alias: str) -> DataFrame:
     # A database limits the columns of one table, so these lists stay short.
-    ordered = F.array_sort(F.collect_list(F.struct("position", "column_name")))
+    ordered = F.sort_array(F.collect_list(F.struct("position", "column_name")))
     return rows.groupBy(*TABLE).agg(F.transform(ordered, lambda x: x["column_name"]).alias(alias))
 
 
@@ -177,7 +177,7 @@ def discover(
     """
     detail = columns_of(columns, comments, number_fallback)
     fields = [c for c in detail.columns if c not in (*TABLE, "position")]
-    ordered = F.array_sort(F.collect_list(F.struct("position", *fields)))
+    ordered = F.sort_array(F.collect_list(F.struct("position", *fields)))
     nested = detail.groupBy(*TABLE).agg(
         F.transform(ordered, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("columns")
     )

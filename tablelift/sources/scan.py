@@ -111,14 +111,15 @@ def scan_chunked(
     return _finish(_load(spark, source, spec, predicates), spec, where)
 
 
-def spread(df: DataFrame, tasks: int, max_bytes_per_task: int = 128 * 1024 * 1024) -> DataFrame:
+def spread(df: DataFrame, tasks: int, max_task_bytes: int = 128 << 20, min_task_bytes: int = 1 << 20) -> DataFrame:
     """Give a small input enough tasks for CPU-heavy projections.
 
-    A table that arrives in fewer pieces than there are cores is redistributed;
-    the size estimate keeps this away from anything large, which Spark already
-    splits into many tasks.
+    One row group is read by one task, so a table in few files can leave most
+    cores idle. Its rows are dealt out anew; the size estimate keeps this away
+    from tiny tables and from anything large, which Spark already splits well.
     """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size <= tasks * max_bytes_per_task and 0 < len(df.inputFiles()) < tasks:
-        return df.repartition(tasks)
-    return df
+    if size > tasks * max_task_bytes or not 0 < len(df.inputFiles()) < tasks:
+        return df
+    wanted = min(tasks, size // min_task_bytes)
+    return df.repartition(wanted) if wanted > 1 else df
