@@ -51,19 +51,19 @@ def map_types(columns: DataFrame, number_fallback: str = "string") -> DataFrame:
     is the Spark type of a NUMBER without any precision.
     """
     raw = F.upper(F.trim("data_type"))
+    precision = _digits(columns, "data_precision", raw, r"\(\s*(\d+)")
+    scale = _digits(columns, "data_scale", raw, r",\s*(-?\d+)\s*\)")
     # Parsed once, in a projection of its own; the rules below only look at the results.
+    # A precision without a scale means scale zero; neither means an open NUMBER.
     parsed = columns.withColumns(
         {
             "__raw": raw,
             "__base": F.trim(F.regexp_replace(raw, r"\([^)]*\)", "")),
-            "__precision": _digits(columns, "data_precision", raw, r"\(\s*(\d+)"),
-            "__scale": _digits(columns, "data_scale", raw, r",\s*(-?\d+)\s*\)"),
+            "__p": F.coalesce(precision, F.lit(0)),
+            "__s": F.coalesce(scale, F.when(precision > 0, 0).otherwise(_UNDEFINED_SCALE)),
         }
     )
-    base, precision = F.col("__base"), F.col("__precision")
-    # A precision without a scale means scale zero; neither means an open NUMBER.
-    p = F.coalesce(precision, F.lit(0))
-    s = F.coalesce("__scale", F.when(precision > 0, 0).otherwise(_UNDEFINED_SCALE))
+    base, p, s = F.col("__base"), F.col("__p"), F.col("__s")
 
     undefined = (s == _UNDEFINED_SCALE) & (p == 0)
     fits_long = (s == 0) & p.between(1, _LONG_DIGITS)
@@ -108,10 +108,11 @@ def map_types(columns: DataFrame, number_fallback: str = "string") -> DataFrame:
     return (
         parsed.withColumns({"target_type": target, "is_transformed": F.col("__raw").rlike(TRANSFORMED)})
         .withColumn("spark_type", spark_type)
-        .drop("__raw", "__base", "__precision", "__scale")
+        .drop("__raw", "__base", "__p", "__s")
     )
 
 
 def _digits(columns: DataFrame, name: str, raw: Column, pattern: str) -> Column:
-    in_text = F.regexp_extract(raw, pattern, 1).try_cast("int")
+    # A cast that fails on every row is slow, so the empty match is taken out first.
+    in_text = F.nullif(F.regexp_extract(raw, pattern, 1), F.lit("")).cast("int")
     return F.coalesce(F.col(name).cast("int"), in_text) if name in columns.columns else in_text
