@@ -9,6 +9,9 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablelift.session import tune
+from tablelift.sources.scan import spread
+
 # Columns of every table in the derived dictionary (fixed values):
 # name, type, precision, scale, virtual expression, hidden, made by a user, comment.
 DICTIONARY_COLUMNS = [
@@ -25,7 +28,13 @@ DICTIONARY_COLUMNS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table for CPU-heavy work; the columns it needs are chosen before rows move."""
+    df = table(spark, sf_dir, name)
+    return spread(df.select(*columns) if columns else df, spark.sparkContext.defaultParallelism)
 
 
 @cache

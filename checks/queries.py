@@ -7,14 +7,14 @@ from functools import reduce
 
 import tablelift as tl
 from checks.frames import (
-    completion_records, dictionary, scratch, table, task_results, task_tables,
+    completion_records, dictionary, scratch, spread_table, table, task_results, task_tables,
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tablelift.functions import rewrites
 from tablelift.functions.widths import columnar_bytes, text_bytes
 from tablelift.operators.results import audit, pending, results_ranked, run_summary, table_results
-from tablelift.operators.validate import validation_record
+from tablelift.operators.validate import summed_columns, validation_record
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir
 from tablelift.sinks.publish import logical_view, with_day
@@ -168,7 +168,7 @@ def apply_types(spark, sf_dir):
 
 @query
 def csv_text(spark, sf_dir):
-    return tl.csv_text(table(spark, sf_dir, "lineitem"))
+    return tl.csv_text(spread_table(spark, sf_dir, "lineitem"))
 
 
 @query
@@ -241,19 +241,19 @@ def partition_by_day(spark, sf_dir):
 
 @query
 def col_hash(spark, sf_dir):
-    return tl.column_hashes(table(spark, sf_dir, "lineitem"))
+    return tl.column_hashes(spread_table(spark, sf_dir, "lineitem"))
 
 
 @query
 def row_hash(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     spec = TableSpec.from_frame(orders, "TPC", "orders")
     return tl.with_row_hash(tl.apply_types(tl.physical(orders, spec), spec), spec)
 
 
 @query
 def row_hash_wide(spark, sf_dir):
-    wide = table(spark, sf_dir, "lineitem").select(
+    wide = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select(
         "l_linenumber", *[(F.col("l_orderkey") + i).alias(f"c{i}") for i in range(60)]
     )
     spec = TableSpec.from_frame(wide.drop("l_linenumber"), "TPC", "wide")
@@ -263,7 +263,7 @@ def row_hash_wide(spark, sf_dir):
 
 @query
 def row_hash_documents(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     spec = TableSpec.from_frame(documents, "TPC", "documents")
     return tl.with_row_hash(documents, spec).select("doc_id", "ROW_HASH")
 
@@ -276,7 +276,7 @@ def pk_hash(spark, sf_dir):
     }
     return _stacked(
         [
-            tl.pk_hash(table(spark, sf_dir, t), k).withColumn("table_name", F.lit(t))
+            tl.pk_hash(spread_table(spark, sf_dir, t, *k), k).withColumn("table_name", F.lit(t))
             for t, k in keys.items()
         ]
     )
@@ -284,7 +284,7 @@ def pk_hash(spark, sf_dir):
 
 @query
 def duplicate_rows(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("text", "lang")
+    documents = spread_table(spark, sf_dir, "documents", "text", "lang")
     return tl.duplicates(tl.with_row_hash(documents, TableSpec.from_frame(documents, "TPC", "documents")))
 
 
@@ -297,12 +297,12 @@ VALIDATED = {
 
 
 def _all_stats(spark, sf_dir):
-    return _stacked(
-        [
-            tl.validate(table(spark, sf_dir, t), _spec(spark, sf_dir, t, pk_cols=k), with_pk_hash=True)
-            for t, k in VALIDATED.items()
-        ]
-    )
+    def stats(name, keys):
+        spec = _spec(spark, sf_dir, name, pk_cols=keys)
+        needed = dict.fromkeys([*keys, *summed_columns(table(spark, sf_dir, name), spec)])
+        return tl.validate(spread_table(spark, sf_dir, name, *needed), spec, with_pk_hash=True)
+
+    return _stacked([stats(t, k) for t, k in VALIDATED.items()])
 
 
 @query
@@ -318,7 +318,7 @@ def validate_sums(spark, sf_dir):
 @query
 def logical_bytes(spark, sf_dir):
     def sizes(name):
-        df = table(spark, sf_dir, name)
+        df = spread_table(spark, sf_dir, name)
         text = tl.csv_text(df)
         columnar = df.agg(F.count(F.lit(1)).alias("rows"), columnar_bytes(df.schema).alias("parquet_bytes"))
         return columnar.select(
@@ -331,7 +331,7 @@ def logical_bytes(spark, sf_dir):
 
 @query
 def reconcile_stats(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = spread_table(spark, sf_dir, "lineitem")
     spec = TableSpec.from_frame(lineitem, "TPC", "lineitem", pk_cols=["l_orderkey", "l_linenumber"])
     target = lineitem.withColumn(
         "l_tax", F.when(F.col("l_returnflag") == "A", 0.0).otherwise(F.col("l_tax"))
@@ -341,7 +341,7 @@ def reconcile_stats(spark, sf_dir):
 
 @query
 def row_diff(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     spec = TableSpec.from_frame(orders, "TPC", "orders")
     changed = orders.where("o_orderstatus <> 'P'").withColumn(
         "o_totalprice",

@@ -22,6 +22,7 @@ from tablelift.operators.rowhash import with_row_hash
 from tablelift.operators.validate import reconcile, statistics, validate
 from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import TableSpec
+from tablelift.session import tune
 from tablelift.sinks.files import TableDir, read_export, write_csv_text, write_parquet
 from tablelift.sinks.manifest import delete_manifest, manifest_stats, read_manifest, write_manifest
 from tablelift.sources.scan import JdbcSource, Source, scan, scan_chunked, spread
@@ -34,6 +35,7 @@ _MAX_JOBS = 64
 
 def export_frame(spark: SparkSession, source: Source, spec: TableSpec, options: ExportOptions) -> DataFrame:
     """The rows an export writes: scanned, rewritten, typed and hashed. No shuffle for large tables."""
+    tune(spark)
     parallel = options.parallel or spark.sparkContext.defaultParallelism
     chunked = isinstance(source, JdbcSource) and spec.pk_cols and spec.size_gb > options.chunk_threshold_gb
     if chunked and parallel > 1:

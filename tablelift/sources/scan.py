@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelift.operators.project import quoted
 from tablelift.plans.spec import TableSpec
@@ -111,15 +112,17 @@ def scan_chunked(
     return _finish(_load(spark, source, spec, predicates), spec, where)
 
 
-def spread(df: DataFrame, tasks: int, max_task_bytes: int = 128 << 20, min_task_bytes: int = 1 << 20) -> DataFrame:
+def spread(df: DataFrame, tasks: int, max_task_bytes: int = 128 << 20, min_task_bytes: int = 1 << 16) -> DataFrame:
     """Give a small input enough tasks for CPU-heavy projections.
 
     One row group is read by one task, so a table in few files can leave most
-    cores idle. Its rows are dealt out anew; the size estimate keeps this away
-    from tiny tables and from anything large, which Spark already splits well.
+    cores idle. Its rows are dealt out anew, by value, so that a repeated task
+    deals them the same way; the size estimate keeps this away from tiny tables
+    and from anything large, which Spark already splits well.
     """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size > tasks * max_task_bytes or not 0 < len(df.inputFiles()) < tasks:
         return df
     wanted = min(tasks, size // min_task_bytes)
-    return df.repartition(wanted) if wanted > 1 else df
+    values = [quoted(f.name) for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return df.repartition(wanted, F.xxhash64(*values)) if wanted > 1 and values else df
