@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tablelift.functions import rewrites
 from tablelift.functions.widths import columnar_bytes, text_bytes
-from tablelift.operators.results import audit, pending, results_ranked, run_summary, table_results
+from tablelift.operators import results as reports
 from tablelift.operators.validate import summed_columns, validation_record
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir
@@ -356,39 +356,30 @@ def row_diff(spark, sf_dir):
 
 
 def _results(spark, sf_dir):
-    return table_results(task_results(spark, sf_dir), task_tables(spark, sf_dir))
+    return reports.table_results(task_results(spark, sf_dir), task_tables(spark, sf_dir))
 
 
 @query
-def table_results_(spark, sf_dir):
+def table_results(spark, sf_dir):
     return _results(spark, sf_dir).withColumn("error", F.coalesce("error", F.lit("-")))
 
 
-QUERIES["table_results"] = QUERIES.pop("table_results_")
-
-
 @query
-def run_report(spark, sf_dir):
-    summary = run_summary(_results(spark, sf_dir))
+def run_summary(spark, sf_dir):
+    summary = reports.run_summary(_results(spark, sf_dir))
     return summary.withColumns(
         {c: F.round(c, 6) for c in ("total_duration_seconds", "total_mb_per_sec")}
     )
 
 
-QUERIES["run_summary"] = QUERIES.pop("run_report")
-
-
 @query
-def ranked(spark, sf_dir):
-    return results_ranked(_results(spark, sf_dir)).select("schema", "table", "seconds", "status")
-
-
-QUERIES["results_ranked"] = QUERIES.pop("ranked")
+def results_ranked(spark, sf_dir):
+    return reports.results_ranked(_results(spark, sf_dir)).select("schema", "table", "seconds", "status")
 
 
 @query
 def export_audit(spark, sf_dir):
-    rows = audit(_results(spark, sf_dir), completion_records(spark, sf_dir))
+    rows = reports.audit(_results(spark, sf_dir), completion_records(spark, sf_dir))
     return rows.withColumn("error", F.coalesce("error", F.lit("-"))).withColumn(
         "validated_rows", F.coalesce("validated_rows", F.lit(-1))
     )
@@ -396,7 +387,7 @@ def export_audit(spark, sf_dir):
 
 @query
 def resume_pending(spark, sf_dir):
-    return pending(task_tables(spark, sf_dir), completion_records(spark, sf_dir))
+    return reports.pending(task_tables(spark, sf_dir), completion_records(spark, sf_dir))
 
 
 # --- whole jobs --------------------------------------------------------------

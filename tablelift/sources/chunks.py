@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,12 +59,18 @@ def range_predicates(key: str, cuts: Sequence[object]) -> list[str]:
     """Disjoint SQL predicates that together match every row, NULL keys included."""
     if not cuts:
         return ["1=1"]
-    texts = [c if isinstance(c, str) else str(c) for c in cuts]
+    texts = [_literal(c) for c in cuts]
     first = f"({key} < {texts[0]} OR {key} IS NULL)"
     middle = [f"({key} >= {a} AND {key} < {b})" for a, b in zip(texts, texts[1:])]
     return [first, *middle, f"({key} >= {texts[-1]})"]
 
 
+def _literal(value: object) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    return f"DATE '{value}'" if isinstance(value, date) else str(value)
+
+
 def split_predicates(predicates: Sequence[str], salt: str, ways: int) -> list[str]:
     """Cut every chunk ``ways`` times by a non-negative source expression.
 
