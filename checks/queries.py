@@ -19,7 +19,7 @@ from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir
 from tablelift.sinks.publish import logical_view, with_day
 from tablelift.sources.catalog import drop_tables, keep_tables, list_tables, name_set
-from tablelift.sources.chunks import with_chunk
+from tablelift.sources.chunks import with_bounds, with_chunk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,8 +66,9 @@ def scan_where(spark, sf_dir):
 
 @query
 def scan_chunks_union(spark, sf_dir):
-    rows = with_chunk(table(spark, sf_dir, "lineitem"), "l_orderkey", CHUNKS)
-    return rows.select("chunk_id", "lo", "hi", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    lineitem = table(spark, sf_dir, "lineitem")
+    rows = with_chunk(lineitem, "l_orderkey", CHUNKS)
+    return with_bounds(rows, lineitem, "l_orderkey", CHUNKS).select("chunk_id", "lo", "hi", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
 @query

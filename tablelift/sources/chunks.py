@@ -9,37 +9,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def chunk_width(lo: Column, hi: Column, n: int) -> Column:
-    return F.greatest(F.lit(1).cast("long"), F.ceil((hi - lo + 1) / F.lit(n)))
+def _div(a: Column, b: Column) -> Column:
+    # Whole-number division: keys beyond 2^53 keep all their digits.
+    return F.call_function("div", a, b)
+
+
+def _ends(df: DataFrame, key: str, n: int) -> tuple[Column, Column]:
+    """First key and chunk width, as scalar subqueries over the key column alone."""
+    lo, hi = F.min(key).cast("long"), F.max(key).cast("long")
+    width = F.greatest(F.lit(1).cast("long"), _div(hi - lo + n, F.lit(n).cast("long")))
+    ends = df.agg(lo.alias("lo"), width.alias("width"))
+    return ends.select("lo").scalar(), ends.select("width").scalar()
 
 
 def with_chunk(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Add the chunk number, its first key and the key after its last one.
+    """Add the chunk number of every row: ``n`` key ranges of equal width.
 
-    ``n`` ranges of equal width between the smallest and the largest key, which
-    come from a scalar subquery over the key column alone. Rows without a key
-    belong to chunk 0.
+    Rows without a key belong to chunk 0.
     """
-    ends = df.agg(F.min(key).cast("long").alias("lo"), F.max(key).cast("long").alias("hi"))
-    lo = ends.select("lo").scalar()
-    width = ends.select(chunk_width(F.col("lo"), F.col("hi"), n)).scalar()
-    number = F.floor((F.col(key).cast("long") - lo) / width)
-    return (
-        df.withColumn("chunk_id", F.coalesce(number, F.lit(0)))
-        .withColumn("lo", lo + F.col("chunk_id") * width)
-        .withColumn("hi", F.col("lo") + width)
-    )
+    lo, width = _ends(df, key, n)
+    return df.withColumn("chunk_id", F.coalesce(_div(F.col(key).cast("long") - lo, width), F.lit(0)))
+
+
+def with_bounds(chunks: DataFrame, df: DataFrame, key: str, n: int) -> DataFrame:
+    """Add the first key of each chunk and the key after its last one."""
+    lo, width = _ends(df, key, n)
+    first = lo + F.col("chunk_id") * width
+    return chunks.withColumns({"lo": first, "hi": first + width})
 
 
 def chunk_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
     """(chunk_id, lo, hi, rows) of the non-empty chunks; ``hi`` is exclusive."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    return (
-        with_chunk(df.select(key), key, n)
-        .groupBy("chunk_id", "lo", "hi")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    keys = df.select(key)
+    counts = with_chunk(keys, key, n).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("rows"))
+    return with_bounds(counts, keys, key, n).select("chunk_id", "lo", "hi", "rows")
 
 
 def balanced_cuts(df: DataFrame, key: str, n: int) -> list:

@@ -18,6 +18,13 @@ def test_bounds_against_brute_force(spark):
     assert all((r["lo"], r["hi"]) == (3 + r["chunk_id"] * width, 3 + (r["chunk_id"] + 1) * width) for r in got)
 
 
+def test_keys_beyond_double_precision(spark):
+    base = 2**60
+    df = spark.range(8).select((F.col("id") + base).alias("k"))
+    got = sorted(tuple(r) for r in chunk_bounds(df, "k", 4).collect())
+    assert got == [(i, base + 2 * i, base + 2 * i + 2, 2) for i in range(4)]
+
+
 def test_more_chunks_than_keys(spark):
     df = spark.range(3).toDF("k")
     assert sorted(r["rows"] for r in chunk_bounds(df, "k", 50).collect()) == [1, 1, 1]
