@@ -56,17 +56,44 @@ def write_manifest(
     seconds: float,
 ) -> None:
     """Record a finished export. Call it only after the data files are committed."""
-    sums = [(c, m, v) for (m, c), v in stats.items() if m == SUM and v is not None]
+    sums = [
+        {"column_name": c, "agg_type": m, "value": v} for (m, c), v in stats.items() if m == SUM and v is not None
+    ]
     lost = [f"no sum for {c}" for (m, c), v in stats.items() if m == SUM and v is None]
     count = stats.get((ROW_COUNT, None))
-    record = (
-        spec.schema, spec.table, datetime.now(timezone.utc).isoformat(),
-        spec.fingerprint(**options.content()), options.fmt, options.sep, options.row_hash,
-        list(spec.pk_cols), schema_rows(spec, options.row_hash), json.dumps(asdict(spec)),
-        rows, bytes_, seconds,
-        (int(count) if count is not None else None, stats.get((PK_HASH, None)), sums or None, lost or None),
-    )
-    spark.createDataFrame([record], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(place.manifest)
+    record = {
+        "schema": spec.schema,
+        "table": spec.table,
+        "exported_at": datetime.now(timezone.utc).isoformat(),
+        "fingerprint": spec.fingerprint(**options.content()),
+        "fmt": options.fmt,
+        "sep": options.sep,
+        "row_hash": options.row_hash,
+        "pk": list(spec.pk_cols),
+        "columns": [
+            dict(zip(("name", "type", "mode", "description"), row)) for row in schema_rows(spec, options.row_hash)
+        ],
+        "spec": json.dumps(asdict(spec)),
+        "rows": rows,
+        "bytes": bytes_,
+        "seconds": seconds,
+        "validation": {
+            "row_count": int(count) if count is not None else None,
+            "pk_hash": stats.get((PK_HASH, None)),
+            "aggregates": sums or None,
+            "errors": lost or None,
+        },
+    }
+    # One small file needs no job of its own; readers skip the name with the underscore,
+    # so the record appears whole or not at all.
+    draft, fs = _hadoop(spark, f"{place.manifest}/_record.json")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(json.dumps(record).encode()))
+    finally:
+        stream.close()
+    if not fs.rename(draft, _hadoop(spark, f"{place.manifest}/record.json")[0]):
+        raise OSError(f"could not complete the record of {spec.schema}.{spec.table}")
 
 
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:
