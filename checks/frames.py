@@ -54,7 +54,9 @@ def scratch(spark: SparkSession) -> str:
 
 def dictionary(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Dictionary tables that describe one source table per order."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(
+        spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_custkey"
+    )
     owner = F.concat(F.lit("OWNER_"), F.col("o_orderstatus")).alias("owner")
     name = F.concat(F.lit("T"), F.col("o_orderkey").cast("string"))
     base = orders.select(

@@ -125,7 +125,7 @@ def discover_catalog(spark, sf_dir):
 
 @query
 def map_types(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
+    part = spread_table(spark, sf_dir, "part", "p_partkey", "p_size")
     names = [
         "NUMBER", "number(10,2)", "NUMBER(38)", "FLOAT", "BINARY_DOUBLE", "VARCHAR2", "NCLOB", "LONG", "LONG RAW",
         "ROWID", "UROWID", "DATE", "TIMESTAMP(9)", "TIMESTAMP(6) WITH TIME ZONE",
