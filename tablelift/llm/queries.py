@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelift.llm import bpe, exact, packing, token_counts
+from tablelift.llm import bpe, exact, jaccard, packing, quality, token_counts
 from tablelift.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -17,10 +17,19 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
@@ -31,7 +40,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
+    "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }

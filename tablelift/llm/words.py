@@ -70,6 +70,10 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for each text the index of its first word (one more at the end)."""
     n = len(data)
