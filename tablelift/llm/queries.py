@@ -7,16 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelift.llm import bpe, exact, jaccard, packing, quality, token_counts
+from tablelift.llm import bpe, exact, jaccard, maxent, packing, quality, token_counts, toxicity
 from tablelift.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -39,7 +47,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_maxent_scores": op1_maxent_scores,
     "op2_bpe": op2_bpe,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
     "op8_quality_rules": op8_quality_rules,
