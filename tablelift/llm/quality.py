@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tablelift.llm.common import share_code, stored
 from tablelift.llm.words import is_space, mix, slices, span_hashes, spans, windows
@@ -98,18 +99,23 @@ def statistics_of(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the counts of every row."""
-    share_code(docs.sparkSession)
+def _counted(rows: DataFrame) -> DataFrame:
+    """The first column of (anything, text) rows, and the counts of each text."""
+    share_code(rows.sparkSession)
+    carried = rows.schema[0]
 
     def run(batches):
         for batch in batches:
             for part, data, at in slices(batch, "text"):
                 found = statistics_of(data, at)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[c].astype(np.int64)) for c in COUNTS)], names=["doc_id", *COUNTS])
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[c].astype(np.int64)) for c in COUNTS)], names=[carried.name, *COUNTS])
 
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.mapInArrow(run, StructType([carried, *(StructField(c, LongType()) for c in COUNTS)]))
+
+
+def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and the counts of every row."""
+    return _counted(docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
 
 
 def _share(a: str, b: str) -> Column:
@@ -245,9 +251,19 @@ def rules_of(counted: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
     return learn(np.column_stack([rows[n].to_numpy() for n in names]), y, names)
 
 
+def _judged(counted: DataFrame, rules: list[Rule]) -> DataFrame:
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
 def judged(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts, base_failed and kept of every row."""
     counted = stored(statistics(docs, id, text))
-    rules = rules_of(counted, labels)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    return _judged(counted, rules_of(counted, labels))
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that are kept, with all their columns and without a shuffle of texts."""
+    rules = rules_of(stored(statistics(docs, id, text)), labels)
+    counted = _counted(docs.select(F.struct("*").alias("_row"), F.col(text).cast("string").alias("text")))
+    return _judged(counted, rules).where("kept").select("_row.*")
