@@ -6,7 +6,8 @@
    of similar documents whose members are known to be connected.
 3. *Token-group matrix.* Tokens are ordered rarest first, by document frequencies counted over all tokens. Two sets
    of similarity s share a token within their first |x| - ceil(s|x|) + 1 tokens, so these tokens alone are laid out as
-   (token, class, group), sorted by token. A class queries every larger group with which it shares a token.
+   (token, class, group), sorted by token. A class queries every larger group with which it shares a token, if the
+   token's places in both sets leave room for the overlap that their sizes ask for.
 4. *Bound and open.* A query meets the members of a group block only if sizes and parity sketches allow a link with
    one of them; then the block's token union is built, and the block is opened only if the union holds enough of the
    query's tokens. In an open block the first link found ends the search, for its members are connected already.
@@ -44,6 +45,9 @@ BLOCK = 128
 #: Tokens a task sorts at once while it counts frequencies.
 SORTED_TOKENS = 2 << 20
 
+#: Bits of the sieve that spares texts a shuffle.
+SIEVE_BITS = 1 << 24
+
 _SEEDS = mix(np.arange(101, 105, dtype=np.uint64))
 _MOST_SKETCH = 1 << 16
 
@@ -171,12 +175,29 @@ def _verified(batches):
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
+def _sifted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` less most of those whose id is not wanted, before any text is moved.
+
+    A bit for each wanted id, in at most ``SIEVE_BITS`` bits: words of 32 bits, so the broadcast table has at most a
+    32nd of that many rows. What slips through is dropped by the join that follows.
+    """
+    bits = min(SIEVE_BITS, max(1 << 10, 16 << wanted.count().bit_length()))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    place = at(F.col("cls"))
+    one = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(32)).cast("int"))
+    words = wanted.groupBy(F.floor(place / 32).alias("_word")).agg(F.bit_or(one(place)).alias("_bits"))
+    place = at(F.col("doc_id"))
+    kept = docs.withColumn("_word", F.floor(place / 32)).join(F.broadcast(words), "_word")
+    return kept.where(F.col("_bits").bitwiseAND(one(place)) != 0).select("doc_id", "text")
+
+
 def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) among candidate pairs (q, x, block); x's of one block are in one group."""
     rows = pairs.select("block", F.lit(1).alias("role"), F.col("q").alias("cls")).union(
         pairs.select("block", F.lit(0).alias("role"), F.col("x").alias("cls"))
     ).distinct()
-    texts = docs.join(rows, docs["doc_id"] == rows["cls"]).select("block", "role", "cls", "text")
+    rows = stored(rows)
+    texts = _sifted(docs, rows).join(rows, F.col("doc_id") == rows["cls"]).select("block", "role", "cls", "text")
     placed = texts.repartition(shuffle_tasks(docs.sparkSession), "block").sortWithinPartitions("block", "role", "cls")
     return stored(placed.mapInArrow(_verified, "a long, b long"))
 
@@ -299,7 +320,7 @@ def _masked(raw: np.ndarray, low: int) -> bytes:
 
 
 def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFrame:
-    """(token, fa): the tokens of each class that a similar set must share one of, where two classes share them."""
+    """(token, fa, place): the leading tokens of each class, by rarity, where two classes share them."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(hot)
 
@@ -311,8 +332,10 @@ def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFra
 
         def out():
             tokens = np.concatenate(tokens_out).view(np.int64)
-            owners = np.repeat(np.array(class_out, np.int64), [len(x) for x in tokens_out])
-            return pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(owners)], names=["token", "fa"])
+            lengths = [len(x) for x in tokens_out]
+            owners = np.repeat(np.array(class_out, np.int64), lengths)
+            places = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
+            return pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(owners), pa.array(places)], names=["token", "fa", "place"])
 
         for fa, tokens in _seen_once(batches):
             n = len(tokens)
@@ -339,44 +362,56 @@ def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFra
         """Drop repeats, and tokens of one class only; the last row waits for the next batch."""
         last, last_kept = None, False
         for batch in batches:
-            token, fa = (batch.column(i).to_numpy() for i in (0, 1))
+            token, fa, place = (batch.column(i).to_numpy() for i in range(3))
             if not len(token):
                 continue
             if last is not None:
-                token, fa = np.append(last[0], token), np.append(last[1], fa)
+                token, fa, place = (np.append(x, y) for x, y in zip(last, (token, fa, place)))
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (fa[1:] != fa[:-1])
-            token, fa = token[new], fa[new]
+            token, fa, place = token[new], fa[new], place[new]
             same = token[1:] == token[:-1]
             keep = np.zeros(len(token), bool)
             keep[1:] |= same
             keep[:-1] |= same
             if last is not None and last_kept:
                 keep[0] = False
-            last, last_kept = (token[-1:], fa[-1:]), bool(keep[-1]) or (len(token) == 1 and last_kept)
+            last, last_kept = (token[-1:], fa[-1:], place[-1:]), bool(keep[-1]) or (len(token) == 1 and last_kept)
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(fa[keep])], names=["token", "fa"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fa, place)], names=["token", "fa", "place"])
 
-    rows = docs.mapInArrow(prefixes, "token long, fa long")
+    rows = docs.mapInArrow(prefixes, "token long, fa long, place int")
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", "fa")
-    return placed.mapInArrow(shared_only, "token long, fa long")
+    return placed.mapInArrow(shared_only, "token long, fa long, place int")
+
+
+def _overlap(n: int, m: int) -> int:
+    """Tokens that similar sets of these sizes have in common at least."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
 def _queries(batches):
-    """(class, group) where both share a token and the group is larger; rows come by token, larger groups first."""
-    token, groups = None, []
+    """(class, group) where a shared token allows a link and the group is larger; rows come by token, larger groups first.
+
+    A token at place i of a set of n and place j of a set of m leaves at most min(n - i, m - j) tokens in common when it
+    is their first common one, so for the rarest common token both must reach the overlap of these sizes.
+    """
+    token, groups = None, []  # of the token: (group, least place for each size of set)
     for batch in batches:
-        q, x = [], []
-        for t, group, cls in zip(*(batch.column(k).to_pylist() for k in ("token", "group", "cls"))):
+        pairs = set()
+        for t, group, cls, n, place in zip(*(batch.column(k).to_pylist() for k in ("token", "group", "cls", "n", "place"))):
             if t != token:
                 token, groups = t, []
-            for g in groups:
-                if g != group:
-                    q.append(cls)
-                    x.append(g)
-            if not groups or groups[-1] != group:
-                groups.append(group)
-        pairs = set(zip(q, x))
+            for g, sizes in groups:
+                if g != group and (cls, g) not in pairs:
+                    for m, least in sizes.items():
+                        if 100 * min(n, m) >= PERCENT * max(n, m) and min(n - place, m - least) >= _overlap(n, m):
+                            pairs.add((cls, g))
+                            break
+            if not groups or groups[-1][0] != group:
+                groups.append((group, {}))
+            sizes = groups[-1][1]
+            sizes[n] = min(place, sizes.get(n, place))
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["q", "group"])
 
@@ -384,13 +419,14 @@ def _queries(batches):
 def _cross_links(docs: DataFrame, classes: DataFrame, hot: tuple) -> DataFrame:
     """Links between classes of different groups."""
     spark = docs.sparkSession
-    handles = classes.select("fa", "cls", "group", "group_size")
-    rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls")
+    handles = classes.select("fa", "cls", "n", "group", "group_size")
+    rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls", "n", "place")
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", F.desc("group_size"), "group", "cls")
     asked = placed.mapInArrow(_queries, "q long, group long").distinct()
     query = classes.select(F.col("cls").alias("q"), "n", "sketch")
     member = classes.select("group", F.col("cls").alias("x"), F.col("n").alias("m"), F.col("sketch").alias("other"), _salted(F.col("group"), F.col("cls"), F.col("group_size")).alias("block"))
-    near = asked.join(query, "q").join(member, "group").mapInArrow(_near, "q long, x long, block string")
+    sizes = 100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")
+    near = asked.join(query, "q").join(member, "group").where(sizes).mapInArrow(_near, "q long, x long, block string")
     return _verify(docs, stored(near))
 
 
