@@ -150,6 +150,40 @@ def _near(batches):
         yield batch.filter(keep).select(["q", "x", "block"])
 
 
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Rows of sketches with slots folded onto the first ``width`` bytes."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, width), axis=1)
+
+
+def _near_blocks(batches):
+    """Queries (role 1) with the members (role 0) of their block that :func:`may_link` allows; rows come sorted."""
+    block, members = None, {}  # members by length of sketch: ids, sizes, sketches; arrays once a query comes
+    ready = False
+    for batch in batches:
+        q, x, blocks = [], [], []
+        for key, role, cls, n, sketch in zip(*(batch.column(k).to_pylist() for k in ("block", "role", "cls", "n", "sketch"))):
+            if key != block:
+                block, members, ready = key, {}, False
+            if role == 0:
+                for held, value in zip(members.setdefault(len(sketch), ([], [], [])), (cls, n, sketch)):
+                    held.append(value)
+                continue
+            if not ready:
+                members = {k: (np.array(i), np.array(m), np.frombuffer(b"".join(s), np.uint8).reshape(-1, k)) for k, (i, m, s) in members.items()}
+                ready = True
+            own = np.frombuffer(sketch, np.uint8)[None]
+            for width, (ids, sizes, sketches) in members.items():
+                least = min(width, own.shape[1])
+                apart = np.bitwise_count(_folded(sketches, least) ^ _folded(own, least)).sum(axis=1, dtype=np.int64)
+                good = (100 * np.minimum(n, sizes) >= PERCENT * np.maximum(n, sizes)) & ((100 + PERCENT) * apart <= (100 - PERCENT) * (n + sizes))
+                found = ids[good].tolist()
+                q += [cls] * len(found)
+                x += found
+                blocks += [key] * len(found)
+        if q:
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(x, pa.int64()), pa.array(blocks, pa.string())], names=["q", "x", "block"])
+
+
 def _verified(batches):
     """Links of queries (role 1) with the members (role 0) of their block; rows come sorted by block and role."""
     block, members, union = None, [], None
@@ -423,10 +457,18 @@ def _cross_links(docs: DataFrame, classes: DataFrame, hot: tuple) -> DataFrame:
     rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls", "n", "place")
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", F.desc("group_size"), "group", "cls")
     asked = placed.mapInArrow(_queries, "q long, group long").distinct()
+    # Queries and members meet in the blocks of the group, not as pairs of rows.
+    sized = classes.select("group", "group_size").distinct()
+    salts = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("group_size") / BLOCK) - 1).cast("int"))).alias("salt")
     query = classes.select(F.col("cls").alias("q"), "n", "sketch")
-    member = classes.select("group", F.col("cls").alias("x"), F.col("n").alias("m"), F.col("sketch").alias("other"), _salted(F.col("group"), F.col("cls"), F.col("group_size")).alias("block"))
-    sizes = 100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")
-    near = asked.join(query, "q").join(member, "group").where(sizes).mapInArrow(_near, "q long, x long, block string")
+    queries = (
+        asked.join(sized, "group").select("q", "group", salts).join(query, "q")
+        .select(F.concat_ws("/", F.col("group").cast("string"), F.col("salt").cast("string")).alias("block"), F.lit(1).alias("role"), F.col("q").alias("cls"), "n", "sketch")
+    )
+    block = _salted(F.col("group"), F.col("cls"), F.col("group_size")).alias("block")
+    members = classes.join(asked.select("group").distinct(), "group", "left_semi").select(block, F.lit(0).alias("role"), "cls", "n", "sketch")
+    placed = queries.unionByName(members).repartition(shuffle_tasks(spark), "block").sortWithinPartitions("block", "role", "cls")
+    near = placed.mapInArrow(_near_blocks, "q long, x long, block string")
     return _verify(docs, stored(near))
 
 

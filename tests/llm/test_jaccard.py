@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablelift.llm import components, jaccard
@@ -94,8 +95,12 @@ def test_bound_never_refuses_a_link():
         both = len(np.intersect1d(a, b))
         link = len(b) > 0 and 100 * both >= 75 * (len(a) + len(b) - both)
         assert jaccard.linked(a, b) == link if len(b) else True
-        if link:
-            assert jaccard.may_link(len(a), jaccard._sketch(a), len(b), jaccard._sketch(b))
+        if not len(a) or not len(b):
+            continue
+        may = jaccard.may_link(len(a), jaccard._sketch(a), len(b), jaccard._sketch(b))
+        assert may or not link
+        rows = pa.RecordBatch.from_pylist([dict(block="b", role=k, cls=k, n=len(t), sketch=jaccard._sketch(t)) for k, t in enumerate((a, b))])
+        assert [r for x in jaccard._near_blocks([rows]) for r in x.to_pylist()] == ([{"q": 1, "x": 0, "block": "b"}] if may else [])
 
 
 def test_frequent_tokens_are_counted_over_all(spark):
