@@ -10,11 +10,20 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of whole texts in one Arrow batch; a session may ask for fewer.
+BATCH_ROWS, _BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def share_code(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver found it."""
+    """Let Python workers import this package from where the driver found it, and get texts in small batches.
+
+    Both are settings of the session: workers hold one batch of texts at a time, and Spark's usual 10,000 rows of
+    long texts are more than they need.
+    """
+    if int(spark.conf.get(_BATCH_SETTING)) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
