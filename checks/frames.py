@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.session import tune
-from tablelift.sources.scan import spread
+from tablelift.sources.scan import dealt
 
 # Columns of every table in the derived dictionary (fixed values):
 # name, type, precision, scale, virtual expression, hidden, made by a user, comment.
@@ -32,9 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table for CPU-heavy work; the columns it needs are chosen before rows move."""
+    """A table for CPU-heavy work; only the columns it needs are read and moved."""
     df = table(spark, sf_dir, name)
-    return spread(df.select(*columns) if columns else df, spark.sparkContext.defaultParallelism)
+    return dealt(df, columns or df.columns)
 
 
 @cache

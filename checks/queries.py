@@ -12,14 +12,16 @@ from checks.frames import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tablelift.functions import rewrites
+from tablelift.functions.text import csv_value
 from tablelift.functions.widths import columnar_bytes, text_bytes
 from tablelift.operators import results as reports
 from tablelift.operators.validate import summed_columns, validation_record
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir
+from tablelift.sinks.manifest import lost_values, manifest_checks, read_manifest
 from tablelift.sinks.publish import logical_view, with_day
 from tablelift.sources.catalog import drop_tables, keep_tables, list_tables, name_set
-from tablelift.sources.chunks import with_bounds, with_chunk
+from tablelift.sources.chunks import chunk_of, range_predicates, split_predicates, with_bounds
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,9 +68,29 @@ def scan_where(spark, sf_dir):
 
 @query
 def scan_chunks_union(spark, sf_dir):
+    # The predicates that cut a database table, here over one scan: the chunk is the predicate that matches.
     lineitem = table(spark, sf_dir, "lineitem")
-    rows = with_chunk(lineitem, "l_orderkey", CHUNKS)
-    return with_bounds(rows, lineitem, "l_orderkey", CHUNKS).select("chunk_id", "lo", "hi", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    bounds = with_bounds(spark.range(1, CHUNKS).toDF("chunk_id"), lineitem, "l_orderkey", CHUNKS)
+    cuts = [r["lo"] for r in bounds.orderBy("chunk_id").collect()]
+    return lineitem.withColumn("chunk_id", chunk_of(range_predicates("l_orderkey", cuts)))
+
+
+@query
+def chunk_predicates(spark, sf_dir):
+    """How many of the ranges, and of their parts by a salt that is NULL or negative for some rows, match each row."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_quantity") != 7, F.col("l_orderkey"))
+    salted = lineitem.select(
+        "l_orderkey", "l_linenumber", "l_quantity", key.alias("k"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_partkey") * F.when(F.col("l_returnflag") == "A", -1).otherwise(1)).alias("salt"),
+    )
+    ends = lineitem.agg(F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi")).first()
+    ranges = range_predicates("k", [ends["lo"] + (ends["hi"] - ends["lo"]) * i // 5 for i in range(1, 5)])
+    matches = lambda tests: sum(F.coalesce(F.expr(t), F.lit(False)).cast("int") for t in tests)
+    return salted.select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        matches(ranges).alias("ranges_matched"), matches(split_predicates(ranges, "salt", 4)).alias("parts_matched"),
+    )
 
 
 @query
@@ -99,13 +121,12 @@ def plan_tasks(spark, sf_dir):
 def discover_catalog(spark, sf_dir):
     frames = dictionary(spark, sf_dir)
     keep = name_set(spark, many=["owner_o", " OWNER_P ", "owner_o"])
-    schemas = [r["name"] for r in keep.collect()]
     urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '4-NOT SPECIFIED'")
     excluded = urgent.select(F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("name"))
     included = table(spark, sf_dir, "orders").where("o_totalprice > 50000").select(
         F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("name")
     )
-    tables = drop_tables(keep_tables(list_tables(frames.pop("tables"), schemas), included), excluded)
+    tables = drop_tables(keep_tables(list_tables(frames.pop("tables"), keep), included), excluded)
     specs = tl.discover(tables, **frames)
     described = F.transform(
         "columns",
@@ -220,7 +241,7 @@ def interval_ds(spark, sf_dir):
 
 @query
 def virtual_view(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount")
+    lineitem = table(spark, sf_dir, "lineitem")
     net = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS STRING)"
     spec = TableSpec.from_frame(
         lineitem, "TPC", "lineitem", virtual={"net_price": net, "line_name": "concat('L', l_linenumber)", "lost": None}
@@ -254,12 +275,11 @@ def row_hash(spark, sf_dir):
 
 @query
 def row_hash_wide(spark, sf_dir):
-    wide = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select(
-        "l_linenumber", *[(F.col("l_orderkey") + i).alias(f"c{i}") for i in range(60)]
-    )
-    spec = TableSpec.from_frame(wide.drop("l_linenumber"), "TPC", "wide")
-    hashed = tl.with_row_hash(wide, spec)
-    return hashed.select(F.col("c0").alias("l_orderkey"), "l_linenumber", "ROW_HASH")
+    lineitem = spread_table(spark, sf_dir, "lineitem")
+    numbers = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    wide = lineitem.select(*lineitem.columns, *[(F.col(n) + i).alias(f"{n}_{i}") for i in range(1, 13) for n in numbers])
+    hashed = tl.with_row_hash(wide, TableSpec.from_frame(wide, "TPC", "wide"))
+    return hashed.select("l_orderkey", "l_linenumber", "ROW_HASH")
 
 
 @query
@@ -297,43 +317,56 @@ VALIDATED = {
 }
 
 
-def _all_stats(spark, sf_dir):
+def _all_stats(spark, sf_dir, with_pk_hash):
     def stats(name, keys):
         spec = _spec(spark, sf_dir, name, pk_cols=keys)
-        needed = dict.fromkeys([*keys, *summed_columns(table(spark, sf_dir, name), spec)])
-        return tl.validate(spread_table(spark, sf_dir, name, *needed), spec, with_pk_hash=True)
+        needed = dict.fromkeys([*(keys if with_pk_hash else []), *summed_columns(table(spark, sf_dir, name), spec)])
+        return tl.validate(spread_table(spark, sf_dir, name, *needed), spec, with_pk_hash)
 
     return _stacked([stats(t, k) for t, k in VALIDATED.items()])
 
 
 @query
 def validate_stats(spark, sf_dir):
-    return validation_record(_all_stats(spark, sf_dir))
+    return validation_record(_all_stats(spark, sf_dir, True))
 
 
 @query
 def validate_sums(spark, sf_dir):
-    return _all_stats(spark, sf_dir).where("metric = 'SUM'")
+    return _all_stats(spark, sf_dir, False).where("metric = 'SUM'")
+
+
+@query
+def validate_sums_extreme(spark, sf_dir):
+    """Sums of columns whose values lie from 1e-12 to 1e30 and beyond, with NaN and infinities among them."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    price, line = F.col("l_extendedprice"), F.col("l_linenumber")
+    scale = F.element_at(F.array(*[F.lit(float(x)) for x in ("1e-12", "1e-6", "1e-3", "1.0", "1e9", "1e18", "1e30")]), F.pmod(line, F.lit(7)) + 1)
+    wide = lineitem.select(
+        (price / F.lit(7.0)).alias("sevenths"), (price * F.lit(1e-12)).alias("tiny"), (price * scale).alias("mixed"),
+        F.when(line == 1, float("nan")).when(line == 2, float("inf")).when(line == 3, float("-inf")).otherwise(price).alias("special"),
+    )
+    return tl.validate(wide, TableSpec.from_frame(wide, "TPC", "extreme"))
 
 
 @query
 def logical_bytes(spark, sf_dir):
     def sizes(name):
         df = spread_table(spark, sf_dir, name)
-        text = tl.csv_text(df)
-        columnar = df.agg(F.count(F.lit(1)).alias("rows"), columnar_bytes(df.schema).alias("parquet_bytes"))
-        return columnar.select(
-            F.lit(name).alias("table_name"), "rows", "parquet_bytes",
-            text.agg(text_bytes(text.columns)).scalar().alias("csv_bytes"),
-        )
+        names = [f"text {c}" for c in df.columns]
+        both = df.select("*", *[csv_value(F.col(f.name), f.dataType).alias(n) for f, n in zip(df.schema, names)])
+        return both.agg(
+            F.count(F.lit(1)).alias("rows"), columnar_bytes(df.schema).alias("parquet_bytes"), text_bytes(names).alias("csv_bytes")
+        ).withColumn("table_name", F.lit(name))
 
     return _stacked([sizes(t) for t in ("events", "documents", "orders")])
 
 
 @query
 def reconcile_stats(spark, sf_dir):
-    lineitem = spread_table(spark, sf_dir, "lineitem")
-    spec = TableSpec.from_frame(lineitem, "TPC", "lineitem", pk_cols=["l_orderkey", "l_linenumber"])
+    whole = table(spark, sf_dir, "lineitem")
+    spec = TableSpec.from_frame(whole, "TPC", "lineitem", pk_cols=["l_orderkey", "l_linenumber"])
+    lineitem = spread_table(spark, sf_dir, "lineitem", *dict.fromkeys([*summed_columns(whole, spec), "l_returnflag"]))
     target = lineitem.withColumn(
         "l_tax", F.when(F.col("l_returnflag") == "A", 0.0).otherwise(F.col("l_tax"))
     )
@@ -425,6 +458,65 @@ def export_verified(spark, sf_dir):
     return tl.verify_export(spark, spec, out)
 
 
+@query
+def export_cast_loss(spark, sf_dir):
+    """What casts lose of orders kept as text: prices with too many digits, priorities that are no numbers."""
+    def source(spark, spec):
+        return table(spark, sf_dir, "orders").select(
+            "o_orderkey", F.col("o_totalprice").cast("string").alias("price"), F.col("o_orderpriority").alias("priority"),
+            F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey").cast("string")).alias("cust"), F.col("o_orderdate").cast("string").alias("placed"),
+        )
+
+    wanted = [
+        ("o_orderkey", "NUMBER(18,0)", "INT64", "bigint"), ("price", "NUMBER(7,2)", "BIGNUMERIC", "decimal(7,2)"),
+        ("priority", "NUMBER(38,2)", "BIGNUMERIC", "decimal(38,2)"), ("cust", "NUMBER(18,0)", "INT64", "bigint"), ("placed", "DATE", "DATETIME", "timestamp_ntz"),
+    ]
+    spec, out = TableSpec("TPC", "orders_text", tuple(ColumnSpec(*c) for c in wanted)), scratch(spark)
+    tl.export_table(spark, source, spec, out, tl.ExportOptions(fmt="parquet", lost_values="record"))
+    return lost_values(read_manifest(spark, out)).drop("schema", "table")
+
+
+@query
+def export_resumed(spark, sf_dir):
+    """Two tables exported, then the same run again with one more: nothing is reported as broken."""
+    out, names = scratch(spark), ("orders", "customer", "part")
+    specs = [_spec(spark, sf_dir, t, pk_cols=VALIDATED[t]) for t in names]
+    options = tl.ExportOptions(fmt="parquet", row_hash=True)
+    tl.export_tables(spark, _source(sf_dir), specs[:2], out, options)
+    second = tl.export_tables(spark, _source(sf_dir), specs, out, options)
+    return tl.audit(second, manifest_checks(read_manifest(spark, out))).drop("error")
+
+
+@query
+def awkward_types(spark, sf_dir):
+    """CSV text and row hash of binary, zoned, long-text and row-address columns."""
+    documents = spread_table(spark, sf_dir, "documents", "doc_id", "text", "source", "n_chars")
+    wide = documents.select(
+        "doc_id", F.encode("text", "utf-8").alias("raw"), F.timestamp_seconds(F.col("n_chars") * 86413 + F.col("doc_id")).alias("at"),
+        F.col("text").alias("body"), F.concat(F.lit("AAA"), F.col("doc_id").cast("string")).alias("address"), (F.col("n_chars") % 2 == 0).alias("even"),
+    )
+    spec = TableSpec.from_frame(wide, "TPC", "awkward", raw_types={"body": "CLOB", "address": "UROWID", "raw": "RAW"})
+    typed = tl.with_row_hash(tl.apply_types(tl.physical(wide, spec), spec), spec)
+    return tl.csv_text(typed)
+
+
+@query
+def ts_region(spark, sf_dir):
+    """Wall clocks of a region with clock changes, written in UTC by the projection of every export."""
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("ts") + F.make_dt_interval(F.pmod("event_id", F.lit(365)).cast("int"))).alias("ts"))
+    return tl.physical(rows, TableSpec.from_frame(rows, "TPC", "events", zones={"ts": "America/New_York"}))
+
+
+@query
+def schema_record(spark, sf_dir):
+    """The recorded schema of an exported table, and the row count of its files with small row groups."""
+    out, spec = scratch(spark), _spec(spark, sf_dir, "customer", pk_cols=["c_custkey"], comments={"c_name": "full name"})
+    tl.export_table(spark, _source(sf_dir), spec, out, tl.ExportOptions(fmt="parquet", row_hash=True, block_bytes=1 << 16))
+    rows = spark.read.parquet(TableDir(out, spec.schema, spec.table).data).agg(F.count(F.lit(1))).scalar()
+    fields = read_manifest(spark, out).select(F.inline("columns"))
+    return fields.withColumns({"description": F.coalesce("description", F.lit("-")), "rows": rows})
+
+
 @query
 def export_many(spark, sf_dir):
     specs = [_spec(spark, sf_dir, t, pk_cols=k) for t, k in VALIDATED.items()]
@@ -442,5 +534,6 @@ def publish_and_load(spark, sf_dir):
     )
     tl.export_table(spark, _source(sf_dir), spec, out, tl.ExportOptions(fmt="parquet"))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
-    view = tl.load_table(spark, out, spec, "parquet", database=DATABASE, location=f"{out}/published")
+    for _ in range(2):  # the second load replaces the first
+        view = tl.load_table(spark, out, spec, "parquet", database=DATABASE, location=f"{out}/published")
     return spark.table(view)

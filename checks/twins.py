@@ -52,6 +52,8 @@ EVENTS = {
 }
 DOCUMENTS = {"doc_id": text("doc_id"), "text": "text", "lang": "lang", "source": "source", "n_chars": text("n_chars")}
 
+WIDENED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
 SUMMED = {
     "orders": ["o_orderkey", "o_custkey", "o_totalprice:d"],
     "customer": ["c_custkey", "c_nationkey", "c_acctbal:d"],
@@ -227,6 +229,48 @@ def exported(t: str, bytes_: str) -> str:
     )
 
 
+CAST_LOSS = [
+    ("o_orderkey", "o_orderkey", "BIGINT"), ("price", "CAST(o_totalprice AS VARCHAR)", "DECIMAL(7,2)"), ("priority", "o_orderpriority", "DECIMAL(38,2)"),
+    ("cust", "cust", "BIGINT"), ("placed", "CAST(o_orderdate AS VARCHAR)", "TIMESTAMP"),
+]
+
+_AT = "make_timestamp((n_chars * 86413 + doc_id) * 1000000)"
+AWKWARD = {
+    "doc_id": text("doc_id"), "raw": "to_base64(encode(text))", "at": stamp(_AT), "body": "coalesce(text, '')", "address": "'AAA' || doc_id",
+    "even": "CAST(n_chars % 2 = 0 AS VARCHAR)",
+}
+AWKWARD_HASHED = [
+    part(text("doc_id")), part("hex(encode(text))"), part(f"strftime({_AT}, '%Y-%m-%dT%H:%M:%S.%fZ')"), part("'AAA' || doc_id"), part("CAST(n_chars % 2 = 0 AS VARCHAR)"),
+]
+
+def exact_sum(c: str) -> str:
+    """All figures of the sum of a floating column ``c``: whole millionths, then bands of 50 binary orders in two parts."""
+    micros = f"(abs({c}) < 9e9::DOUBLE AND round_even({c} * 1e6::DOUBLE, 0) / 1e6::DOUBLE = {c})"
+    total = f"CAST(sum(CASE WHEN isfinite({c}) AND {micros} THEN CAST(round_even({c} * 1e6::DOUBLE, 0) AS HUGEINT) END) AS HUGEINT)"
+    parts = [
+        f"CASE WHEN {total} < 0 THEN '-' ELSE '' END || CAST(abs({total}) // 1000000 AS VARCHAR) || '.' || lpad(CAST(abs({total}) % 1000000 AS VARCHAR), 6, '0')"
+    ]
+    for low in (-42, 8, 58, 108):
+        inside = f"isfinite({c}) AND NOT {micros} AND abs({c}) >= {2.0**low!r}::DOUBLE AND abs({c}) < {2.0 ** (low + 50)!r}::DOUBLE"
+        units = f"CAST({c} * {2.0 ** (52 - low)!r}::DOUBLE AS HUGEINT)"
+        for part, unit in ((f"({units} >> 40)", low - 12), (f"({units} & 1099511627775::HUGEINT)", low - 52)):
+            parts.append(f"CAST(CAST(sum(CASE WHEN {inside} THEN {part} END) AS HUGEINT) AS VARCHAR) || ' x 2^{unit}'")
+    for name, test in (("NaN", f"isnan({c})"), ("Infinity", f"{c} = 'inf'::DOUBLE"), ("-Infinity", f"{c} = '-inf'::DOUBLE")):
+        parts.append(f"CASE WHEN count(*) FILTER ({test}) > 0 THEN count(*) FILTER ({test}) || ' {name}' END")
+    return f"concat_ws(' + ', {', '.join(parts)})"
+
+
+_EXTREMES = {
+    "sevenths": "l_extendedprice / 7.0::DOUBLE", "tiny": "l_extendedprice * 1e-12::DOUBLE",
+    "mixed": "l_extendedprice * list_extract([1e-12, 1e-6, 1e-3, 1.0, 1e9, 1e18, 1e30]::DOUBLE[], l_linenumber % 7 + 1)",
+    "special": "CASE l_linenumber WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN 'inf'::DOUBLE WHEN 3 THEN '-inf'::DOUBLE ELSE l_extendedprice END",
+}
+EXTREME = (
+    f"WITH w AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _EXTREMES.items())} FROM lineitem) "
+    "SELECT 'extreme' AS table_name, 'ROW_COUNT' AS metric, NULL::VARCHAR AS column_name, CAST(count(*) AS VARCHAR) AS value FROM w UNION ALL "
+    + " UNION ALL ".join(f"SELECT 'extreme', 'SUM', '{n}', {exact_sum(n)} FROM w" for n in _EXTREMES)
+)
+
 ORDER_HASH = fold([part(t) for t in ORDERS.values()])
 
 TWINS: dict[str, str] = {
@@ -235,7 +279,8 @@ TWINS: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
         WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_returnflag = 'R'""",
     "scan_chunks_union": f"""
-        WITH {CHUNKED} SELECT chunk_id, lo, hi, l_orderkey, l_linenumber, l_partkey, l_quantity FROM chunked""",
+        WITH {CHUNKED} SELECT * EXCLUDE (lo, hi) FROM chunked""",
+    "chunk_predicates": "SELECT l_orderkey, l_linenumber, l_quantity, 1 AS ranges_matched, 1 AS parts_matched FROM lineitem",
     "chunk_bounds": f"WITH {CHUNKED} SELECT chunk_id, lo, hi, count(*) AS rows FROM chunked GROUP BY ALL",
     "plan_tasks": """
         WITH t AS (SELECT 'OWNER_' || o_orderstatus AS schema, 'T' || o_orderkey AS "table",
@@ -243,10 +288,10 @@ TWINS: dict[str, str] = {
                           coalesce(CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice) AS BIGINT) END, 1000) AS blocks
                    FROM orders),
         p AS (SELECT *, greatest(1, CAST(ceil(blocks / 4.0) AS BIGINT)) AS per FROM t),
-        big AS (SELECT *, unnest(range(CAST(ceil(CAST(blocks AS DOUBLE) / per) AS BIGINT))) AS i FROM p WHERE size_gb > 1)
+        big AS (SELECT *, unnest(range(CAST(ceil(CAST(blocks AS DOUBLE) / per) AS BIGINT))) AS i FROM p WHERE size_gb > 1 OR size_gb = 0)
         SELECT schema, "table", printf('data_chunk_%04d.parquet', i) AS file_name, CAST(i AS VARCHAR) AS chunk_id,
                CAST(i * per AS VARCHAR) AS block_lo, CAST(least(i * per + per, blocks) AS VARCHAR) AS block_hi FROM big
-        UNION ALL SELECT schema, "table", 'data.parquet', '-', '-', '-' FROM p WHERE size_gb <= 1""",
+        UNION ALL SELECT schema, "table", 'data.parquet', '-', '-', '-' FROM p WHERE size_gb > 0 AND size_gb <= 1""",
     "discover_catalog": DISCOVER,
     "map_types": MAP_TYPES,
     "apply_types": """
@@ -271,7 +316,7 @@ TWINS: dict[str, str] = {
         SELECT event_id, '0-0 ' || CASE WHEN us < 0 THEN '-' ELSE '' END || (n // 86400000000) || ' ' ||
                ((n // 3600000000) % 24) || ':' || ((n // 60000000) % 60) || ':' || {interval_seconds('n')} AS span FROM a""",
     "virtual_view": """
-        SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount,
+        SELECT *,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS VARCHAR) AS net_price,
                'L' || l_linenumber AS line_name, 'none' AS lost FROM lineitem""",
     "partition_by_day": """
@@ -280,7 +325,7 @@ TWINS: dict[str, str] = {
     "col_hash": f"SELECT {', '.join(f'{part(t)} AS {c}' for c, t in LINEITEM.items())} FROM lineitem",
     "row_hash": f"SELECT *, {ORDER_HASH} AS ROW_HASH FROM orders",
     "row_hash_wide": f"""
-        SELECT l_orderkey, l_linenumber, {fold([part(text(f'l_orderkey + {i}')) for i in range(60)])} AS ROW_HASH FROM lineitem""",
+        SELECT l_orderkey, l_linenumber, {fold([part(t) for t in LINEITEM.values()] + [part(text(f'{n} + {i}')) for i in range(1, 13) for n in WIDENED])} AS ROW_HASH FROM lineitem""",
     "row_hash_documents": f"SELECT doc_id, {fold([part(t) for t in DOCUMENTS.values()])} AS ROW_HASH FROM documents",
     "pk_hash": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {key_total(k)} AS pk_hash FROM {t}"
@@ -336,10 +381,8 @@ TWINS: dict[str, str] = {
     "export_audit": f"""
         WITH {TASKS}, {RECORDS}
         SELECT schema, "table", status, coalesce(error, '-') AS error, rows, coalesce(row_count, -1) AS validated_rows,
-               row_count IS NOT DISTINCT FROM rows AS rows_match,
-               CASE WHEN pk_hash IS NULL AND coalesce(sums, 0) = 0 THEN 'Basic'
-                    ELSE concat_ws(', ', CASE WHEN pk_hash IS NOT NULL THEN 'PK_HASH_OK' END,
-                                         CASE WHEN sums > 0 THEN 'AGG_CHECKS=' || sums END) END AS checks
+               row_count IS NOT DISTINCT FROM rows AS rows_match, pk_hash IS NOT NULL AS has_key_total,
+               CAST(coalesce(sums, 0) AS BIGINT) AS sum_checks
         FROM results LEFT JOIN records USING (schema, "table")""",
     "resume_pending": f"""
         WITH {TASKS}, {RECORDS}
@@ -350,7 +393,31 @@ TWINS: dict[str, str] = {
     "export_csv_text": "SELECT * FROM documents",
     "export_verified": f"""
         SELECT metric, column_name, value AS source_value, value AS target_value, true AS matches
-        FROM ({long_stats('orders', 'orders')})""",
+        FROM ({long_stats('orders', 'orders')} UNION ALL SELECT 'HASH_MISMATCHES', '', '0'
+              UNION ALL {' UNION ALL '.join(f"SELECT 'NON_NULL', '{c}', CAST(count(nullif({text(c)}, '')) AS VARCHAR) FROM orders" for c in ORDERS)})""",
+    "export_cast_loss": f"""
+        SELECT name AS column_name, had AS source_values, has AS written_values, had - has AS lost FROM (
+            {' UNION ALL '.join(f"SELECT '{n}' AS name, count({v}) AS had, count(TRY_CAST({v} AS {t})) AS has FROM texts" for n, v, t in CAST_LOSS)})""".replace(
+        "FROM texts", "FROM (SELECT *, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS cust FROM orders)"
+    ),
+    "export_resumed": " UNION ALL ".join(
+        f"SELECT 'TPC' AS schema, '{t}' AS \"table\", '{status}' AS status, {rows} AS rows, count(*) AS validated_rows, true AS rows_match, "
+        f"true AS has_key_total, CAST({len(SUMMED[t])} AS BIGINT) AS sum_checks FROM {t}"
+        for t, status, rows in (("orders", "SKIPPED", "0"), ("customer", "SKIPPED", "0"), ("part", "SUCCESS", "count(*)"))
+    ),
+    "awkward_types": f"SELECT {', '.join(f'{t} AS {c}' for c, t in AWKWARD.items())}, {fold(AWKWARD_HASHED)} AS ROW_HASH FROM documents",
+    "ts_region": """
+        WITH t AS (SELECT event_id, ts + (event_id % 365) * INTERVAL 1 DAY AS ts FROM events),
+        y AS (SELECT *, make_date(CAST(year(ts) AS INTEGER), 3, 1) AS march, make_date(CAST(year(ts) AS INTEGER), 11, 1) AS november FROM t),
+        d AS (SELECT *, march + CAST(7 + (7 - dayofweek(march)) % 7 AS INTEGER) + INTERVAL 2 HOUR AS begins,
+                     november + CAST((7 - dayofweek(november)) % 7 AS INTEGER) + INTERVAL 2 HOUR AS ends FROM y)
+        SELECT event_id, ts + CASE WHEN ts >= begins AND ts < ends THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END AS ts FROM d""",
+    "schema_record": """
+        SELECT c.*, (SELECT count(*) FROM customer) AS rows FROM (VALUES
+            ('c_custkey', 'INT64', 'NULLABLE', '-'), ('c_name', 'STRING', 'NULLABLE', 'full name'), ('c_nationkey', 'INT64', 'NULLABLE', '-'),
+            ('c_acctbal', 'FLOAT64', 'NULLABLE', '-'), ('c_mktsegment', 'STRING', 'NULLABLE', '-'),
+            ('ROW_HASH', 'STRING', 'REQUIRED', 'upper-case SHA-256 over the values of the row')) c(name, type, mode, description)""",
+    "validate_sums_extreme": EXTREME,
     "export_many": " UNION ALL ".join(
         [
             exported("orders", columnar("orders", 32, ["o_orderstatus", "o_orderpriority"])),

@@ -14,8 +14,16 @@ from pyspark.sql import types as T
 # Up to this scale Spark prints every decimal without an exponent.
 _PLAIN_SCALE = 6
 
-# Millionths of numbers below this fit a 64-bit whole number.
-_MICROS_LIMIT = 9e12
+# Millionths of numbers below this are whole numbers that a floating number holds exactly.
+_MICROS_LIMIT = 9e9
+
+# Numbers below this have room for six more digits in the widest decimal.
+_WIDE_LIMIT = 1e31
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def plain_decimal(c: Column, scale: int) -> Column:
@@ -25,19 +33,21 @@ def plain_decimal(c: Column, scale: int) -> Column:
     return F.replace(F.format_number(c, scale), F.lit(","), F.lit(""))
 
 
-def micros_of(c: Column) -> Column:
-    """A floating number in millionths, as a whole number; NULL beyond the 64-bit range."""
-    return F.when(F.abs(c) < _MICROS_LIMIT, F.rint(c * 1e6).cast("long"))
+def exact_micros(c: Column, dtype: T.DataType = T.DoubleType()) -> Column:
+    """A floating number in millionths, as a whole number; NULL where that is not exactly it."""
+    micros = F.when(F.abs(c) < _MICROS_LIMIT, F.rint(c.cast("double") * 1e6).cast("long"))
+    return F.when((micros / 1e6).cast(dtype) == c, micros)
 
 
 def exact_double(c: Column, dtype: T.DataType) -> Column:
     """A floating number as six-digit decimal text where that is exact.
 
-    Other values (tiny, huge, NaN, infinite) keep their shortest text, so two
-    different numbers never share a text. Whole-number arithmetic keeps this much
-    cheaper than a cast to decimal, which parses text.
+    Other values (more digits, beyond 31 digits before the point, NaN, infinite) keep their shortest text, so
+    two different numbers never share a text; 0.0 and -0.0 are one number. Whole-number arithmetic keeps the usual
+    case much cheaper than a cast to decimal, which parses text.
     """
-    micros = micros_of(c.cast("double"))
+    micros = exact_micros(c, dtype)
+    wide = F.when(F.abs(c) < _WIDE_LIMIT, c).try_cast("decimal(38,6)")
     digits = F.abs(micros)
     text = F.concat(
         F.when(micros < 0, "-").otherwise(""),
@@ -45,7 +55,7 @@ def exact_double(c: Column, dtype: T.DataType) -> Column:
         F.lit("."),
         F.lpad((digits % 1_000_000).cast("string"), 6, "0"),
     )
-    return F.when((micros / 1e6).cast(dtype) == c, text).otherwise(c.cast("string"))
+    return F.when(micros.isNotNull(), text).when(wide.cast(dtype) == c, wide.cast("string")).otherwise(c.cast("string"))
 
 
 def ntz_text(c: Column) -> Column:
@@ -101,12 +111,15 @@ def csv_value(c: Column, dtype: T.DataType) -> Column:
 
 
 def parse_csv_value(c: Column, dtype: T.DataType) -> Column:
-    """Inverse of :func:`csv_value`; the empty text becomes NULL."""
+    """Inverse of :func:`csv_value`; the empty text becomes NULL. Text that is no such value fails the read."""
     c = F.nullif(c, F.lit(""))
     if isinstance(dtype, T.StringType):
         return c
     if isinstance(dtype, T.BinaryType):
-        return F.unbase64(c)
-    if isinstance(dtype, T.TimestampType):
-        return F.concat(c, F.lit("+00:00")).try_cast("timestamp")
-    return c.try_cast(dtype)
+        value = F.try_to_binary(c, F.lit("base64"))
+    elif isinstance(dtype, T.TimestampType):
+        value = F.concat(c, F.lit("+00:00")).try_cast("timestamp")
+    else:
+        value = c.try_cast(dtype)
+    damaged = F.raise_error(F.concat(F.lit(f"a cell is no {dtype.simpleString()}: "), F.substring(c, 1, 80)))
+    return F.when(c.isNotNull() & value.isNull(), damaged.cast(dtype)).otherwise(value)

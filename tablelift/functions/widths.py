@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelift.functions.text import quoted
+
 # Bytes counted per value of a fixed-width column, NULL included.
 FIXED_WIDTH = {
     T.ByteType: 8,
@@ -30,7 +32,7 @@ def columnar_bytes(schema: T.StructType) -> Column:
     fixed = sum(FIXED_WIDTH.get(type(f.dataType), 0) for f in schema)
     total = F.count(F.lit(1)) * F.lit(fixed)
     lengths = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long")
+        F.coalesce(F.octet_length(quoted(f.name)), F.lit(0)).cast("long")
         for f in schema
         if type(f.dataType) not in FIXED_WIDTH
     ]
@@ -40,7 +42,7 @@ def columnar_bytes(schema: T.StructType) -> Column:
 def text_bytes(names: list[str]) -> Column:
     """Aggregate: bytes of all text columns of all rows."""
     return F.coalesce(
-        F.sum(_add([F.coalesce(F.octet_length(F.col(f"`{n}`")), F.lit(0)).cast("long") for n in names])),
+        F.sum(_add([F.coalesce(F.octet_length(quoted(n)), F.lit(0)).cast("long") for n in names])),
         F.lit(0),
     )
 

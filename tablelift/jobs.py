@@ -2,91 +2,124 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import math
 import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.functions.widths import columnar_bytes, text_bytes
 from tablelift.operators.project import apply_types, csv_text, physical
 from tablelift.operators.results import (
-    FAILED, RESULT_SCHEMA, SUCCESS, pending, results_ranked, run_summary, table_results,
+    FAILED, RESULT_SCHEMA, SKIPPED, SUCCESS, pending, results_ranked, run_summary, table_results,
+)
+from tablelift.operators.rowhash import row_hash, with_row_hash
+from tablelift.operators.validate import (
+    HASH_MISMATCHES, NON_NULL, ROW_COUNT, SUM, long_form, reconcile, source_statistics, statistics,
 )
-from tablelift.operators.rowhash import with_row_hash
-from tablelift.operators.validate import reconcile, statistics, validate
 from tablelift.plans.options import ExportOptions
-from tablelift.plans.spec import TableSpec
+from tablelift.plans.spec import ROW_HASH, TableSpec
+from tablelift.plans.tasks import is_large
 from tablelift.session import tune
 from tablelift.sinks.files import TableDir, read_export, write_csv_text, write_parquet
 from tablelift.sinks.manifest import delete_manifest, manifest_stats, read_manifest, write_manifest
-from tablelift.sources.scan import JdbcSource, Source, scan, scan_chunked, spread
+from tablelift.sources.scan import JdbcSource, Source, scan, scan_chunked
 
 log = logging.getLogger(__name__)
 
-# Jobs submitted at once; more would only queue on the driver.
-_MAX_JOBS = 64
-
 
-def export_frame(spark: SparkSession, source: Source, spec: TableSpec, options: ExportOptions) -> DataFrame:
-    """The rows an export writes: scanned, rewritten, typed and hashed. No shuffle for large tables."""
+def scanned(spark: SparkSession, source: Source, spec: TableSpec, options: ExportOptions) -> DataFrame:
+    """The table as its source gives it, cut into tasks. No shuffle for large tables."""
     tune(spark)
     parallel = options.parallel or spark.sparkContext.defaultParallelism
-    chunked = isinstance(source, JdbcSource) and spec.pk_cols and spec.size_gb > options.chunk_threshold_gb
-    if chunked and parallel > 1:
-        df = scan_chunked(spark, source, spec, spec.pk_cols[0], parallel, options.where)
-    else:
-        df = spread(scan(spark, source, spec, options.where), spark.sparkContext.defaultParallelism)
+    if isinstance(source, JdbcSource):
+        if source.fetch_rows is None:
+            source = replace(source, fetch_rows=options.fetch_rows)
+        if parallel > 1 and is_large(spec.size_gb, options.chunk_threshold_gb):
+            return scan_chunked(spark, source, spec, parallel, options.where)
+    return scan(spark, source, spec, options.where, options.deal_bytes)
+
+
+def _typed(df: DataFrame, spec: TableSpec, options: ExportOptions) -> DataFrame:
     df = apply_types(physical(df, spec), spec, options.string_nulls)
     return with_row_hash(df, spec) if options.row_hash else df
 
 
+def export_frame(spark: SparkSession, source: Source, spec: TableSpec, options: ExportOptions) -> DataFrame:
+    """The rows an export writes: scanned, rewritten, typed and hashed."""
+    return _typed(scanned(spark, source, spec, options), spec.with_fallback(options.number_fallback), options)
+
+
 def export_table(
     spark: SparkSession, source: Source, spec: TableSpec, out: str, options: ExportOptions = ExportOptions()
 ) -> dict[str, object]:
     """Write one table and its completion record; gives its task result.
 
-    Row count, logical bytes, numeric sums and the key hash total are taken from
-    the rows on their way to the files, in the stage that writes them: the
-    source is read once.
+    Two looks are taken at the rows on their way to the files, in the stage that writes them, so the source is read
+    once: sums and value counts of what the source gave, before any cast, and counts, logical bytes and the key
+    hash total of what is written. Values that a cast turned into NULL are lost; a table that lost any fails and gets
+    no record, unless ``lost_values`` is "record".
     """
     started = time.monotonic()
     place = TableDir(out, spec.schema, spec.table)
-    df = export_frame(spark, source, spec, options)
-    checks = statistics(df, spec, options.row_hash)
+    wide = spec.with_fallback(options.number_fallback)
+    as_text = options.fmt == "csv"
+    df = scanned(spark, source, wide, options)
+    before = source_statistics(df, wide, as_text)
+    came = Observation(f"source-{spec.schema}.{spec.table}")
+    df = _typed(df.observe(came, F.count(F.lit(1)).alias("rows"), *_named(before)), wide, options)
+    checks = statistics(df, wide, options.row_hash, counts=True, empty_is_null=as_text)
     delete_manifest(spark, place)
 
     seen = Observation(f"checks-{spec.schema}.{spec.table}")
-    metrics = [agg.alias(f"s{i}") for i, (_, _, agg) in enumerate(checks)]
-    if options.fmt == "csv":
-        df = df.observe(seen, *metrics)
+    if as_text:
+        df = df.observe(seen, *_named(checks))
         sizes = Observation(f"sizes-{spec.schema}.{spec.table}")
         text = csv_text(df)
         text = text.observe(sizes, text_bytes(text.columns).alias("bytes"))
         write_csv_text(text, place.data, options.sep, options.max_rows_per_file)
         bytes_ = sizes.get["bytes"]
     else:
-        df = df.observe(seen, *metrics, columnar_bytes(df.schema).alias("bytes"))
-        write_parquet(df, place.data, options.compression, options.max_rows_per_file)
+        df = df.observe(seen, *_named(checks), columnar_bytes(df.schema).alias("bytes"))
+        write_parquet(df, place.data, options.compression, options.max_rows_per_file, options.block_bytes)
         bytes_ = seen.get["bytes"]
 
-    values = seen.get
-    stats = {(metric, column): values[f"s{i}"] for i, (metric, column, _) in enumerate(checks)}
-    rows = int(values["s0"])
+    written, source_values = _values(seen.get, checks), _values(came.get, before)
+    casts = []
+    for c in wide.physical:
+        had, has = (int(x[NON_NULL, c.name]) for x in (source_values, written))
+        casts.append({"column_name": c.name, "source_values": had, "written_values": has, "lost": max(0, had - has)})
+    stats = written | {k: v for k, v in source_values.items() if k[0] == SUM and k in written}
+    rows, lost = int(written[ROW_COUNT, None]), sum(c["lost"] for c in casts)
     seconds = time.monotonic() - started
-    write_manifest(spark, place, spec, options, stats, rows, bytes_, seconds)
-    return _result(spec, rows, bytes_, seconds, SUCCESS, None)
+    if lost and options.lost_values == "fail":
+        text = ", ".join(f"{c['column_name']}: {c['lost']}" for c in casts if c["lost"])
+        return _result(spec, rows, bytes_, seconds, FAILED, f"values lost in casts: {text}", lost)
+    write_manifest(spark, place, wide, options, stats, casts, rows, bytes_, seconds)
+    return _result(spec, rows, bytes_, seconds, SUCCESS, None, lost)
+
+
+def _named(stats: list[tuple[str, str | None, Column]]) -> list[Column]:
+    return [agg.alias(f"s{i}") for i, (_, _, agg) in enumerate(stats)]
+
 
+def _values(row: dict[str, object], stats: list[tuple[str, str | None, Column]]) -> dict[tuple[str, str | None], str | None]:
+    return {(metric, column): row[f"s{i}"] for i, (metric, column, _) in enumerate(stats)}
 
-def _result(spec: TableSpec, rows: int, bytes_: int, seconds: float, status: str, error: str | None) -> dict[str, object]:
+
+def _result(
+    spec: TableSpec, rows: int, bytes_: int, seconds: float, status: str, error: str | None, lost: int = 0
+) -> dict[str, object]:
     return {
         "schema": spec.schema, "table": spec.table, "chunk_id": None, "rows": rows, "bytes": bytes_,
-        "seconds": seconds, "status": status, "error": error,
+        "seconds": seconds, "status": status, "error": error, "lost": lost,
     }
 
 
@@ -104,19 +137,21 @@ def export_tables(
 ) -> DataFrame:
     """Export many tables; gives their results, slowest first.
 
-    Tables whose record matches their spec and options are skipped. One write
-    job per table is submitted from a thread of its own, so small tables fill
-    the cluster together. A table that fails is reported and stops nothing else.
+    Tables whose record matches their spec and options are skipped, and their results say so. One write
+    job per table is submitted from a thread of its own and in a scheduler pool of its own, so that small tables
+    fill the cluster together and, where ``spark.scheduler.mode`` is FAIR, none waits for a large one. A
+    table that fails is reported and stops nothing else.
     """
     specs = list(specs)
     started = time.monotonic()
     listing = spark.createDataFrame(
-        [(s.schema, s.table, s.fingerprint(**options.content())) for s in specs],
+        [(s.schema, s.table, s.with_fallback(options.number_fallback).fingerprint(**options.content())) for s in specs],
         "schema string, table string, fingerprint string",
     )
     todo = {(r["schema"], r["table"]) for r in pending(listing, read_manifest(spark, out)).collect()}
 
     def run(spec: TableSpec) -> dict[str, object]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{spec.schema}.{spec.table}")
         try:
             return export_table(spark, source, spec, out, options)
         except Exception as e:  # noqa: BLE001 - the error belongs to this table's result
@@ -124,10 +159,11 @@ def export_tables(
             return _result(spec, 0, 0, 0.0, FAILED, str(e).strip() or type(e).__name__)
 
     cores = spark.sparkContext.defaultParallelism
-    jobs = min(_MAX_JOBS, options.parallel or max(1, math.ceil(cores * options.cpu_percent / 100)))
+    jobs = options.parallel or max(1, math.ceil(cores * options.cpu_percent / 100))
     work = [s for s in specs if (s.schema, s.table) in todo]
     with ThreadPoolExecutor(max_workers=jobs) as pool:
         done = list(pool.map(inheritable_thread_target(spark)(run), work))
+    done += [_result(s, 0, 0, 0.0, SKIPPED, None) for s in specs if (s.schema, s.table) not in todo]
 
     tasks = spark.createDataFrame(done, RESULT_SCHEMA)
     results = table_results(tasks, listing)
@@ -145,13 +181,30 @@ def write_report(results: DataFrame, seconds: float, out: str) -> str:
 
 
 def verify_export(spark: SparkSession, spec: TableSpec, out: str) -> DataFrame:
-    """Read an export back and compare it with the statistics recorded while writing."""
+    """Read an export back and compare it with what was recorded: rows, the source's sums, values of each column.
+
+    With row hashes, every row's hash is computed anew from what the files hold; rows where it differs are counted.
+    """
     place = TableDir(out, spec.schema, spec.table)
     record = read_manifest(spark, out).where(
         (F.col("schema") == spec.schema) & (F.col("table") == spec.table)
     )
-    how = record.select("fmt", "sep", "row_hash").first()
+    how = record.select("fmt", "sep", "row_hash", "spec").first()
     if how is None:
         raise ValueError(f"{spec.schema}.{spec.table} has no completion record below {out}")
+    # Types as they were written; a fallback for numbers may have changed them.
+    kinds = {c["name"]: c["spark_type"] for c in json.loads(how["spec"])["columns"]}
+    spec = replace(spec, columns=tuple(replace(c, spark_type=kinds.get(c.name, c.spark_type)) for c in spec.columns))
     back = read_export(spark, place.data, spec, how["fmt"], how["row_hash"], how["sep"])
-    return reconcile(manifest_stats(record), validate(back, spec, how["row_hash"]))
+    stats = statistics(back, spec, how["row_hash"], counts=True, empty_is_null=how["fmt"] == "csv")
+    recorded = manifest_stats(record)
+    if how["row_hash"]:
+        again = row_hash(back.schema, spec)
+        wrong = F.count(F.when(~F.col(ROW_HASH).eqNullSafe(again), 1)).cast("string")
+        stats.append((HASH_MISMATCHES, None, wrong))
+        none = spark.range(1).select(
+            F.lit(spec.schema).alias("schema"), F.lit(spec.table).alias("table_name"), F.lit(HASH_MISMATCHES).alias("metric"),
+            F.lit(None).cast("string").alias("column_name"), F.lit("0").alias("value"),
+        )
+        recorded = recorded.unionByName(none)
+    return reconcile(recorded, long_form(back, spec, stats))

@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.functions import rewrites
-from tablelift.functions.text import csv_value, parse_csv_value
+from tablelift.functions.text import csv_value, parse_csv_value, quoted
 from tablelift.plans.spec import ColumnSpec, TableSpec
 
 
-def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def field_type(schema: T.StructType, name: str) -> T.DataType:
     """Type of a column; names match without regard to case, as in Spark SQL."""
     for f in schema:
@@ -27,6 +23,8 @@ def field_type(schema: T.StructType, name: str) -> T.DataType:
 
 def _rewrite(c: Column, dtype: T.DataType, column: ColumnSpec) -> Column:
     raw = column.raw_type.strip().upper()
+    if column.zone and isinstance(dtype, T.TimestampNTZType):
+        return rewrites.to_utc(c, column.zone)
     if isinstance(dtype, T.YearMonthIntervalType):
         return rewrites.ym_text(c)
     if isinstance(dtype, T.DayTimeIntervalType):

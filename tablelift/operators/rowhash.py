@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.functions.hashes import col_hash, fold_hashes, key_number
-from tablelift.operators.project import field_type, quoted
+from tablelift.functions.text import quoted
+from tablelift.operators.project import field_type
 from tablelift.plans.spec import ROW_HASH, TableSpec, hashable
 
 
@@ -24,12 +25,17 @@ def with_row_hash(df: DataFrame, spec: TableSpec) -> DataFrame:
     A narrow projection: no shuffle, and the result does not depend on how rows
     are partitioned or ordered.
     """
+    return df.withColumn(ROW_HASH, row_hash(df.schema, spec))
+
+
+def row_hash(schema: T.StructType, spec: TableSpec) -> Column:
+    """The row hash as an expression over columns of these types."""
     parts = [
-        col_hash(quoted(c.name), field_type(df.schema, c.name))
+        col_hash(quoted(c.name), field_type(schema, c.name))
         for c in spec.physical
         if hashable(c.raw_type)
     ]
-    return df.withColumn(ROW_HASH, fold_hashes(parts))
+    return fold_hashes(parts)
 
 
 def key_hash_total(schema: T.StructType, keys: Sequence[str]) -> Column:

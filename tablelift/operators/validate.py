@@ -8,15 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift.functions.text import micros_of, plain_decimal
-from tablelift.operators.project import field_type, quoted
+from tablelift.functions.text import exact_micros, plain_decimal, quoted
+from tablelift.operators.project import field_type
 from tablelift.operators.rowhash import key_hash_total
 from tablelift.plans.spec import ROW_HASH, SUMMED_TARGETS, TableSpec
 
 ROW_COUNT, PK_HASH, SUM = "ROW_COUNT", "PK_HASH", "SUM"
+NON_NULL, HASH_MISMATCHES = "NON_NULL", "HASH_MISMATCHES"
 
-# Floating numbers are added in millionths: the total then does not depend on row order.
-_BIG, _TOTAL = "decimal(38,6)", "decimal(38,6)"
+# Floating numbers that are no whole millionths are added in four bands of 50 binary orders, by their smallest
+# exponent: 2.3e-13 to 256, to 2.9e17, to 3.2e32, to 3.6e47. In units of 2**(smallest - 52) such a number is a whole number below
+# 2**102, which two 64-bit parts hold exactly; the parts are added apart.
+_BANDS = (-42, 8, 58, 108)
+_WIDTH, _HALF = 50, 2.0**40
 
 
 def summed_columns(df: DataFrame, spec: TableSpec) -> list[str]:
@@ -32,20 +36,59 @@ def sum_text(c: Column, dtype: T.DataType) -> Column:
         return F.try_sum(c.cast("decimal(20,0)")).cast("string")
     if isinstance(dtype, T.DecimalType):
         return plain_decimal(F.try_sum(c), dtype.scale)
-    number = c.try_cast("double")
-    micros = micros_of(number)
-    # Only numbers too big for millionths in 64 bits take the slow way over a decimal.
-    big = F.when(micros.isNull(), number.try_cast(_BIG))
-    total = F.coalesce(F.try_sum(micros.cast("decimal(20,0)")) / F.lit(1_000_000), F.lit(0)).cast(_TOTAL) + F.coalesce(
-        F.try_sum(big), F.lit(0)
-    ).cast(_TOTAL)
-    held = F.count(micros) + F.count(big)
-    # What no decimal can hold (NaN, infinite, beyond 32 digits) needs floating addition.
-    return F.when(held < F.count(number), F.sum(number).cast("string")).when(held > 0, total.cast("string"))
-
-
-def statistics(df: DataFrame, spec: TableSpec, with_pk_hash: bool) -> list[tuple[str, str | None, Column]]:
-    """(metric, column, aggregate) of every check; all fit in one pass over the rows."""
+    return _double_sum(c.try_cast("double"))
+
+
+def _double_sum(x: Column) -> Column:
+    """Exact sum of floating numbers, whatever the row order.
+
+    Whole millionths, the usual case, make the first figure. Each band of other sizes adds a figure of its own, a
+    whole number of its unit, and what lies beyond all bands is counted: NaN, infinities, and the tiniest and hugest
+    numbers with a total of their hashes. Nothing is rounded, and no value changes how the others are added.
+    """
+    micros = exact_micros(x)
+    finite = ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    rest = F.when(finite & micros.isNull(), x)
+    size = F.abs(rest)
+    plain = F.try_sum(micros.cast("decimal(20,0)"))
+    parts = [F.when(F.count(micros) > 0, (plain / F.lit(1_000_000)).cast("decimal(38,6)").cast("string"))]
+    for low in _BANDS:
+        # Powers of two scale without rounding. A number is its upper part in units of 2**(low - 12) and its lower one.
+        upper = F.floor(F.when((size >= 2.0**low) & (size < 2.0 ** (low + _WIDTH)), rest * F.lit(2.0 ** (12 - low))))
+        lower = ((rest * F.lit(2.0 ** (12 - low)) - upper.cast("double")) * F.lit(_HALF)).cast("long")
+        parts += [
+            F.concat(F.try_sum(part.cast("decimal(20,0)")).cast("string"), F.lit(f" x 2^{unit}"))
+            for part, unit in ((upper, low - 12), (lower, low - 52))
+        ]
+    beyond = F.when((size >= 2.0 ** (_BANDS[-1] + _WIDTH)) | (size < 2.0 ** _BANDS[0]), rest)
+    marks = F.try_sum(F.when(beyond.isNotNull(), F.xxhash64(beyond).cast("decimal(20,0)")))
+    parts.append(F.when(F.count(beyond) > 0, F.concat(F.count(beyond).cast("string"), F.lit(" beyond "), marks.cast("string"))))
+    for name, test in (("NaN", F.isnan(x)), ("Infinity", x == float("inf")), ("-Infinity", x == float("-inf"))):
+        n = F.count(F.when(test, 1))
+        parts.append(F.when(n > 0, F.concat(n.cast("string"), F.lit(f" {name}"))))
+    return F.nullif(F.concat_ws(" + ", *parts), F.lit(""))
+
+
+def source_sum(c: Column, have: T.DataType, spark_type: str) -> Column:
+    """Aggregate: the sum of a column before it is cast; text counts as the numbers it says."""
+    if isinstance(have, T.StringType) and spark_type != "double":
+        return plain_decimal(F.try_sum(c.try_cast("decimal(38,18)")), 18)
+    return sum_text(c, have)
+
+
+def present(c: Column, dtype: T.DataType, empty_is_null: bool = False) -> Column:
+    """Aggregate: how many rows hold a value."""
+    return F.count(F.nullif(c, F.lit("")) if empty_is_null and isinstance(dtype, T.StringType) else c)
+
+
+def statistics(
+    df: DataFrame, spec: TableSpec, with_pk_hash: bool, counts: bool = False, empty_is_null: bool = False
+) -> list[tuple[str, str | None, Column]]:
+    """(metric, column, aggregate) of every check; all fit in one pass over the rows.
+
+    ``counts`` adds how many values each column has, with ``empty_is_null`` for files that don't tell the empty
+    text from NULL.
+    """
     stats: list[tuple[str, str | None, Column]] = [
         (ROW_COUNT, None, F.count(F.lit(1)).cast("string"))
     ]
@@ -53,16 +96,38 @@ def statistics(df: DataFrame, spec: TableSpec, with_pk_hash: bool) -> list[tuple
         stats.append((PK_HASH, None, key_hash_total(df.schema, spec.pk_cols).cast("string")))
     for name in summed_columns(df, spec):
         stats.append((SUM, name, sum_text(quoted(name), field_type(df.schema, name))))
+    if counts:
+        for c in spec.physical:
+            found = present(quoted(c.name), field_type(df.schema, c.name), empty_is_null)
+            stats.append((NON_NULL, c.name, found.cast("string")))
     return stats
 
 
-def validate(df: DataFrame, spec: TableSpec, with_pk_hash: bool = False) -> DataFrame:
+def source_statistics(df: DataFrame, spec: TableSpec, empty_is_null: bool = False) -> list[tuple[str, str, Column]]:
+    """(metric, column, aggregate) of a scanned table before anything is cast."""
+    stats = [
+        (NON_NULL, c.name, present(quoted(c.name), field_type(df.schema, c.name), empty_is_null).cast("string"))
+        for c in spec.physical
+    ]
+    for c in spec.physical:
+        if c.target_type in SUMMED_TARGETS:
+            stats.append((SUM, c.name, source_sum(quoted(c.name), field_type(df.schema, c.name), c.spark_type)))
+    return stats
+
+
+def validate(
+    df: DataFrame, spec: TableSpec, with_pk_hash: bool = False, counts: bool = False, empty_is_null: bool = False
+) -> DataFrame:
     """Row count, key hash total and numeric sums as (table_name, metric, column_name, value).
 
     One aggregation over one scan, however many columns there are. A column
     without any value has no sum row.
     """
-    stats = statistics(df, spec, with_pk_hash)
+    return long_form(df, spec, statistics(df, spec, with_pk_hash, counts, empty_is_null))
+
+
+def long_form(df: DataFrame, spec: TableSpec, stats: Sequence[tuple[str, str | None, Column]]) -> DataFrame:
+    """Aggregates as rows (table_name, metric, column_name, value)."""
     wide = df.agg(*[agg.alias(f"s{i}") for i, (_, _, agg) in enumerate(stats)])
     rows = [
         F.struct(
@@ -98,7 +163,13 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
     both = side(source, "source_value").join(
         side(target, "target_value"), ["metric", "column_name"], "full_outer"
     )
-    return both.withColumn("matches", F.col("source_value").eqNullSafe(F.col("target_value")))
+    return both.withColumn("matches", _bare("source_value").eqNullSafe(_bare("target_value")))
+
+
+def _bare(name: str) -> Column:
+    """A figure without zeros at the end of its fraction: 1.50 and 1.5 are one sum."""
+    shorter = F.regexp_replace(name, r"^(-?\d+)(?:\.0+|(\.\d*?[1-9])0+)$", "$1$2")
+    return F.when(shorter == "-0", "0").otherwise(shorter)
 
 
 def diff(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: str = ROW_HASH) -> DataFrame:
@@ -113,7 +184,7 @@ def diff(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: st
         return df.select(
             *[quoted(k) for k in keys],
             F.xxhash64(quoted(hash_col)).alias("__h"),
-            F.xxhash64(quoted(hash_col), F.lit(1)).alias("__g"),
+            F.xxhash64(F.lit(1), quoted(hash_col)).alias("__g"),
             F.lit(is_source).alias("__source"),
         )
 

@@ -6,12 +6,13 @@ import hashlib
 import json
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 
 ROW_HASH = "ROW_HASH"
+ROW_HASH_COMMENT = "upper-case SHA-256 over the values of the row"
 
 # Base names of source types that never take part in a row hash.
 UNHASHED_TYPES = frozenset(
@@ -55,6 +56,10 @@ class ColumnSpec:
     is_hidden: bool = False
     is_identity: bool = False
     comment: str | None = None
+    # The time zone whose wall clock a timestamp without zone shows; such a column is written in UTC.
+    zone: str | None = None
+    # The expression of a virtual column may have been cut short by the database driver.
+    may_be_cut: bool = False
 
     @property
     def is_physical(self) -> bool:
@@ -97,6 +102,14 @@ class TableSpec:
     def physical_name(self) -> str:
         return f"{self.table}_PHYSICAL" if self.needs_view else self.table
 
+    def with_fallback(self, number_fallback: str) -> TableSpec:
+        """The spec with another Spark type for numbers of no stated precision."""
+        if number_fallback == "string":
+            return self
+        open_number = lambda c: c.raw_type.strip().upper() == "NUMBER" and c.spark_type == "string"
+        columns = tuple(replace(c, spark_type=number_fallback) if open_number(c) else c for c in self.columns)
+        return replace(self, columns=columns)
+
     def fingerprint(self, **job: object) -> str:
         """Identity of an export: what the spec and the job options put into its files."""
         spec = {k: v for k, v in asdict(self).items() if k != "size_gb"}
@@ -112,14 +125,16 @@ class TableSpec:
         raw_types: Mapping[str, str] | None = None,
         virtual: Mapping[str, str | None] | None = None,
         comments: Mapping[str, str] | None = None,
+        zones: Mapping[str, str] | None = None,
         **keys: Sequence[str] | float,
     ) -> TableSpec:
         """A spec for data that already has Spark types.
 
         ``raw_types`` overrides source type names (``{"text": "CLOB"}`` keeps a
-        column out of the hash); ``virtual`` adds view-only expressions.
+        column out of the hash); ``virtual`` adds view-only expressions; ``zones`` names the
+        time zones of local wall clocks.
         """
-        raw_types, comments = raw_types or {}, comments or {}
+        raw_types, comments, zones = raw_types or {}, comments or {}, zones or {}
         columns = []
         for f in df.schema:
             raw, target, transformed = _describe(f.dataType)
@@ -131,6 +146,7 @@ class TableSpec:
                     "string" if transformed and target == "STRING" else f.dataType.simpleString(),
                     is_transformed=transformed,
                     comment=comments.get(f.name),
+                    zone=zones.get(f.name),
                 )
             )
         for name, expr in (virtual or {}).items():
@@ -147,6 +163,7 @@ class TableSpec:
             ColumnSpec(
                 c.column_name, c.data_type, c.target_type, c.spark_type, c.is_virtual,
                 c.virtual_expr, c.is_transformed, c.is_hidden, c.is_identity, c.comments,
+                may_be_cut=c["may_be_cut"] if "may_be_cut" in c else False,
             )
             for c in row["columns"]
         )

@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCKS = 1000
 
 
+def is_large(size_gb: float | None, threshold_gb: float) -> bool:
+    """Whether a table is cut into chunks; one of unknown size is."""
+    return not size_gb or size_gb > threshold_gb
+
+
 def plan_tasks(
     specs: DataFrame, parallel: int, threshold_gb: float = 1.0, extension: str = "parquet"
 ) -> DataFrame:
     """One row per scan task.
 
-    Tables above ``threshold_gb`` are cut into at most ``parallel`` ranges of
-    equal block count; others stay whole (``chunk_id`` NULL). Needs ``schema``,
+    Tables above ``threshold_gb``, and those of unknown size, are cut into at most
+    ``parallel`` ranges of equal block count; others stay whole (``chunk_id`` NULL). Needs ``schema``,
     ``table``, ``size_gb`` and ``blocks``.
     """
-    chunked = (F.col("size_gb") > threshold_gb) & F.lit(parallel > 1)
+    # The same rule as is_large.
+    size = F.coalesce(F.col("size_gb"), F.lit(0.0))
+    chunked = ((size == 0) | (size > threshold_gb)) & F.lit(parallel > 1)
     blocks = F.coalesce(F.col("blocks").cast("long"), F.lit(DEFAULT_BLOCKS))
     per_chunk = F.greatest(F.lit(1), F.ceil(blocks / F.lit(parallel)))
     last = F.greatest(F.lit(0), F.ceil(blocks / F.col("__per")) - 1)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelift.functions.text import quoted
 from tablelift.operators.project import csv_text, from_csv_text
-from tablelift.plans.spec import ROW_HASH, TableSpec
+from tablelift.plans.spec import ROW_HASH, ROW_HASH_COMMENT, TableSpec
 
 # Codec names this Spark build can write, and names it knows but cannot.
 CODECS = ("snappy", "gzip", "zstd", "lz4", "lz4_raw", "none")
@@ -91,7 +92,7 @@ def export_schema(spec: TableSpec, row_hash: bool = False) -> T.StructType:
             c.name, T.DataType.fromDDL(c.spark_type), True, {"comment": c.comment} if c.comment else None
         )
     if row_hash:
-        schema.add(ROW_HASH, T.StringType(), True, {"comment": "SHA256 hash for duplicate detection"})
+        schema.add(ROW_HASH, T.StringType(), True, {"comment": ROW_HASH_COMMENT})
     return schema
 
 
@@ -137,11 +138,9 @@ def describe_export(df: DataFrame) -> tuple[list[tuple[str, str]], int, DataFram
 def tie_break(df: DataFrame) -> list[Column]:
     """Values that tell apart rows with equal cluster columns, the same on every run.
 
-    Distinct rows differ in the first one; exact copies differ by file at least,
-    and files are bounded in rows.
+    Distinct rows differ in the first one; exact copies differ by file, and files are
+    bounded in rows. Without files their order within the input tells them apart, which
+    is the same on every run of a scan; where it isn't, only equal rows change places.
     """
-    own = [f"`{n}`" for n in df.columns if n != FILE]
-    breaks = [F.xxhash64(*own)]
-    if FILE in df.columns:
-        breaks.append(F.xxhash64(FILE))
-    return breaks
+    own = [quoted(n) for n in df.columns if n != FILE]
+    return [F.xxhash64(*own), F.xxhash64(FILE) if FILE in df.columns else F.monotonically_increasing_id()]

@@ -6,12 +6,12 @@ import json
 from dataclasses import asdict
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.operators.validate import PK_HASH, ROW_COUNT, SUM
+from tablelift.operators.validate import NON_NULL, PK_HASH, ROW_COUNT, SUM
 from tablelift.plans.options import ExportOptions
-from tablelift.plans.spec import ROW_HASH, TableSpec
+from tablelift.plans.spec import ROW_HASH, ROW_HASH_COMMENT, TableSpec
 from tablelift.sinks.files import TableDir
 
 MANIFEST_SCHEMA = """
@@ -21,7 +21,8 @@ MANIFEST_SCHEMA = """
     spec string, rows long, bytes long, seconds double,
     validation struct<row_count: long, pk_hash: string,
                       aggregates: array<struct<column_name: string, agg_type: string, value: string>>,
-                      errors: array<string>>
+                      errors: array<string>>,
+    casts array<struct<column_name: string, source_values: long, written_values: long, lost: long>>
 """
 
 
@@ -29,11 +30,11 @@ def schema_rows(spec: TableSpec, row_hash: bool = False) -> list[tuple[str, str,
     """(name, type, mode, description) of the target columns; view-only columns are left out."""
     rows = [(c.name, c.target_type, "NULLABLE", c.comment) for c in spec.physical]
     if row_hash:
-        rows.append((ROW_HASH, "STRING", "REQUIRED", "SHA256 hash for duplicate detection"))
+        rows.append((ROW_HASH, "STRING", "REQUIRED", ROW_HASH_COMMENT))
     return rows
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """A path with its file system, whichever kind of storage it names."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -41,7 +42,7 @@ def _hadoop(spark: SparkSession, path: str):
 
 def delete_manifest(spark: SparkSession, place: TableDir) -> None:
     """Forget an earlier export before its files are replaced."""
-    path, fs = _hadoop(spark, place.manifest)
+    path, fs = hadoop_path(spark, place.manifest)
     fs.delete(path, True)
 
 
@@ -51,13 +52,18 @@ def write_manifest(
     spec: TableSpec,
     options: ExportOptions,
     stats: dict[tuple[str, str | None], str | None],
+    casts: list[dict[str, object]],
     rows: int,
     bytes_: int,
     seconds: float,
 ) -> None:
-    """Record a finished export. Call it only after the data files are committed."""
+    """Record a finished export. Call it only after the data files are committed.
+
+    ``stats`` are what the files should show when read back: counts of written values, and the source's own sums.
+    """
     sums = [
-        {"column_name": c, "agg_type": m, "value": v} for (m, c), v in stats.items() if m == SUM and v is not None
+        {"column_name": c, "agg_type": m, "value": v}
+        for (m, c), v in stats.items() if m in (SUM, NON_NULL) and v is not None
     ]
     lost = [f"no sum for {c}" for (m, c), v in stats.items() if m == SUM and v is None]
     count = stats.get((ROW_COUNT, None))
@@ -83,35 +89,46 @@ def write_manifest(
             "aggregates": sums or None,
             "errors": lost or None,
         },
+        "casts": casts,
     }
     # One small file needs no job of its own; readers skip the name with the underscore,
     # so the record appears whole or not at all.
-    draft, fs = _hadoop(spark, f"{place.manifest}/_record.json")
+    draft, fs = hadoop_path(spark, f"{place.manifest}/_record.json")
     stream = fs.create(draft, True)
     try:
         stream.write(bytearray(json.dumps(record).encode()))
     finally:
         stream.close()
-    if not fs.rename(draft, _hadoop(spark, f"{place.manifest}/record.json")[0]):
+    if not fs.rename(draft, hadoop_path(spark, f"{place.manifest}/record.json")[0]):
         raise OSError(f"could not complete the record of {spec.schema}.{spec.table}")
 
 
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:
     """All completion records below an output folder; empty where there is none yet."""
     pattern = f"{out.rstrip('/')}/*/*/config/manifest"
-    path, fs = _hadoop(spark, pattern)
+    path, fs = hadoop_path(spark, pattern)
     if not fs.globStatus(path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).json(pattern)
 
 
+def _aggregates() -> Column:
+    none = F.array().cast("array<struct<column_name: string, agg_type: string, value: string>>")
+    return F.coalesce("validation.aggregates", none)
+
+
+def lost_values(manifest: DataFrame) -> DataFrame:
+    """(schema, table, column_name, source_values, written_values, lost) of every column of every record."""
+    return manifest.select("schema", "table", F.inline("casts"))
+
+
 def manifest_checks(manifest: DataFrame) -> DataFrame:
     """What each record proves, in the shape :func:`tablelift.operators.results.audit` takes."""
     return manifest.select(
         "schema", "table",
         F.col("validation.row_count").alias("row_count"),
         F.col("validation.pk_hash").alias("pk_hash"),
-        F.coalesce(F.size("validation.aggregates"), F.lit(0)).alias("sums"),
+        F.size(F.filter(_aggregates(), lambda a: a["agg_type"] == SUM)).alias("sums"),
     )
 
 
@@ -124,8 +141,8 @@ def manifest_stats(manifest: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     fixed = F.array(row(ROW_COUNT, none, v["row_count"]), row(PK_HASH, none, v["pk_hash"]))
     sums = F.transform(
-        F.coalesce(v["aggregates"], F.array().cast("array<struct<column_name: string, agg_type: string, value: string>>")),
-        lambda a: row(SUM, a["column_name"], a["value"]),
+        _aggregates(),
+        lambda a: F.struct(a["agg_type"].alias("metric"), a["column_name"].alias("column_name"), a["value"].alias("value")),
     )
     return (
         manifest.select("schema", F.col("table").alias("table_name"), F.inline(F.concat(fixed, sums)))

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.operators.project import quoted
+from tablelift.functions.text import quoted
 from tablelift.plans.spec import TableSpec
 from tablelift.sinks.files import FILE, TableDir, export_schema, read_export, tie_break
+from tablelift.sinks.manifest import hadoop_path
 
 
 def day_name(spec: TableSpec) -> str | None:
@@ -60,9 +61,10 @@ def publish_table(
 ) -> str:
     """Replace the physical table of a spec; gives its name.
 
-    The new files are complete before the old table goes, so a failed job leaves
-    the old one as it was. ``location`` is the folder for the files; each load
-    takes a new subfolder.
+    The new files are complete before the old table moves aside, and it goes only after the new one has
+    its name; if that fails, the old one gets its name back. Between the two renames, which touch
+    the catalog only, the name is missing for a moment. ``location`` is the folder for the files; each load
+    takes a new subfolder and removes the one it replaces.
     """
     spark = df.sparkSession
     run = uuid.uuid4().hex[:12]
@@ -82,13 +84,37 @@ def publish_table(
         "clustered_by": ",".join(spec.cluster_cols),
         "fingerprint": spec.fingerprint(),
     }
-    values = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items() if v)
+    values = ", ".join(f"'{k}' = {_text(v)}" for k, v in properties.items() if v)
     spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({values})")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    _swap(spark, name, new, _qualified(database, f"{spec.physical_name}__old_{run}"), location)
     return name
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _swap(spark: SparkSession, name: str, new: str, aside: str, location: str | None) -> None:
+    """Give ``new`` the name; the table that had it goes with its files, or stays if anything fails."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+        return
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {aside}")
+    if location and described:
+        # Dropping an external table leaves its files; only a folder below this location is removed.
+        path, fs = hadoop_path(spark, described["data_type"])
+        root, _ = hadoop_path(spark, location)
+        if fs.makeQualified(path).toString().startswith(f"{fs.makeQualified(root).toString()}/"):
+            fs.delete(path, True)
+
+
 def view_columns(spec: TableSpec, row_hash: bool = False) -> list[Column]:
     """All columns of the source table: stored ones by name, virtual ones by expression."""
     columns = [

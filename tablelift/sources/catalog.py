@@ -7,10 +7,10 @@ over JDBC or be any DataFrames with the column names used below.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelift.plans.types import map_types
 
@@ -46,9 +46,12 @@ def name_set(
     return names.orderBy("name")
 
 
-def list_tables(tables: DataFrame, schemas: Iterable[str] | None = None) -> DataFrame:
-    """Tables of the given schemas (all when None), by name."""
-    if schemas is not None:
+def list_tables(tables: DataFrame, schemas: Iterable[str] | DataFrame | None = None) -> DataFrame:
+    """Tables of the given schemas (all when None), by name; a frame names them in ``name``."""
+    if isinstance(schemas, DataFrame):
+        wanted = schemas.select(F.upper("name").alias("__name"))
+        tables = tables.join(wanted, tables["owner"] == wanted["__name"], "left_semi")
+    elif schemas is not None:
         tables = tables.where(F.col("owner").isin([s.upper() for s in schemas]))
     return tables.orderBy(*TABLE)
 
@@ -93,6 +96,7 @@ def columns_of(columns: DataFrame, comments: DataFrame, number_fallback: str = "
         "is_transformed",
         _yes("virtual_column").alias("is_virtual"),
         F.when(_yes("virtual_column"), F.trim("data_default")).alias("virtual_expr"),
+        (_yes("virtual_column") & F.coalesce(F.octet_length("data_default") >= LONG_EXPRESSION, F.lit(False))).alias("may_be_cut"),
         _yes("hidden_column").alias("is_hidden"),
         _yes("identity_column").alias("is_identity"),
         "comments",
@@ -134,10 +138,10 @@ def index_cols_of(indexes: DataFrame) -> DataFrame:
     )
 
 
-def _names(rows: DataFrame, alias: str) -> DataFrame:
-    # A database limits the columns of one table, so these lists stay short.
-    ordered = F.sort_array(F.collect_list(F.struct("position", "column_name")))
-    return rows.groupBy(*TABLE).agg(F.transform(ordered, lambda x: x["column_name"]).alias(alias))
+def _place(name, first, second) -> Column:
+    """Where a member stands in its list: by name, then by two numbers."""
+    fields = (("name", "string", name), ("first", "long", first), ("second", "long", second))
+    return F.struct(*[(F.lit(None) if c is None else F.col(c)).cast(t).alias(n) for n, t, c in fields]).alias("place")
 
 
 def table_sizes(tables: DataFrame, segments: DataFrame, own_segments: DataFrame | None = None) -> DataFrame:
@@ -177,24 +181,35 @@ def discover(
     """
     detail = columns_of(columns, comments, number_fallback)
     fields = [c for c in detail.columns if c not in (*TABLE, "position")]
-    ordered = F.sort_array(F.collect_list(F.struct("position", *fields)))
-    nested = detail.groupBy(*TABLE).agg(
-        F.transform(ordered, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("columns")
+    described = T.StructType([detail.schema[f] for f in fields])
+    no_member, no_column = F.lit(None).cast("string").alias("member"), F.lit(None).cast(described).alias("column")
+    keys = {
+        "pk_cols": (pk_of(constraints, cons_columns), _place(None, "position", None)),
+        "partition_cols": (partition_cols_of(part_keys), _place(None, "position", None)),
+        "index_cols": (index_cols_of(indexes), _place("position.index_name", "position.column_position", None)),
+    }
+    # All that belongs to a table is stacked and grouped once. A database limits the columns of one table, so the
+    # lists stay short.
+    stacked = detail.select(
+        *TABLE, F.lit("columns").alias("kind"), _place(None, "position.column_id", "position.internal_column_id"),
+        no_member, F.struct(*fields).alias("column"),
     )
-    parts = [
-        nested,
-        _names(pk_of(constraints, cons_columns), "pk_cols"),
-        _names(partition_cols_of(part_keys), "partition_cols"),
-        _names(index_cols_of(indexes), "index_cols"),
-    ]
-    sized = table_sizes(tables, segments, own_segments)
-    joined = reduce(lambda left, right: left.join(right, TABLE, "left"), parts, sized)
+    for kind, (rows, place) in keys.items():
+        members = rows.select(*TABLE, F.lit(kind).alias("kind"), place, F.col("column_name").alias("member"), no_column)
+        stacked = stacked.unionByName(members)
+
+    def listed(kind: str, value: str) -> Column:
+        own = F.collect_list(F.when(F.col("kind") == kind, F.struct("place", "member", "column")))
+        return F.transform(F.sort_array(own), lambda x: x[value]).alias(kind)
+
+    grouped = stacked.groupBy(*TABLE).agg(listed("columns", "column"), *[listed(kind, "member") for kind in keys])
+    joined = table_sizes(tables, segments, own_segments).join(grouped, TABLE, "left")
     none = F.array().cast("array<string>")
     return joined.select(
         F.col("owner").alias("schema"),
         F.col("table_name").alias("table"),
-        F.coalesce("columns", F.array().cast(nested.schema["columns"].dataType)).alias("columns"),
+        F.coalesce("columns", F.array().cast(T.ArrayType(described))).alias("columns"),
         "size_gb",
         "blocks",
-        *[F.coalesce(n, none).alias(n) for n in ("pk_cols", "partition_cols", "index_cols")],
+        *[F.coalesce(n, none).alias(n) for n in keys],
     )

@@ -71,17 +71,37 @@ def range_predicates(key: str, cuts: Sequence[object]) -> list[str]:
 
 
 def _literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
     if isinstance(value, datetime):
         return f"TIMESTAMP '{value}'"
     return f"DATE '{value}'" if isinstance(value, date) else str(value)
 
 
 def split_predicates(predicates: Sequence[str], salt: str, ways: int) -> list[str]:
-    """Cut every chunk ``ways`` times by a non-negative source expression.
+    """Cut every chunk ``ways`` times by a numeric source expression.
 
     For keys on which one value holds a large part of the rows: no key range can
-    divide such a value, a hash of the row address can.
+    divide such a value, a hash of the row address can. Rows whose salt is NULL or
+    negative are matched too, and every row exactly once.
     """
     if ways < 2:
         return list(predicates)
-    return [f"({p}) AND MOD({salt}, {ways}) = {i}" for p in predicates for i in range(ways)]
+    part = f"COALESCE(MOD(ABS({salt}), {ways}), 0)"
+    tests = [f"{part} = {i}" for i in range(ways - 1)]
+    tests.append(f"{part} NOT IN ({', '.join(map(str, range(ways - 1)))})")
+    return [f"({p}) AND {t}" for p in predicates for t in tests]
+
+
+def chunk_of(predicates: Sequence[str]) -> Column:
+    """The number of the predicate that matches a row: all chunks in one scan."""
+    out = F.when(F.expr(predicates[0]), F.lit(0).cast("long"))
+    for i, p in enumerate(predicates[1:], 1):
+        out = out.when(F.expr(p), F.lit(i).cast("long"))
+    return out
+
+
+def ntile_query(relation: str, key: str, n: int, where: str | None = None) -> str:
+    """Source query of the first key of each of ``n`` ranges of even row count: ``n`` rows come back."""
+    rows = f"SELECT {key} AS K, NTILE({n}) OVER (ORDER BY {key}) AS B FROM {relation} WHERE {key} IS NOT NULL"
+    return f"(SELECT B, MIN(K) AS LO FROM ({rows}{f' AND ({where})' if where else ''}) x GROUP BY B) y"

@@ -6,12 +6,13 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tablelift.operators.project import quoted
-from tablelift.plans.spec import TableSpec
+from tablelift.functions.text import quoted
+from tablelift.plans.options import ExportOptions
+from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sources import chunks
 
 log = logging.getLogger(__name__)
@@ -36,28 +37,34 @@ class JdbcSource:
     """Tables of a database.
 
     ``expressions`` replaces columns by SQL of the source, for values that only
-    the source can convert (geometry to text, for example). ``salt`` is a source
-    expression such as a hash of the row address; see ``chunks.split_predicates``.
+    the source can convert (geometry to text, for example); intervals and row
+    addresses have default expressions. ``salt`` is a numeric source expression
+    such as a hash of the row address (see ``chunks.split_predicates``), and
+    ``ranges`` are predicates of the source that together match every row once,
+    such as ranges of row addresses: both cut tables that no key cuts.
+    ``fetch_rows`` overrides the option of the job.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
-    fetch_rows: int = 10_000
+    fetch_rows: int | None = None
     expressions: Mapping[str, str] = field(default_factory=dict)
     salt: str | None = None
+    ranges: Mapping[str, Sequence[str]] = field(default_factory=dict)
+
+    def table(self, spec: TableSpec) -> str:
+        return f"{sql_name(spec.schema)}.{sql_name(spec.table)}"
 
     def relation(self, spec: TableSpec) -> str:
-        table = f"{sql_name(spec.schema)}.{sql_name(spec.table)}"
-        if not self.expressions:
-            return table
-        columns = [
-            f"{self.expressions[c.name]} AS {sql_name(c.name)}" if c.name in self.expressions else sql_name(c.name)
-            for c in spec.physical
-        ]
-        return f"(SELECT {', '.join(columns)} FROM {table}) t"
+        """Query that names every physical column, so that no other column is even looked at."""
+        columns = []
+        for c in spec.physical:
+            value = self.expressions.get(c.name) or default_expression(c)
+            columns.append(f"{value} AS {sql_name(c.name)}" if value else sql_name(c.name))
+        return f"(SELECT {', '.join(columns)} FROM {self.table(spec)}) t"
 
     def load(self, spark: SparkSession, spec: TableSpec, predicates: Sequence[str] | None = None) -> DataFrame:
-        props = {**self.properties, "fetchsize": str(self.fetch_rows)}
+        props = {**self.properties, "fetchsize": str(self.fetch_rows or ExportOptions.fetch_rows)}
         if predicates:
             return spark.read.jdbc(self.url, self.relation(spec), predicates=list(predicates), properties=props)
         return spark.read.jdbc(self.url, self.relation(spec), properties=props)
@@ -67,6 +74,26 @@ class JdbcSource:
 Source = FileSource | JdbcSource | Callable[[SparkSession, TableSpec], DataFrame]
 
 
+def default_expression(c: ColumnSpec) -> str | None:
+    """SQL of the source for types that have no portable value."""
+    name, raw = sql_name(c.name), c.raw_type.strip().upper()
+    if raw.startswith(("ROWID", "UROWID")):
+        return f"CAST({name} AS VARCHAR(4000))"
+    if not raw.startswith("INTERVAL"):
+        return None
+
+    def part(unit: str) -> str:
+        return f"ABS(EXTRACT({unit} FROM {name}))"
+
+    if "MONTH" in raw:
+        sign = f"CASE WHEN {name} < INTERVAL '0' MONTH THEN '-' ELSE '' END"
+        text = f"{sign} || {part('YEAR')} || '-' || {part('MONTH')} || ' 0 0:0:0'"
+    else:
+        sign = f"CASE WHEN {name} < INTERVAL '0' SECOND THEN '-' ELSE '' END"
+        text = f"'0-0 ' || {sign} || {part('DAY')} || ' ' || " + " || ':' || ".join(map(part, ("HOUR", "MINUTE", "SECOND")))
+    return f"CASE WHEN {name} IS NOT NULL THEN {text} END"
+
+
 def sql_name(name: str) -> str:
     """A quoted identifier for the source database."""
     return '"' + name.replace('"', '""') + '"'
@@ -84,45 +111,81 @@ def _finish(df: DataFrame, spec: TableSpec, where: str | None) -> DataFrame:
     return df.select(*[quoted(c.name).alias(c.name) for c in spec.physical])
 
 
-def scan(spark: SparkSession, source: Source, spec: TableSpec, where: str | None = None) -> DataFrame:
-    """The physical columns of a table; filter and column list reach the source."""
-    return _finish(_load(spark, source, spec), spec, where)
+def scan(
+    spark: SparkSession, source: Source, spec: TableSpec, where: str | None = None, deal_bytes: int = 0
+) -> DataFrame:
+    """The physical columns of a table; filter and column list reach the source.
+
+    ``deal_bytes`` deals the rows of small files out to all cores; see :func:`dealt`.
+    """
+    df = _load(spark, source, spec)
+    if not deal_bytes:
+        return _finish(df, spec, where)
+    return dealt(df.where(F.expr(where)) if where else df, [c.name for c in spec.physical], deal_bytes)
+
+
+# Source types whose values the source can order, so that they can cut a table.
+_ORDERABLE = ("NUMBER", "FLOAT", "BINARY", "DATE", "TIMESTAMP", "CHAR", "NCHAR", "VARCHAR", "NVARCHAR")
+
+
+def chunk_predicates(
+    spark: SparkSession, source: JdbcSource, spec: TableSpec, n: int, where: str | None = None
+) -> list[str] | None:
+    """About ``n`` predicates that match every row exactly once; None where nothing can cut the table.
+
+    The caller's ranges come first. Else the first orderable key column is cut into ranges of even row count: the
+    source finds the bounds itself, within the row filter, and sends one row for each. Ranges that coincide mean hot
+    key values; those, and tables without such a key, are cut by the salt.
+    """
+    given = source.ranges.get(spec.table)
+    if given:
+        return list(given)
+    kinds = {c.name: c.raw_type.strip().upper() for c in spec.columns}
+    key = next((k for k in spec.pk_cols if kinds.get(k, "").startswith(_ORDERABLE)), None)
+    predicates = ["1=1"]
+    if key is not None:
+        name = sql_name(key)
+        query = chunks.ntile_query(source.table(spec), name, n, where)
+        firsts = spark.read.jdbc(source.url, query, properties=dict(source.properties)).select("LO").collect()
+        predicates = chunks.range_predicates(name, sorted({r["LO"] for r in firsts if r["LO"] is not None})[1:])
+    if source.salt and len(predicates) < n:
+        predicates = chunks.split_predicates(predicates, source.salt, -(-n // len(predicates)))
+    return predicates if len(predicates) > 1 else None
 
 
 def scan_chunked(
-    spark: SparkSession, source: Source, spec: TableSpec, key: str, n: int, where: str | None = None
+    spark: SparkSession, source: Source, spec: TableSpec, n: int, where: str | None = None
 ) -> DataFrame:
-    """The same rows, read by at least ``n`` tasks where the source needs telling.
+    """The same rows, read by about ``n`` tasks where the source needs telling.
 
-    Database tables are cut on ``key`` into ranges of even row count, each range
-    one partition of the result. If the bounds cannot be found, the table is read
-    by a single task.
+    Each predicate of a database table is one partition of the result. Errors of the source are not swallowed: a table
+    whose bounds cannot be read fails instead of being read by a single task.
     """
     if not isinstance(source, JdbcSource) or n < 2:
         return scan(spark, source, spec, where)
-    try:
-        cuts = chunks.balanced_cuts(_load(spark, source, spec).select(quoted(key).alias("k")), "k", n)
-        predicates = chunks.range_predicates(sql_name(key), cuts)
-        if source.salt and len(predicates) < n:
-            # Quantiles that coincide mean hot key values: divide their rows by the salt.
-            predicates = chunks.split_predicates(predicates, source.salt, -(-n // len(predicates)))
-    except Exception as e:  # noqa: BLE001 - a failed plan must not lose the table
-        log.warning("no chunk bounds for %s.%s, reading it whole: %s", spec.schema, spec.table, e)
-        predicates = None
+    predicates = chunk_predicates(spark, source, spec, n, where)
+    if predicates is None:
+        log.warning("%s.%s has no orderable key, ranges or salt: one task reads it", spec.schema, spec.table)
     return _finish(_load(spark, source, spec, predicates), spec, where)
 
 
-def spread(df: DataFrame, tasks: int, max_task_bytes: int = 128 << 20, min_task_bytes: int = 1 << 16) -> DataFrame:
-    """Give a small input enough tasks for CPU-heavy projections.
+def dealt(df: DataFrame, columns: Sequence[str], most_bytes: int = 1 << 30, tasks: int | None = None) -> DataFrame:
+    """Columns of a small file scan, dealt out to all cores by file and row number.
 
-    One row group is read by one task, so a table in few files can leave most
-    cores idle. Its rows are dealt out anew, by value, so that a repeated task
-    deals them the same way; the size estimate keeps this away from tiny tables
-    and from anything large, which Spark already splits well.
+    One row group is read by one task, so a table in few files can leave most cores idle. A row's file and number
+    are the same whenever the scan is repeated, and differ for equal rows, so no value makes a task larger. Only the
+    named columns are read and moved. Scans of more than ``most_bytes``, scans with enough tasks, and sources
+    without row numbers stay as they are.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size > tasks * max_task_bytes or not 0 < len(df.inputFiles()) < tasks:
-        return df
-    wanted = min(tasks, size // min_task_bytes)
-    values = [quoted(f.name) for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return df.repartition(wanted, F.xxhash64(*values)) if wanted > 1 and values else df
+    named = [quoted(c).alias(c) for c in columns]
+    picked = df.select(*named)
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
+    plan = picked._jdf.queryExecution()
+    if int(plan.optimizedPlan().stats().sizeInBytes()) > most_bytes or plan.toRdd().getNumPartitions() >= tasks:
+        return picked
+    try:
+        place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+        numbered = df.select(*named, *place)
+    except AnalysisException:
+        return picked
+    return numbered.repartition(tasks, "__file", "__row").drop("__file", "__row")

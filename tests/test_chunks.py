@@ -1,9 +1,15 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
+from tablelift.jobs import export_frame
+from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
-from tablelift.plans.tasks import plan_tasks
-from tablelift.sources.chunks import balanced_cuts, chunk_bounds, range_predicates, split_predicates, with_chunk
-from tablelift.sources.scan import FileSource, JdbcSource, scan, scan_chunked, spread
+from tablelift.plans.tasks import is_large, plan_tasks
+from tablelift.sources.chunks import (
+    balanced_cuts, chunk_bounds, chunk_of, ntile_query, range_predicates, split_predicates, with_chunk,
+)
+from tablelift.sources.scan import FileSource, JdbcSource, chunk_predicates, dealt, scan, scan_chunked
 
 
 def test_bounds_against_brute_force(spark):
@@ -64,6 +70,31 @@ def test_hot_key_is_split_by_salt(spark):
     assert split_predicates(predicates, "id", 1) == predicates
 
 
+def test_salts_that_are_missing_or_negative_lose_no_row(spark):
+    df = spark.range(100).select(F.col("id").alias("k"), F.when(F.col("id") % 4 != 0, F.col("id") * F.when(F.col("id") % 3 == 0, -1).otherwise(1)).alias("s"))
+    parts = split_predicates(range_predicates("k", [30, 60]), "s", 3)
+    hits = sum(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in parts)
+    assert len(parts) == 9 and df.where(hits == 1).count() == 100
+    assert df.select(chunk_of(parts).alias("c")).where("c IS NULL OR c NOT BETWEEN 0 AND 8").count() == 0
+
+
+def test_ranges_of_text_keys(spark):
+    df = spark.createDataFrame([("a",), ("it's",), ("m",), (None,), ("z",)], "k string")
+    hits = sum(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in range_predicates("k", ["j", "n"]))
+    assert df.where(hits == 1).count() == 5 and "'it''s'" in range_predicates("k", ["it's"])[0]
+
+
+def test_one_rule_for_large_tables():
+    assert [is_large(x, 1.0) for x in (0.5, 1.0, 1.5, 0.0, None)] == [False, False, True, True, True]
+
+
+def test_bounds_are_found_by_the_source(spark):
+    """The pushed query, run by Spark in the database's place: even ranges of any orderable key, within the filter."""
+    spark.range(1000).selectExpr("concat('k', lpad(id, 4, '0')) AS K1", "id AS N").createOrReplaceTempView("source_table")
+    rows = spark.sql(f"SELECT * FROM {ntile_query('source_table', 'K1', 4, 'N >= 200')}").collect()
+    assert sorted(r["LO"] for r in rows) == ["k0200", "k0400", "k0600", "k0800"]
+
+
 def test_plan_tasks(spark):
     specs = spark.createDataFrame(
         [("S", "BIG", 2.0, 10), ("S", "SMALL", 1.0, 10), ("S", "NOSTAT", 5.0, None), ("S", "TINY", 2.0, 2)],
@@ -85,25 +116,45 @@ SPEC = TableSpec("HR", 'my"tab', (ColumnSpec("ID", "NUMBER", "INT64", "bigint"),
 
 
 def test_database_relation_text():
-    assert JdbcSource("jdbc:x").relation(SPEC) == '"HR"."my""tab"'
+    assert JdbcSource("jdbc:x").relation(SPEC) == '(SELECT "ID", "LOC" FROM "HR"."my""tab") t'
+    odd = TableSpec("HR", "T", (
+        ColumnSpec("Y", "INTERVAL YEAR(2) TO MONTH", "STRING", "string"), ColumnSpec("D", "INTERVAL DAY(2) TO SECOND(6)", "STRING", "string"),
+        ColumnSpec("R", "UROWID", "STRING", "string"),
+    ))
+    text = JdbcSource("jdbc:x").relation(odd)
+    assert 'EXTRACT(YEAR FROM "Y")' in text and "' 0 0:0:0'" in text and 'EXTRACT(SECOND FROM "D")' in text and 'CAST("R" AS VARCHAR(4000)) AS "R"' in text
     wkt = JdbcSource("jdbc:x", expressions={"LOC": 'SDO_UTIL.TO_WKTGEOMETRY("LOC")'})
     assert wkt.relation(SPEC) == '(SELECT "ID", SDO_UTIL.TO_WKTGEOMETRY("LOC") AS "LOC" FROM "HR"."my""tab") t'
 
 
-def test_failed_chunk_plan_reads_the_table_whole(spark, monkeypatch):
-    asked = []
+def test_database_tables_are_cut_by_ranges_key_or_salt(spark, monkeypatch):
+    keyed = replace(SPEC, pk_cols=("LOC", "ID"))
+    asked, plans = [], []
 
     def load(self, spark, spec, predicates=None):
-        asked.append(predicates)
+        asked.append((predicates, self.fetch_rows))
         return spark.createDataFrame([(1, "p")], "ID long, LOC string")
 
+    def jdbc(self, url, table, **more):
+        plans.append(table)
+        return spark.createDataFrame([(1, 3), (2, 7), (3, 7)], "B int, LO long")
+
     monkeypatch.setattr(JdbcSource, "load", load)
-    monkeypatch.setattr("tablelift.sources.chunks.balanced_cuts", lambda *a: 1 / 0)
-    assert scan_chunked(spark, JdbcSource("jdbc:x"), SPEC, "ID", 4).count() == 1
-    assert asked[-1] is None
-    monkeypatch.setattr("tablelift.sources.chunks.balanced_cuts", lambda *a: [5])
-    scan_chunked(spark, JdbcSource("jdbc:x", salt="ORA_HASH(ROWID)"), SPEC, "ID", 4)
-    assert len(asked[-1]) == 4 and "MOD(ORA_HASH(ROWID), 2) = 1" in asked[-1][1]
+    monkeypatch.setattr(type(spark.read), "jdbc", jdbc)
+    assert chunk_predicates(spark, JdbcSource("jdbc:x"), keyed, 3, "ID > 1") == ['("ID" < 7 OR "ID" IS NULL)', '("ID" >= 7)']
+    assert "NTILE(3)" in plans[-1] and "AND (ID > 1)" in plans[-1]
+    assert len(chunk_predicates(spark, JdbcSource("jdbc:x", salt="ORA_HASH(ROWID)"), keyed, 4)) == 4
+    assert len(chunk_predicates(spark, JdbcSource("jdbc:x", salt="ORA_HASH(ROWID)"), SPEC, 4)) == 4
+    assert chunk_predicates(spark, JdbcSource("jdbc:x", ranges={'my"tab': ["a", "b"]}), keyed, 4) == ["a", "b"]
+    assert chunk_predicates(spark, JdbcSource("jdbc:x"), SPEC, 4) is None
+    # Any table above the threshold, or of unknown size, goes this way; the option of the job sets the fetch size.
+    export_frame(spark, JdbcSource("jdbc:x"), keyed, ExportOptions(parallel=3, fetch_rows=77))
+    assert asked[-1] == (['("ID" < 7 OR "ID" IS NULL)', '("ID" >= 7)'], 77)
+    export_frame(spark, JdbcSource("jdbc:x"), replace(keyed, size_gb=0.1), ExportOptions(parallel=3))
+    assert asked[-1] == (None, 10_000)
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        scan_chunked(spark, JdbcSource("jdbc:x"), keyed, 4)
 
 
 def test_filter_and_columns_reach_the_files(spark, tmp_path):
@@ -114,13 +165,15 @@ def test_filter_and_columns_reach_the_files(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert df.columns == ["id"] and df.count() == 89
     assert "PushedFilters: [IsNotNull(x), GreaterThan(x,20)]" in plan and "y" not in plan.split("ReadSchema")[1]
-    assert scan_chunked(spark, src, spec, "id", 4).count() == 100
+    assert scan_chunked(spark, src, spec, 4).count() == 100
 
 
-def test_only_small_inputs_are_spread(spark, tmp_path):
-    spark.range(100000).coalesce(1).write.parquet(str(tmp_path / "t"))
+def test_small_files_are_dealt_out_evenly_and_pruned(spark, tmp_path):
+    spark.range(20000).selectExpr("1 AS same", "id", "id * 2 AS other").coalesce(1).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    assert spread(df, 4).rdd.getNumPartitions() == 4
-    assert spread(df, 4, max_task_bytes=10) is df
-    assert spread(df, 4, min_task_bytes=1 << 30) is df
-    assert spread(df, 4).count() == 100000
+    out = dealt(df, ["same"], tasks=4)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert out.columns == ["same"] and len(sizes) == 4 and sum(sizes) == 20000 and max(sizes) < 6000
+    assert "other" not in out._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert dealt(df, ["id"], most_bytes=10, tasks=4).rdd.getNumPartitions() == 1
+    assert dealt(spark.range(5).toDF("id").coalesce(1), ["id"], tasks=4).rdd.getNumPartitions() == 1

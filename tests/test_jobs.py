@@ -1,14 +1,17 @@
+import glob
+import gzip
 import json
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from tablelift.jobs import export_table, export_tables, verify_export
+from tablelift.operators.results import audit
 from tablelift.plans.options import ExportOptions
-from tablelift.plans.spec import TableSpec
+from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir, read_export
-from tablelift.sinks.manifest import manifest_checks, read_manifest, schema_rows
-from tablelift.sinks.publish import load_table
+from tablelift.sinks.manifest import lost_values, manifest_checks, read_manifest, schema_rows
+from tablelift.sinks.publish import load_table, publish_table
 
 
 def people(spark, spec=None):
@@ -34,7 +37,8 @@ def test_export_counts_what_it_writes(spark, spec, tmp_path, fmt):
     done = export_table(spark, people, spec, str(tmp_path), ExportOptions(fmt=fmt, row_hash=True))
     assert (done["rows"], done["status"]) == (500, "SUCCESS") and done["bytes"] > 500 * 64
     checked = verify_export(spark, spec, str(tmp_path))
-    assert checked.count() == 4 and checked.where("NOT matches").count() == 0
+    # Rows, key hash total, row hashes, two sums, four counts of values.
+    assert checked.count() == 9 and checked.where("NOT matches").count() == 0
     back = read_export(spark, TableDir(str(tmp_path), "HR", "PEOPLE").data, spec, fmt, row_hash=True)
     assert back.columns == ["ID", "NAME", "PAY", "AT", "ROW_HASH"]
     assert back.select("ROW_HASH").distinct().count() == 500
@@ -46,7 +50,55 @@ def test_verify_notices_lost_and_changed_rows(spark, spec, tmp_path):
     kept = spark.createDataFrame(read_export(spark, place.data, spec, "parquet", True).where("ID <> 7").collect())
     kept.write.mode("overwrite").parquet(place.data)
     bad = {(r["metric"], r["column_name"]) for r in verify_export(spark, spec, str(tmp_path)).where("NOT matches").collect()}
-    assert bad == {("ROW_COUNT", ""), ("PK_HASH", ""), ("SUM", "ID"), ("SUM", "PAY")}
+    assert bad == {("ROW_COUNT", ""), ("PK_HASH", ""), ("SUM", "ID"), ("SUM", "PAY"), *[("NON_NULL", c) for c in ("ID", "NAME", "PAY", "AT")]}
+
+
+def test_verify_notices_one_changed_text(spark, spec, tmp_path):
+    export_table(spark, people, spec, str(tmp_path), ExportOptions(fmt="parquet", row_hash=True))
+    place = TableDir(str(tmp_path), "HR", "PEOPLE")
+    rows = spark.createDataFrame(read_export(spark, place.data, spec, "parquet", True).collect())
+    rows.withColumn("NAME", F.when(F.col("ID") == 7, "nobody").otherwise(F.col("NAME"))).write.mode("overwrite").parquet(place.data)
+    bad = verify_export(spark, spec, str(tmp_path)).where("NOT matches").collect()
+    assert [(r["metric"], r["source_value"], r["target_value"]) for r in bad] == [("HASH_MISMATCHES", "0", "1")]
+
+
+def test_damaged_csv_cells_fail_the_read(spark, tmp_path):
+    spec = TableSpec.from_frame(spark.range(3).selectExpr("id AS ID", "id = 1 AS FLAG"), "HR", "FLAGS")
+    export_table(spark, lambda s, _: s.range(3).selectExpr("id AS ID", "id = 1 AS FLAG"), spec, str(tmp_path), ExportOptions(fmt="csv", sep=","))
+    place = TableDir(str(tmp_path), "HR", "FLAGS")
+    text = [line for f in sorted(glob.glob(f"{place.data}/*.gz")) for line in gzip.open(f, "rt")]
+    with gzip.open(f"{place.data}/part-damaged.csv.gz", "wt") as f:
+        f.write('"ID","FLAG"\n"9","tr?e"\n')
+    assert len(text) > 3
+    with pytest.raises(Exception, match="a cell is no boolean: tr.e"):
+        read_export(spark, place.data, spec, "csv", sep=",").collect()
+
+
+def test_values_lost_in_casts(spark, tmp_path):
+    spec = TableSpec("HR", "PAY", (ColumnSpec("ID", "NUMBER(9,0)", "INT64", "bigint"), ColumnSpec("PAY", "NUMBER(5,1)", "BIGNUMERIC", "decimal(5,1)")))
+
+    def source(spark, _):
+        return spark.createDataFrame([(1, "1.5"), (2, "oops"), (3, "99999999.0"), (4, None)], "ID long, PAY string")
+
+    done = export_table(spark, source, spec, str(tmp_path), ExportOptions(fmt="parquet"))
+    assert (done["status"], done["lost"]) == ("FAILED", 2) and done["error"] == "values lost in casts: PAY: 2"
+    assert read_manifest(spark, str(tmp_path)).count() == 0
+    done = export_table(spark, source, spec, str(tmp_path), ExportOptions(fmt="parquet", lost_values="record"))
+    assert (done["status"], done["lost"]) == ("SUCCESS", 2)
+    lost = {r["column_name"]: r["lost"] for r in lost_values(read_manifest(spark, str(tmp_path))).collect()}
+    assert lost == {"ID": 0, "PAY": 2}
+    # The source's own sum is what the files are held against.
+    bad = verify_export(spark, spec, str(tmp_path)).where("NOT matches").collect()
+    assert [(r["metric"], r["column_name"], r["target_value"]) for r in bad] == [("SUM", "PAY", "1.5")]
+
+
+def test_odd_column_names(spark, tmp_path):
+    rows = spark.range(4).selectExpr("id AS `a``b`", "'x' AS `c.d`")
+    spec = TableSpec.from_frame(rows, "HR", "ODD", pk_cols=["a`b"])
+    for fmt in ("csv", "parquet"):
+        assert export_table(spark, lambda s, _: rows, spec, str(tmp_path), ExportOptions(fmt=fmt, row_hash=True))["status"] == "SUCCESS"
+        assert verify_export(spark, spec, str(tmp_path)).where("NOT matches").count() == 0
+    assert publish_table(rows, spec).endswith("ODD`") and spark.table("ODD").count() == 4
 
 
 def test_source_is_read_once(spark, spec, tmp_path):
@@ -84,6 +136,9 @@ def test_failing_table_stops_nothing_and_is_resumed(spark, spec, tmp_path):
     broken["on"] = False
     second = results(export_tables(spark, source, [spec, other], str(tmp_path), options))
     assert (second["PEOPLE"]["rows"], second["BROKEN"]["rows"]) == (0, 500)
+    assert (second["PEOPLE"]["status"], second["BROKEN"]["status"]) == ("SKIPPED", "SUCCESS")
+    checks = audit(spark.createDataFrame(list(second.values()), "schema string, table string, rows long, bytes long, seconds double, status string, error string, lost long"), manifest_checks(read_manifest(spark, str(tmp_path))))
+    assert all(r["rows_match"] for r in checks.collect())
 
     # Another filter means other content: the table runs again, and old files go.
     third = results(export_tables(spark, source, [spec], str(tmp_path), replace(options, where="ID < 10")))
@@ -113,7 +168,7 @@ def test_verify_needs_a_record(spark, spec, tmp_path):
         verify_export(spark, spec, str(tmp_path))
 
 
-def test_published_table_and_view(spark, spec, tmp_path):
+def test_published_table_and_view(spark, spec, tmp_path, monkeypatch):
     spark.sql("CREATE DATABASE IF NOT EXISTS lift_test")
     for fmt, where, rows in (("parquet", None, 500), ("csv", "ID < 100", 100)):
         export_table(spark, people, spec, str(tmp_path), ExportOptions(fmt=fmt, row_hash=True, where=where))
@@ -121,6 +176,20 @@ def test_published_table_and_view(spark, spec, tmp_path):
         got = spark.table(view)
         assert got.columns == ["ID", "NAME", "PAY", "AT", "TWICE", "ROW_HASH"] and got.count() == rows
         assert got.where("TWICE <> PAY * 2").count() == 0
+    assert len(list((tmp_path / "pub" / "PEOPLE_PHYSICAL").iterdir())) == 1
+    # A load that fails at the last step leaves the old table readable under its name.
+    failing = type(spark).sql
+
+    def sql(self, text, *a, **k):
+        if "RENAME TO `lift_test`.`PEOPLE_PHYSICAL`" in text and "__old" not in text:
+            monkeypatch.undo()
+            raise RuntimeError("catalog away")
+        return failing(self, text, *a, **k)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError, match="catalog away"):
+        load_table(spark, str(tmp_path), spec, "csv", True, database="lift_test", location=str(tmp_path / "pub"))
+    assert spark.table("lift_test.PEOPLE_PHYSICAL").count() == 100
     physical = spark.table("lift_test.PEOPLE_PHYSICAL")
     assert {f.name: f.metadata.get("comment") for f in physical.schema}["PAY"] == 'per "month"'
     assert [c.name for c in spark.catalog.listColumns("lift_test.PEOPLE_PHYSICAL") if c.isPartition] == ["AT_DAY"]

@@ -120,5 +120,5 @@ def test_summary_and_audit(spark):
     assert run_summary(t, 0.0).first()["total_mb_per_sec"] == 0.0
     assert run_summary(t.limit(0)).first()["total_bytes"] == 0
     records = spark.createDataFrame([("S", "A", 10, "77", 3)], "schema string, table string, row_count long, pk_hash string, sums int")
-    got = {r["table"]: (r["checks"], r["rows_match"]) for r in audit(t, records).collect()}
-    assert got == {"A": ("PK_HASH_OK, AGG_CHECKS=3", True), "B": ("Basic", False)}
+    got = {r["table"]: (r["has_key_total"], r["sum_checks"], r["rows_match"]) for r in audit(t, records).collect()}
+    assert got == {"A": (True, 3, True), "B": (False, 0, False)}

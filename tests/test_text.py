@@ -17,11 +17,12 @@ def texts(df, f=canonical_text):
 
 
 def test_doubles_are_exact_or_shortest(spark):
-    values = [0.0, -0.0, 112946.26, -0.5, 1e-9, 1e300, float("nan"), float("inf"), 0.1 + 0.2, 9e12, 123456.0, None]
+    values = [0.0, -0.0, 112946.26, -0.5, 1e-9, 1e300, float("nan"), float("inf"), 0.1 + 0.2, 9e12, 123456.0, 8.9e12, 9100000000000.5, 1e31, None]
     got = texts(spark.createDataFrame([(v,) for v in values], "c double"))
     assert got == [
         "0.000000", "0.000000", "112946.260000", "-0.500000", "1.0E-9", "1.0E300", "NaN", "Infinity",
-        "0.30000000000000004", "9.0E12", "123456.000000", None,
+        "0.30000000000000004", "9000000000000.000000", "123456.000000", "8900000000000.000000", "9100000000000.500000",
+        "1.0E31", None,
     ]
 
 

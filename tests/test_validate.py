@@ -28,11 +28,36 @@ def test_sums_of_extreme_numbers(spark):
     def total(*values):
         return stats(spark.createDataFrame([(v,) for v in values], "v double")).get(("SUM", "v"))
 
-    assert total(1e13, 0.5, -3.0) == "9999999999997.500000"
-    assert total(float("nan"), 1.0) == "NaN"
-    assert total(float("inf"), 1.0) == "Infinity"
-    assert total(1e35, 1e35) == "2.0E35"
+    assert total(0.5, -3.0, 1.25) == "-1.250000"
+    assert total(float("nan"), 1.0) == "1.000000 + 1 NaN"
+    assert total(float("inf"), 1.0, float("-inf"), float("inf")) == "1.000000 + 2 Infinity + 1 -Infinity"
     assert total(None, None) is None
+    assert total(0.0, -0.0) == "0.000000"
+    # Nothing is rounded away, and no value changes how the others are added.
+    tiny = total(*[i * 1e-9 for i in range(1000)])
+    assert tiny != "0.000500" and tiny == total(*[i * 1e-9 for i in reversed(range(1000))])
+    assert total(4e-7) != total(3e-7) != total(None)
+    mixed = [1e40, 1e20, -1e40, 3.3e25, 1e-300, 1e300, 0.1, 7.0]
+    assert total(*mixed) == total(*reversed(mixed)) and total(*mixed) != total(*mixed[:-1])
+    assert total(1e300, 1e-300) != total(1e300, 2e-300)
+
+
+def test_bands_add_up_to_the_exact_sum(spark):
+    from fractions import Fraction
+    import random
+    import re
+
+    r = random.Random(3)
+    values = [r.uniform(-1, 1) * 10.0 ** r.randint(-11, 40) for _ in range(2000)]
+    values = [v for v in values if abs(v) > 1e-12] + [float(i) for i in range(50)]
+    text = stats(spark.createDataFrame([(v,) for v in values], "v double"))["SUM", "v"]
+    got = Fraction(0)
+    for figure in text.split(" + "):
+        m = re.fullmatch(r"(-?[\d.]+)(?: x 2\^(-?\d+))?", figure)
+        got += Fraction(m[1]) * Fraction(2) ** int(m[2] or 0)
+    # Whole millionths count as their decimal digits, all others as the exact number they are.
+    micros = lambda v: Fraction(round(v * 1e6), 10**6) if abs(v) < 9e9 and round(v * 1e6) / 1e6 == v else None
+    assert got == sum(Fraction(v) if micros(v) is None else micros(v) for v in values)
 
 
 def test_sums_do_not_overflow(spark):
