@@ -15,6 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tablelift.functions.text import quoted
 from tablelift.functions.widths import columnar_bytes, text_bytes
 from tablelift.operators.project import apply_types, csv_text, physical
 from tablelift.operators.results import (
@@ -22,7 +23,7 @@ from tablelift.operators.results import (
 )
 from tablelift.operators.rowhash import row_hash, with_row_hash
 from tablelift.operators.validate import (
-    HASH_MISMATCHES, NON_NULL, ROW_COUNT, SUM, long_form, reconcile, source_statistics, statistics,
+    HASH_MISMATCHES, NON_NULL, ROW_COUNT, SUM, long_form, prepared, reconcile, source_statistics, statistics,
 )
 from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ROW_HASH, TableSpec
@@ -72,29 +73,34 @@ def export_table(
     wide = spec.with_fallback(options.number_fallback)
     as_text = options.fmt == "csv"
     df = scanned(spark, source, wide, options)
-    before = source_statistics(df, wide, as_text)
+    looked, before = source_statistics(df, wide, as_text)
     came = Observation(f"source-{spec.schema}.{spec.table}")
-    df = _typed(df.observe(came, F.count(F.lit(1)).alias("rows"), *_named(before)), wide, options)
+    if before:
+        looked = looked.observe(came, *_named(before))
+    df = _typed(looked, wide, options)
     checks = statistics(df, wide, options.row_hash, counts=True, empty_is_null=as_text)
+    names = [quoted(n) for n in df.columns]
     delete_manifest(spark, place)
 
     seen = Observation(f"checks-{spec.schema}.{spec.table}")
     if as_text:
-        df = df.observe(seen, *_named(checks))
+        df = prepared(df, wide).observe(seen, *_named(checks)).select(*names)
         sizes = Observation(f"sizes-{spec.schema}.{spec.table}")
         text = csv_text(df)
         text = text.observe(sizes, text_bytes(text.columns).alias("bytes"))
         write_csv_text(text, place.data, options.sep, options.max_rows_per_file)
         bytes_ = sizes.get["bytes"]
     else:
-        df = df.observe(seen, *_named(checks), columnar_bytes(df.schema).alias("bytes"))
+        bytes_of = columnar_bytes(df.schema).alias("bytes")
+        df = prepared(df, wide).observe(seen, *_named(checks), bytes_of).select(*names)
         write_parquet(df, place.data, options.compression, options.max_rows_per_file, options.block_bytes)
         bytes_ = seen.get["bytes"]
 
-    written, source_values = _values(seen.get, checks), _values(came.get, before)
+    written, source_values = _values(seen.get, checks), _values(came.get, before) if before else {}
     casts = []
     for c in wide.physical:
-        had, has = (int(x[NON_NULL, c.name]) for x in (source_values, written))
+        has = int(written[NON_NULL, c.name])
+        had = int(source_values.get((NON_NULL, c.name), has))
         casts.append({"column_name": c.name, "source_values": had, "written_values": has, "lost": max(0, had - has)})
     stats = written | {k: v for k, v in source_values.items() if k[0] == SUM and k in written}
     rows, lost = int(written[ROW_COUNT, None]), sum(c["lost"] for c in casts)

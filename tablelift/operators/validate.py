@@ -21,6 +21,10 @@ NON_NULL, HASH_MISMATCHES = "NON_NULL", "HASH_MISMATCHES"
 # 2**102, which two 64-bit parts hold exactly; the parts are added apart.
 _BANDS = (-42, 8, 58, 108)
 _WIDTH, _HALF = 50, 2.0**40
+_BEYOND, _NAN, _INF, _NEGATIVE_INF = range(len(_BANDS), len(_BANDS) + 4)
+
+# Prefixes of the columns that sums of written and of source values are made of.
+WRITTEN, SOURCE = "__w", "__s"
 
 
 def summed_columns(df: DataFrame, spec: TableSpec) -> list[str]:
@@ -30,50 +34,76 @@ def summed_columns(df: DataFrame, spec: TableSpec) -> list[str]:
     ]
 
 
-def sum_text(c: Column, dtype: T.DataType) -> Column:
-    """Aggregate: the sum of a numeric column as text, NULL where there is none."""
-    if isinstance(dtype, T.IntegralType):
-        return F.try_sum(c.cast("decimal(20,0)")).cast("string")
-    if isinstance(dtype, T.DecimalType):
-        return plain_decimal(F.try_sum(c), dtype.scale)
-    return _double_sum(c.try_cast("double"))
+def _floating(have: T.DataType, spark_type: str | None = None) -> bool:
+    """Whether a column is added as floating numbers; text is where it becomes one."""
+    if isinstance(have, T.StringType):
+        return spark_type == "double"
+    return not isinstance(have, (T.IntegralType, T.DecimalType))
 
 
-def _double_sum(x: Column) -> Column:
-    """Exact sum of floating numbers, whatever the row order.
+def with_parts(df: DataFrame, columns: Sequence[tuple[str, str | None]], prefix: str) -> DataFrame:
+    """Add what the sums of floating columns (name, target Spark type or None) are made of.
 
-    Whole millionths, the usual case, make the first figure. Each band of other sizes adds a figure of its own, a
-    whole number of its unit, and what lies beyond all bands is counted: NaN, infinities, and the tiniest and hugest
+    Whole millionths ``m``; else the band ``b`` and the upper and lower part ``u`` and ``l`` in that band's units.
+    Beyond the bands ``u`` is a hash. Worked out once per value, so that the aggregates stay small.
+    """
+    names = [(f"{prefix}{i}", name) for i, (name, kind) in enumerate(columns) if _floating(field_type(df.schema, name), kind)]
+    if not names:
+        return df
+
+    def number(name: str) -> Column:
+        return quoted(name) if isinstance(field_type(df.schema, name), T.DoubleType) else quoted(name).try_cast("double")
+
+    def band(x: Column) -> Column:
+        size = F.abs(x)
+        found = F.when(F.isnan(x), _NAN).when(x == float("inf"), _INF).when(x == float("-inf"), _NEGATIVE_INF).when(size < 2.0 ** _BANDS[0], _BEYOND)
+        for k, low in enumerate(_BANDS):
+            found = found.when(size < 2.0 ** (low + _WIDTH), k)
+        return found.otherwise(_BEYOND)
+
+    # Powers of two scale without rounding.
+    scale = F.array(*[F.lit(2.0 ** (12 - low)) for low in _BANDS])
+    out = df.withColumns({f"{p}m": exact_micros(number(n)) for p, n in names})
+    out = out.withColumns({f"{p}b": F.when(F.col(f"{p}m").isNull() & number(n).isNotNull(), band(number(n))) for p, n in names})
+    parts = {}
+    for p, n in names:
+        scaled = number(n) * F.get(scale, F.col(f"{p}b"))
+        parts[f"{p}u"] = F.when(F.col(f"{p}b") == _BEYOND, F.xxhash64(number(n))).when(F.col(f"{p}b") < len(_BANDS), F.floor(scaled))
+        parts[f"{p}l"] = F.when(F.col(f"{p}b") < len(_BANDS), ((scaled - F.floor(scaled).cast("double")) * F.lit(_HALF)).cast("long"))
+    return out.withColumns(parts)
+
+
+def _sum_of_parts(p: str) -> Column:
+    """Aggregate: the exact sum of a floating column, as text, whatever the row order.
+
+    Whole millionths, the usual case, make the first figure. Each band of other sizes adds two figures, whole
+    numbers of its units, and what lies beyond all bands is counted: NaN, infinities, and the tiniest and hugest
     numbers with a total of their hashes. Nothing is rounded, and no value changes how the others are added.
     """
-    micros = exact_micros(x)
-    finite = ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    rest = F.when(finite & micros.isNull(), x)
-    size = F.abs(rest)
-    plain = F.try_sum(micros.cast("decimal(20,0)"))
-    parts = [F.when(F.count(micros) > 0, (plain / F.lit(1_000_000)).cast("decimal(38,6)").cast("string"))]
-    for low in _BANDS:
-        # Powers of two scale without rounding. A number is its upper part in units of 2**(low - 12) and its lower one.
-        upper = F.floor(F.when((size >= 2.0**low) & (size < 2.0 ** (low + _WIDTH)), rest * F.lit(2.0 ** (12 - low))))
-        lower = ((rest * F.lit(2.0 ** (12 - low)) - upper.cast("double")) * F.lit(_HALF)).cast("long")
-        parts += [
-            F.concat(F.try_sum(part.cast("decimal(20,0)")).cast("string"), F.lit(f" x 2^{unit}"))
-            for part, unit in ((upper, low - 12), (lower, low - 52))
-        ]
-    beyond = F.when((size >= 2.0 ** (_BANDS[-1] + _WIDTH)) | (size < 2.0 ** _BANDS[0]), rest)
-    marks = F.try_sum(F.when(beyond.isNotNull(), F.xxhash64(beyond).cast("decimal(20,0)")))
-    parts.append(F.when(F.count(beyond) > 0, F.concat(F.count(beyond).cast("string"), F.lit(" beyond "), marks.cast("string"))))
-    for name, test in (("NaN", F.isnan(x)), ("Infinity", x == float("inf")), ("-Infinity", x == float("-inf"))):
-        n = F.count(F.when(test, 1))
-        parts.append(F.when(n > 0, F.concat(n.cast("string"), F.lit(f" {name}"))))
-    return F.nullif(F.concat_ws(" + ", *parts), F.lit(""))
-
-
-def source_sum(c: Column, have: T.DataType, spark_type: str) -> Column:
-    """Aggregate: the sum of a column before it is cast; text counts as the numbers it says."""
-    if isinstance(have, T.StringType) and spark_type != "double":
-        return plain_decimal(F.try_sum(c.try_cast("decimal(38,18)")), 18)
-    return sum_text(c, have)
+    def total(part: str, k: int | None = None) -> Column:
+        own = F.col(f"{p}{part}") if k is None else F.when(F.col(f"{p}b") == k, F.col(f"{p}{part}"))
+        return F.try_sum(own.cast("decimal(20,0)"))
+
+    texts = [(total("m") / F.lit(1_000_000)).cast("decimal(38,6)").cast("string")]
+    for k, low in enumerate(_BANDS):
+        texts += [F.concat(total(part, k).cast("string"), F.lit(f" x 2^{unit}")) for part, unit in (("u", low - 12), ("l", low - 52))]
+    for k, name in ((_BEYOND, "beyond"), (_NAN, "NaN"), (_INF, "Infinity"), (_NEGATIVE_INF, "-Infinity")):
+        n = F.count(F.when(F.col(f"{p}b") == k, 1))
+        mark = F.concat(F.lit(f" {name} "), total("u", k).cast("string")) if k == _BEYOND else F.lit(f" {name}")
+        texts.append(F.when(n > 0, F.concat(n.cast("string"), mark)))
+    return F.nullif(F.concat_ws(" + ", *texts), F.lit(""))
+
+
+def _sum_text(df: DataFrame, i: int, name: str, kind: str | None, prefix: str) -> Column:
+    """Aggregate: the sum of a numeric column as text, NULL where there is none. Text counts as the numbers it says."""
+    have = field_type(df.schema, name)
+    if _floating(have, kind):
+        return _sum_of_parts(f"{prefix}{i}")
+    if isinstance(have, T.StringType):
+        return plain_decimal(F.try_sum(quoted(name).try_cast("decimal(38,18)")), 18)
+    if isinstance(have, T.IntegralType):
+        return F.try_sum(quoted(name).cast("decimal(20,0)")).cast("string")
+    return plain_decimal(F.try_sum(quoted(name)), have.scale)
 
 
 def present(c: Column, dtype: T.DataType, empty_is_null: bool = False) -> Column:
@@ -84,7 +114,7 @@ def present(c: Column, dtype: T.DataType, empty_is_null: bool = False) -> Column
 def statistics(
     df: DataFrame, spec: TableSpec, with_pk_hash: bool, counts: bool = False, empty_is_null: bool = False
 ) -> list[tuple[str, str | None, Column]]:
-    """(metric, column, aggregate) of every check; all fit in one pass over the rows.
+    """(metric, column, aggregate) of every check; all fit in one pass over the rows of :func:`prepared`.
 
     ``counts`` adds how many values each column has, with ``empty_is_null`` for files that don't tell the empty
     text from NULL.
@@ -94,8 +124,8 @@ def statistics(
     ]
     if with_pk_hash and spec.pk_cols:
         stats.append((PK_HASH, None, key_hash_total(df.schema, spec.pk_cols).cast("string")))
-    for name in summed_columns(df, spec):
-        stats.append((SUM, name, sum_text(quoted(name), field_type(df.schema, name))))
+    for i, name in enumerate(summed_columns(df, spec)):
+        stats.append((SUM, name, _sum_text(df, i, name, None, WRITTEN)))
     if counts:
         for c in spec.physical:
             found = present(quoted(c.name), field_type(df.schema, c.name), empty_is_null)
@@ -103,16 +133,28 @@ def statistics(
     return stats
 
 
-def source_statistics(df: DataFrame, spec: TableSpec, empty_is_null: bool = False) -> list[tuple[str, str, Column]]:
-    """(metric, column, aggregate) of a scanned table before anything is cast."""
-    stats = [
-        (NON_NULL, c.name, present(quoted(c.name), field_type(df.schema, c.name), empty_is_null).cast("string"))
-        for c in spec.physical
-    ]
-    for c in spec.physical:
-        if c.target_type in SUMMED_TARGETS:
-            stats.append((SUM, c.name, source_sum(quoted(c.name), field_type(df.schema, c.name), c.spark_type)))
-    return stats
+def prepared(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows with the columns that :func:`statistics` adds up."""
+    return with_parts(df, [(n, None) for n in summed_columns(df, spec)], WRITTEN)
+
+
+def cast_columns(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, bool]]:
+    """(name, target Spark type, whether it is added) of the columns whose type an export changes."""
+    changed = [c for c in spec.physical if field_type(df.schema, c.name).simpleString() != c.spark_type]
+    return [(c.name, c.spark_type, c.target_type in SUMMED_TARGETS) for c in changed]
+
+
+def source_statistics(df: DataFrame, spec: TableSpec, empty_is_null: bool = False) -> tuple[DataFrame, list[tuple[str, str, Column]]]:
+    """A scanned table before anything is cast, and (metric, column, aggregate) of the columns that will be cast.
+
+    Columns that keep their type are written as they came, so their written values speak for the source too.
+    """
+    changed = cast_columns(df, spec)
+    summed = [(n, kind) for n, kind, added in changed if added]
+    out = with_parts(df, summed, SOURCE)
+    stats = [(NON_NULL, n, present(quoted(n), field_type(df.schema, n), empty_is_null).cast("string")) for n, _, _ in changed]
+    stats += [(SUM, n, _sum_text(df, i, n, kind, SOURCE)) for i, (n, kind) in enumerate(summed)]
+    return out, stats
 
 
 def validate(
@@ -128,7 +170,7 @@ def validate(
 
 def long_form(df: DataFrame, spec: TableSpec, stats: Sequence[tuple[str, str | None, Column]]) -> DataFrame:
     """Aggregates as rows (table_name, metric, column_name, value)."""
-    wide = df.agg(*[agg.alias(f"s{i}") for i, (_, _, agg) in enumerate(stats)])
+    wide = prepared(df, spec).agg(*[agg.alias(f"s{i}") for i, (_, _, agg) in enumerate(stats)])
     rows = [
         F.struct(
             F.lit(metric).alias("metric"),
