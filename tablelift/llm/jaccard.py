@@ -353,8 +353,15 @@ def _masked(raw: np.ndarray, low: int) -> bytes:
     return raw.tobytes()
 
 
+_ROW = ["token", "fa", "place", "before"]
+_ROWS = "token long, fa long, place int, before long"
+
+
 def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFrame:
-    """(token, fa, place): the leading tokens of each class, by rarity, where two classes share them."""
+    """(token, fa, place, before): the leading tokens of each class, by rarity, where two classes share them.
+
+    ``before`` is the token at the place before, 0 at the first.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(hot)
 
@@ -369,7 +376,9 @@ def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFra
             lengths = [len(x) for x in tokens_out]
             owners = np.repeat(np.array(class_out, np.int64), lengths)
             places = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
-            return pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(owners), pa.array(places)], names=["token", "fa", "place"])
+            before = np.append(0, tokens[:-1])
+            before[places == 0] = 0
+            return pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(owners), pa.array(places), pa.array(before)], names=_ROW)
 
         for fa, tokens in _seen_once(batches):
             n = len(tokens)
@@ -396,27 +405,27 @@ def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFra
         """Drop repeats, and tokens of one class only; the last row waits for the next batch."""
         last, last_kept = None, False
         for batch in batches:
-            token, fa, place = (batch.column(i).to_numpy() for i in range(3))
+            token, fa, place, before = (batch.column(i).to_numpy() for i in range(4))
             if not len(token):
                 continue
             if last is not None:
-                token, fa, place = (np.append(x, y) for x, y in zip(last, (token, fa, place)))
+                token, fa, place, before = (np.append(x, y) for x, y in zip(last, (token, fa, place, before)))
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (fa[1:] != fa[:-1])
-            token, fa, place = token[new], fa[new], place[new]
+            token, fa, place, before = token[new], fa[new], place[new], before[new]
             same = token[1:] == token[:-1]
             keep = np.zeros(len(token), bool)
             keep[1:] |= same
             keep[:-1] |= same
             if last is not None and last_kept:
                 keep[0] = False
-            last, last_kept = (token[-1:], fa[-1:], place[-1:]), bool(keep[-1]) or (len(token) == 1 and last_kept)
+            last, last_kept = (token[-1:], fa[-1:], place[-1:], before[-1:]), bool(keep[-1]) or (len(token) == 1 and last_kept)
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fa, place)], names=["token", "fa", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fa, place, before)], names=_ROW)
 
-    rows = docs.mapInArrow(prefixes, "token long, fa long, place int")
+    rows = docs.mapInArrow(prefixes, _ROWS)
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", "fa")
-    return placed.mapInArrow(shared_only, "token long, fa long, place int")
+    return placed.mapInArrow(shared_only, _ROWS)
 
 
 def _overlap(n: int, m: int) -> int:
@@ -428,24 +437,27 @@ def _queries(batches):
     """(class, group) where a shared token allows a link and the group is larger; rows come by token, larger groups first.
 
     A token at place i of a set of n and place j of a set of m leaves at most min(n - i, m - j) tokens in common when it
-    is their first common one, so for the rarest common token both must reach the overlap of these sizes.
+    is their first common one, so for the rarest common token both must reach the overlap of these sizes. Where both
+    sets have the same token before this one, it isn't their first: the pair comes out there.
     """
-    token, groups = None, []  # of the token: (group, least place for each size of set)
+    token, groups = None, []  # of the token: (group, least place for each size of set and token before)
     for batch in batches:
         pairs = set()
-        for t, group, cls, n, place in zip(*(batch.column(k).to_pylist() for k in ("token", "group", "cls", "n", "place"))):
+        for t, group, cls, n, place, before in zip(*(batch.column(k).to_pylist() for k in ("token", "group", "cls", "n", "place", "before"))):
             if t != token:
                 token, groups = t, []
             for g, sizes in groups:
                 if g != group and (cls, g) not in pairs:
-                    for m, least in sizes.items():
+                    for (m, other), least in sizes.items():
+                        if before and before == other:
+                            continue
                         if 100 * min(n, m) >= PERCENT * max(n, m) and min(n - place, m - least) >= _overlap(n, m):
                             pairs.add((cls, g))
                             break
             if not groups or groups[-1][0] != group:
                 groups.append((group, {}))
             sizes = groups[-1][1]
-            sizes[n] = min(place, sizes.get(n, place))
+            sizes[n, before] = min(place, sizes.get((n, before), place))
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["q", "group"])
 
@@ -454,7 +466,7 @@ def _cross_links(docs: DataFrame, classes: DataFrame, hot: tuple) -> DataFrame:
     """Links between classes of different groups."""
     spark = docs.sparkSession
     handles = classes.select("fa", "cls", "n", "group", "group_size")
-    rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls", "n", "place")
+    rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls", "n", "place", "before")
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", F.desc("group_size"), "group", "cls")
     asked = placed.mapInArrow(_queries, "q long, group long").distinct()
     # Queries and members meet in the blocks of the group, not as pairs of rows.
