@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from tablelift.llm.words import LongTable, gather, span_hashes
 
 #: Words a worker remembers before it starts anew; bounds its memory, not its results.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _PROBES = ["a  b\tc\r\nd", "it's 12,5!! \n\n é  x", " Ab\x0b\x0cCd ", "<|endoftext|> <|endoftext|>x y"]
 
