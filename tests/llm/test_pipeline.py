@@ -39,6 +39,25 @@ def test_copies_and_near_copies_leave_one(spark):
     assert {r.doc_id for r in left.collect()} == {x[0] for x in _brute([r for r in rows if r[0] is not None]) if x[0] == x[2]}
 
 
+def test_rows_of_one_id_go_or_stay_with_their_own_text(spark):
+    def left(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS)
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+
+    copies = [(None, "A"), (None, "B"), (None, "b"), (1, "a"), (4, "c"), (4, "d"), (5, "C"), (6, None), (6, "e"), (7, ""), (8, "f"), (8, "f"), (8, "g")]
+    got = left(corpus_pipeline.drop_copies, copies)
+    assert [(i, (t or "").lower()) for i, t in got] == [(1, "a"), (4, "d"), (5, "c"), (6, "e"), (7, ""), (8, "f"), (8, "g"), (None, "b")]
+
+    a, b, c, d = (prose(k, 200) for k in range(20, 24))
+    near = [(1, a), (1, b), (2, a + " more"), (2, c), (0, b + " more"), (3, d), (4, d + " and"), (None, a), (None, c), (None, c)]
+    kept = [(0, b + " more"), (1, a), (2, c), (3, d), (None, a), (None, c), (None, c)]
+    assert left(corpus_pipeline.drop_near_copies, near) == sorted(kept, key=repr)
+    once = [(1, a), (2, a + " more"), (None, b), (None, a)]
+    assert left(corpus_pipeline.drop_near_copies, once) == sorted([(1, a), (None, a), (None, b)], key=repr)
+
+
 def test_filters_keep_columns_and_empty_tables(spark):
     docs = spark.createDataFrame([], DOCUMENTS)
     for _, stage in corpus_pipeline.STAGES[:-1]:
