@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import bpe, chat, exact, extract, jaccard, maxent, packing, quality, token_counts, toxicity
+from tablelift.llm import bpe, chat, clusters, exact, extract, jaccard, lines, maxent, packing, quality, token_counts, toxicity, whitening
 from tablelift.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -61,6 +61,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clustered(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.without_common_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent_scores": op1_maxent_scores,
     "op2_bpe": op2_bpe,
@@ -72,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_heap_clusters": op12_heap_clusters,
+    "op13_line_dedup": op13_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -97,7 +114,46 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM rows WINDOW w AS (PARTITION BY t)
 """
 
+# One entry of a vector is a row; each round is an assignment to all centroids and a floor of exact means.
+_START = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+),
+v AS MATERIALIZED (SELECT vec_id, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM kept),
+c0 AS MATERIALIZED (
+  SELECT n, unnest(x) AS x, generate_subscripts(x, 1) AS i
+  FROM (SELECT x, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS n FROM kept) WHERE n < 40
+)"""
+_ROUND = """,
+a{r} AS MATERIALIZED (
+  SELECT vec_id, arg_min(n, (d, n)) AS n, min(d) AS d
+  FROM (SELECT vec_id, n, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN c{r} c USING (i) GROUP BY vec_id, n) GROUP BY vec_id
+)"""
+_UPDATE = """,
+c{next} AS MATERIALIZED (
+  SELECT n, i, coalesce((s - ((s % m) + m) % m) // m, c.x)::BIGINT AS x
+  FROM c{r} c LEFT JOIN (SELECT n, i, sum(x) AS s, count(*) AS m FROM v JOIN a{r} USING (vec_id) GROUP BY n, i) USING (n, i)
+)"""
+_CLUSTERS = _START + "".join(_ROUND.format(r=r) + _UPDATE.format(r=r, next=r + 1) for r in range(5)) + _ROUND.format(r=5) + """
+SELECT vec_id, n::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY n)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, h AS centroid_sha256
+FROM a5 JOIN (SELECT n, sha256(string_agg(x, ',' ORDER BY i)) AS h FROM c5 GROUP BY n) USING (n)
+"""
+
+_LINES = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+rows AS MATERIALIZED (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM split)
+),
+common AS (SELECT k FROM rows WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.k) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.k IS NULL), '')) AS kept_sha256
+FROM rows LEFT JOIN common c USING (k) GROUP BY doc_id
+"""
+
 TWINS: dict[str, str] = {
     "op3_chat_format": _CHAT,
     "op10_exact_dedup": _EXACT,
+    "op12_heap_clusters": _CLUSTERS,
+    "op13_line_dedup": _LINES,
 }
