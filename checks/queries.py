@@ -18,10 +18,11 @@ from tablelift.operators import results as reports
 from tablelift.operators.validate import summed_columns, validation_record
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir
-from tablelift.sinks.manifest import lost_values, manifest_checks, read_manifest
+from tablelift.sinks.manifest import delete_folder, delete_manifest, lost_values, manifest_checks, read_manifest, read_refusals
 from tablelift.sinks.publish import logical_view, with_day
 from tablelift.sources.catalog import drop_tables, keep_tables, list_tables, name_set
-from tablelift.sources.chunks import chunk_of, range_predicates, split_predicates, with_bounds
+from tablelift.sources.chunks import range_predicates, split_predicates
+from tablelift.sources.statement import stated_by_spark
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,11 +69,30 @@ def scan_where(spark, sf_dir):
 
 @query
 def scan_chunks_union(spark, sf_dir):
-    # The predicates that cut a database table, here over one scan: the chunk is the predicate that matches.
-    lineitem = table(spark, sf_dir, "lineitem")
-    bounds = with_bounds(spark.range(1, CHUNKS).toDF("chunk_id"), lineitem, "l_orderkey", CHUNKS)
-    cuts = [r["lo"] for r in bounds.orderBy("chunk_id").collect()]
-    return lineitem.withColumn("chunk_id", chunk_of(range_predicates("l_orderkey", cuts)))
+    """A table in many files, read back as the union of chunks of whole files; each chunk opens its own files only."""
+    spec, out = _spec(spark, sf_dir, "lineitem"), scratch(spark)
+    rows = table(spark, sf_dir, "lineitem").count()
+    tl.export_table(spark, _source(sf_dir), spec, out, tl.ExportOptions(fmt="parquet", max_rows_per_file=-(-rows // (3 * CHUNKS))))
+    source = tl.FileSource(f"{out}/{{schema}}/{{table}}/data")
+    chunks = source.chunks(spark, spec, CHUNKS)
+    parts = [tl.scan_chunk(spark, source, spec, c).withColumns({"chunk_rows": F.lit(c.rows)}) for c in chunks]
+    whole = _stacked(parts)
+    return whole.withColumns({"chunks": F.lit(len(chunks)), "rows_of_chunks": F.lit(sum(c.rows for c in chunks))}).drop("chunk_rows")
+
+
+@query
+def chunk_text_ranges(spark, sf_dir):
+    """Ranges of a text key under a case-insensitive collation: how many match each row, and whether each holds the rows its ledger says."""
+    part = table(spark, sf_dir, "part")
+    mixed = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).when(F.col("p_partkey") % 7 != 0, F.col("p_name"))
+    named = part.select("p_partkey", "p_name", mixed.alias("k")).withColumn("k", F.expr("k COLLATE UTF8_LCASE"))
+    chunks = tl.key_ledger(named, "k", CHUNKS)
+    # What arrives by each predicate, a row once for each predicate that matches it.
+    hits = F.array_compact(F.array(*[F.when(F.expr(c.predicate), F.lit(c.chunk_id)) for c in chunks]))
+    stated = F.element_at(F.array(*[F.lit(c.rows) for c in chunks]), F.col("chunk_id") + 1)
+    read = named.withColumn("hits", hits).select("p_partkey", "p_name", F.size("hits").alias("ranges_matched"), F.explode_outer("hits").alias("chunk_id"))
+    arrived = read.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("arrived"))
+    return read.join(arrived, "chunk_id", "left").select("p_partkey", "p_name", "ranges_matched", stated.eqNullSafe(F.col("arrived")).alias("as_stated"))
 
 
 @query
@@ -114,6 +134,21 @@ def plan_tasks(spark, sf_dir):
     )
 
 
+@query
+def table_sizes(spark, sf_dir):
+    """Sizes of tables that no dictionary describes, from their files, and the scan tasks they lead to."""
+    source = _source(sf_dir)
+    names = [*VALIDATED, "region", "nation", "supplier", "documents"]
+    specs = [_spec(spark, sf_dir, t) for t in names]
+    sized = spark.createDataFrame(
+        [(s.schema, s.table, source.size_gb(spark, s), len(source.chunks(spark, s, CHUNKS)), sum(c.rows for c in source.chunks(spark, s, CHUNKS))) for s in specs],
+        "schema string, table string, size_gb double, blocks long, rows long",
+    )
+    tasks = tl.plan_tasks(sized, parallel=4)
+    known = sized.select("schema", "table", "rows", (F.col("size_gb") > 0).alias("known"))
+    return tasks.join(known, ["schema", "table"]).select("table", "rows", "known", "file_name", F.col("chunk_id").isNull().alias("whole"))
+
+
 # --- catalog -----------------------------------------------------------------
 
 
@@ -525,6 +560,60 @@ def export_many(spark, sf_dir):
     return results.select("schema", "table", "rows", "bytes", "status", F.col("error").isNotNull().alias("has_error"))
 
 
+class _Lossy:
+    """Lineitem as a source that states what it has, and loses some rows on the way."""
+
+    def __init__(self, sf_dir: str, lost: str):
+        self.sf_dir, self.lost = sf_dir, lost
+
+    def __call__(self, spark, spec):
+        return table(spark, self.sf_dir, "lineitem").where(f"NOT ({self.lost})")
+
+    def statement(self, spark, spec, where=None):
+        return stated_by_spark(table(spark, self.sf_dir, "lineitem"), spec)
+
+
+@query
+def export_source_disagrees(spark, sf_dir):
+    """A table whose source says otherwise than the rows that arrive: refused, and every figure that differs kept."""
+    out, spec = scratch(spark), _spec(spark, sf_dir, "lineitem", pk_cols=["l_orderkey", "l_linenumber"])
+    honest = TableSpec("TPC", "lineitem_whole", spec.columns)
+    tl.export_tables(spark, _Lossy(sf_dir, "l_returnflag = 'R' AND l_linenumber = 7"), [spec], out, tl.ExportOptions(fmt="parquet"))
+    tl.export_tables(spark, _Lossy(sf_dir, "false"), [honest], out, tl.ExportOptions(fmt="parquet"))
+    refused = read_refusals(spark, out).select("table", "metric", F.coalesce("column_name", F.lit("")).alias("column_name"), "stated", "arrived")
+    recorded = read_manifest(spark, out).select("table", F.lit("RECORDED").alias("metric"), F.lit("").alias("column_name"), F.col("rows").cast("string").alias("stated"), F.col("rows").cast("string").alias("arrived"))
+    return refused.unionByName(recorded)
+
+
+@query
+def export_restarted(spark, sf_dir):
+    """A table exported in chunks; one chunk's record goes, and the next run writes that chunk alone."""
+    files, out = scratch(spark), scratch(spark)
+    spec = _spec(spark, sf_dir, "lineitem", pk_cols=["l_orderkey", "l_linenumber"])
+    rows = table(spark, sf_dir, "lineitem").count()
+    tl.export_table(spark, _source(sf_dir), spec, files, tl.ExportOptions(fmt="parquet", max_rows_per_file=-(-rows // (3 * CHUNKS))))
+    source, place = tl.FileSource(f"{files}/{{schema}}/{{table}}/data"), TableDir(out, spec.schema, spec.table)
+    options = tl.ExportOptions(fmt="parquet", row_hash=True, parallel=CHUNKS // 2, chunk_threshold_gb=1e-9)
+
+    def files_now():
+        return set(spark.read.option("recursiveFileLookup", True).parquet(place.data).inputFiles())
+
+    def run(name, before):
+        result = tl.export_tables(spark, source, [spec], out, options).first()
+        written = len({f.rsplit("/", 2)[1] for f in files_now() - before})
+        kept = len({f.rsplit("/", 2)[1] for f in files_now() & before})
+        return name, result["status"], result["rows"], read_manifest(spark, out).first()["chunks"], written, kept
+
+    runs = [run("first", set())]
+    delete_manifest(spark, place)
+    delete_folder(spark, f"{place.chunks}/chunk_0003.json")
+    runs.append(run("again", files_now()))
+    done = spark.createDataFrame(runs, "run string, status string, rows long, chunks long, chunks_written long, chunks_kept long")
+    matches = tl.verify_export(spark, spec, out).agg(F.min("matches")).scalar()
+    held = tl.read_export(spark, place.data, spec, "parquet", True).agg(F.count(F.lit(1))).scalar()
+    return done.withColumns({"rows_in_files": held, "verified": matches})
+
+
 @query
 def publish_and_load(spark, sf_dir):
     out = scratch(spark)

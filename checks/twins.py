@@ -273,13 +273,27 @@ EXTREME = (
 
 ORDER_HASH = fold([part(t) for t in ORDERS.values()])
 
+_ARRIVED = "(SELECT * FROM lineitem WHERE NOT (l_returnflag = 'R' AND l_linenumber = 7))"
+_FIGURES = [("ROW_COUNT", "", "CAST(count(*) AS VARCHAR)"), *[("NON_NULL", c, f"CAST(count({c}) AS VARCHAR)") for c in LINEITEM]]
+_FIGURES += [("SUM", c.partition(":")[0], total(c)) for c in SUMMED["lineitem"]]
+# What the whole table says beside what is left of it, wherever the two differ; the honest export keeps its record.
+DISAGREES = " UNION ALL ".join(
+    f"""SELECT 'lineitem' AS "table", '{m}' AS metric, '{c}' AS column_name, stated, arrived
+        FROM (SELECT {f} AS stated FROM lineitem), (SELECT {f} AS arrived FROM {_ARRIVED}) WHERE stated IS DISTINCT FROM arrived"""
+    for m, c, f in _FIGURES
+) + " UNION ALL SELECT 'lineitem_whole', 'RECORDED', '', CAST(count(*) AS VARCHAR), CAST(count(*) AS VARCHAR) FROM lineitem"
+
 TWINS: dict[str, str] = {
     "scan_project": "SELECT * FROM orders",
     "scan_where": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
         WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_returnflag = 'R'""",
-    "scan_chunks_union": f"""
-        WITH {CHUNKED} SELECT * EXCLUDE (lo, hi) FROM chunked""",
+    "scan_chunks_union": f"SELECT *, {CHUNKS} AS chunks, count(*) OVER () AS rows_of_chunks FROM lineitem",
+    "chunk_text_ranges": "SELECT p_partkey, p_name, 1 AS ranges_matched, true AS as_stated FROM part",
+    "table_sizes": " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", count(*) AS rows, true AS known, 'data.parquet' AS file_name, true AS whole FROM {t}"""
+        for t in (*VALIDATED, "region", "nation", "supplier", "documents")
+    ),
     "chunk_predicates": "SELECT l_orderkey, l_linenumber, l_quantity, 1 AS ranges_matched, 1 AS parts_matched FROM lineitem",
     "chunk_bounds": f"WITH {CHUNKED} SELECT chunk_id, lo, hi, count(*) AS rows FROM chunked GROUP BY ALL",
     "plan_tasks": """
@@ -428,5 +442,9 @@ TWINS: dict[str, str] = {
             "SELECT 'TPC', 'no_such_table', 0, 0, 'FAILED', true",
         ]
     ),
+    "export_source_disagrees": DISAGREES,
+    "export_restarted": f"""
+        SELECT run, 'SUCCESS' AS status, n AS rows, {CHUNKS // 2} AS chunks, written AS chunks_written, kept AS chunks_kept, n AS rows_in_files, true AS verified
+        FROM (SELECT count(*) AS n FROM lineitem), (VALUES ('first', {CHUNKS // 2}, 0), ('again', 1, {CHUNKS // 2 - 1})) runs(run, written, kept)""",
     "publish_and_load": "SELECT *, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS value_text FROM events",
 }

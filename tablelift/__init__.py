@@ -12,14 +12,14 @@ from tablelift.plans.types import map_types
 from tablelift.sinks.files import describe_export, read_export, write_csv, write_parquet
 from tablelift.sinks.publish import load_table, publish_table, publish_view
 from tablelift.sources.catalog import discover
-from tablelift.sources.chunks import chunk_bounds
-from tablelift.sources.scan import FileSource, JdbcSource, scan, scan_chunked
+from tablelift.sources.chunks import Chunk, chunk_bounds, key_ledger
+from tablelift.sources.scan import FileSource, JdbcSource, scan, scan_chunk, scan_chunked
 
 __all__ = [
-    "ColumnSpec", "ExportOptions", "FileSource", "JdbcSource", "TableSpec", "apply_types", "audit",
+    "Chunk", "ColumnSpec", "ExportOptions", "FileSource", "JdbcSource", "TableSpec", "apply_types", "audit",
     "chunk_bounds", "column_hashes", "csv_text", "describe_export", "diff", "discover", "duplicates",
-    "export_frame", "export_table", "export_tables", "load_table", "map_types", "pending", "physical",
+    "export_frame", "export_table", "export_tables", "key_ledger", "load_table", "map_types", "pending", "physical",
     "pk_hash", "plan_tasks", "publish_table", "publish_view", "read_export", "reconcile",
-    "results_ranked", "run_summary", "scan", "scan_chunked", "specs_of", "table_results", "validate",
+    "results_ranked", "run_summary", "scan", "scan_chunk", "scan_chunked", "specs_of", "table_results", "validate",
     "verify_export", "with_row_hash", "with_virtual", "write_csv", "write_parquet",
 ]

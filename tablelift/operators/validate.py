@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from decimal import Context, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +159,12 @@ def source_statistics(df: DataFrame, spec: TableSpec, empty_is_null: bool = Fals
     return out, stats
 
 
+def arrival_counts(spec: TableSpec) -> list[tuple[str, str | None, Column]]:
+    """(metric, column, aggregate) of the rows of a scanned table, and of the values of each column, as they arrive."""
+    counts = [(NON_NULL, c.name, F.count(quoted(c.name)).cast("string")) for c in spec.physical]
+    return [(ROW_COUNT, None, F.count(F.lit(1)).cast("string")), *counts]
+
+
 def validate(
     df: DataFrame, spec: TableSpec, with_pk_hash: bool = False, counts: bool = False, empty_is_null: bool = False
 ) -> DataFrame:
@@ -214,6 +222,46 @@ def _bare(name: str) -> Column:
     return F.when(shorter == "-0", "0").otherwise(shorter)
 
 
+def bare(text: str | None) -> str | None:
+    """The same of a figure on the driver."""
+    if text is None:
+        return None
+    short = re.sub(r"^(-?\d+)(?:\.0+|(\.\d*?[1-9])0+)$", lambda m: m[1] + (m[2] or ""), text)
+    return "0" if short == "-0" else short
+
+
+def added_figures(texts: Iterable[str | None]) -> str | None:
+    """Sums of parts of a table as the sum of the whole: the figures of each kind add up, exactly."""
+    totals: dict[str, Decimal] = {}
+    hashes = Decimal(0)
+    for text in texts:
+        for figure in text.split(" + ") if text else ():
+            number, _, kind = figure.partition(" ")
+            if kind.startswith("beyond "):
+                # A count, and a total of hashes.
+                kind, _, marks = kind.partition(" ")
+                hashes = _EXACT.add(hashes, Decimal(marks))
+            totals[kind] = _EXACT.add(totals.get(kind, Decimal(0)), Decimal(number))
+    figures = []
+    for kind in sorted(totals, key=_figure_order):
+        figures.append(" ".join(x for x in (f"{totals[kind]:f}", kind, f"{hashes:f}" if kind == "beyond" else "") if x))
+    return " + ".join(figures) or None
+
+
+# More digits than any sum of figures has.
+_EXACT = Context(prec=200)
+
+
+def _figure_order(kind: str) -> tuple[int, int]:
+    """The order in which sums name their figures: millionths, bands, what lies beyond."""
+    if not kind:
+        return 0, 0
+    if kind.startswith("x 2^"):
+        units = [unit for low in _BANDS for unit in (low - 12, low - 52)]
+        return 1, units.index(int(kind[4:]))
+    return 2, ("beyond", "NaN", "Infinity", "-Infinity").index(kind)
+
+
 def diff(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: str = ROW_HASH) -> DataFrame:
     """Keys whose rows differ: ``missing`` (source only), ``extra`` (target only) or ``changed``.
 

@@ -40,6 +40,17 @@ class TableDir:
     def manifest(self) -> str:
         return f"{self.root}/config/manifest"
 
+    @property
+    def refusal(self) -> str:
+        return f"{self.root}/config/refusal"
+
+    @property
+    def chunks(self) -> str:
+        return f"{self.root}/config/chunks"
+
+    def chunk_data(self, chunk_id: int) -> str:
+        return f"{self.data}/chunk_{chunk_id:04d}"
+
 
 def codec_name(codec: str | None) -> str:
     """The codec to use: the default one for none given and for unknown names."""
@@ -105,14 +116,14 @@ def read_export(
     sep: str = "\x10",
     with_file: bool = False,
 ) -> DataFrame:
-    """All files of one export as one typed frame.
+    """All files of one export, written in one piece or in chunks, as one typed frame.
 
     CSV keeps no difference between NULL and the empty text: both come back as
     NULL. ``with_file`` adds the file of each row as ``__file``.
     """
     schema = export_schema(spec, row_hash)
     if fmt == "parquet":
-        df = spark.read.schema(schema).parquet(path)
+        df = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
         return df.withColumn(FILE, F.col("_metadata.file_path")) if with_file else df
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     raw = (
@@ -120,7 +131,7 @@ def read_export(
         .options(
             header=True, sep=sep, quote='"', escape='"', multiLine=True, lineSep="\n", encoding="UTF-8",
             nullValue="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-            mode="FAILFAST",
+            mode="FAILFAST", recursiveFileLookup=True,
         )
         .csv(path)
     )

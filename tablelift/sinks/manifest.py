@@ -22,7 +22,8 @@ MANIFEST_SCHEMA = """
     validation struct<row_count: long, pk_hash: string,
                       aggregates: array<struct<column_name: string, agg_type: string, value: string>>,
                       errors: array<string>>,
-    casts array<struct<column_name: string, source_values: long, written_values: long, lost: long>>
+    casts array<struct<column_name: string, source_values: long, written_values: long, lost: long>>,
+    stated array<struct<metric: string, column_name: string, value: string>>, chunks long
 """
 
 
@@ -42,8 +43,8 @@ def hadoop_path(spark: SparkSession, path: str):
 
 def delete_manifest(spark: SparkSession, place: TableDir) -> None:
     """Forget an earlier export before its files are replaced."""
-    path, fs = hadoop_path(spark, place.manifest)
-    fs.delete(path, True)
+    for folder in (place.manifest, place.refusal):
+        delete_folder(spark, folder)
 
 
 def write_manifest(
@@ -56,10 +57,13 @@ def write_manifest(
     rows: int,
     bytes_: int,
     seconds: float,
+    stated: dict[tuple[str, str | None], str | None] | None = None,
+    chunks: int | None = None,
 ) -> None:
     """Record a finished export. Call it only after the data files are committed.
 
     ``stats`` are what the files should show when read back: counts of written values, and the source's own sums.
+    ``stated`` is what the source said of itself, ``chunks`` how many parts the table was written in.
     """
     sums = [
         {"column_name": c, "agg_type": m, "value": v}
@@ -90,17 +94,60 @@ def write_manifest(
             "errors": lost or None,
         },
         "casts": casts,
+        "stated": None if stated is None else [{"metric": m, "column_name": c, "value": v} for (m, c), v in stated.items()],
+        "chunks": chunks,
     }
-    # One small file needs no job of its own; readers skip the name with the underscore,
-    # so the record appears whole or not at all.
-    draft, fs = hadoop_path(spark, f"{place.manifest}/_record.json")
+    write_json(spark, place.manifest, "record.json", record)
+
+
+def write_json(spark: SparkSession, folder: str, name: str, record: object) -> None:
+    """A small file, without a job of its own. Readers skip the name with the underscore: it appears whole or not at all."""
+    draft, fs = hadoop_path(spark, f"{folder}/_{name}")
     stream = fs.create(draft, True)
     try:
         stream.write(bytearray(json.dumps(record).encode()))
     finally:
         stream.close()
-    if not fs.rename(draft, hadoop_path(spark, f"{place.manifest}/record.json")[0]):
-        raise OSError(f"could not complete the record of {spec.schema}.{spec.table}")
+    path, _ = hadoop_path(spark, f"{folder}/{name}")
+    fs.delete(path, False)
+    if not fs.rename(draft, path):
+        raise OSError(f"could not complete {folder}/{name}")
+
+
+def read_json(spark: SparkSession, folder: str, name: str) -> dict | None:
+    path, fs = hadoop_path(spark, f"{folder}/{name}")
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = hadoop_path(spark, folder)
+    fs.delete(path, True)
+
+
+REFUSAL_SCHEMA = "schema string, table string, refused_at string, metric string, column_name string, stated string, arrived string"
+
+
+def write_refusal(spark: SparkSession, place: TableDir, spec: TableSpec, found: list[tuple[str, str | None, str | None, str | None]]) -> None:
+    """Keep what a source said and what arrived, of a table that was refused for it."""
+    when = datetime.now(timezone.utc).isoformat()
+    names = ("metric", "column_name", "stated", "arrived")
+    rows = [{"schema": spec.schema, "table": spec.table, "refused_at": when, **dict(zip(names, row))} for row in found]
+    write_json(spark, place.refusal, "record.json", rows)
+
+
+def read_refusals(spark: SparkSession, out: str) -> DataFrame:
+    """What sources and arrived rows disagreed in, for every table whose last export was refused for it."""
+    pattern = f"{out.rstrip('/')}/*/*/config/refusal"
+    path, fs = hadoop_path(spark, pattern)
+    if not fs.globStatus(path):
+        return spark.createDataFrame([], REFUSAL_SCHEMA)
+    return spark.read.schema(REFUSAL_SCHEMA).json(pattern)
 
 
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:

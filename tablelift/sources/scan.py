@@ -14,10 +14,17 @@ from tablelift.functions.text import quoted
 from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sources import chunks
+from tablelift.sources.blocks import files_of, size_gb
+from tablelift.sources.chunks import Chunk
+from tablelift.sources.statement import statement_query, statement_rows
 
 log = logging.getLogger(__name__)
 
 
+# Source types whose values the source can order, so that they can cut a table.
+_ORDERABLE = ("NUMBER", "FLOAT", "BINARY", "DATE", "TIMESTAMP", "CHAR", "NCHAR", "VARCHAR", "NVARCHAR")
+
+
 @dataclass(frozen=True)
 class FileSource:
     """Tables in files; the path may name ``{schema}`` and ``{table}``."""
@@ -28,8 +35,30 @@ class FileSource:
 
     def load(self, spark: SparkSession, spec: TableSpec, predicates: Sequence[str] | None = None) -> DataFrame:
         # Spark splits files by size, so key predicates would only scan them again.
-        path = self.path.format(schema=spec.schema, table=spec.table)
-        return spark.read.format(self.fmt).options(**self.options).load(path)
+        return spark.read.format(self.fmt).options(**self.options).load(self._path(spec))
+
+    def _path(self, spec: TableSpec) -> str:
+        return self.path.format(schema=spec.schema, table=spec.table)
+
+    def size_gb(self, spark: SparkSession, spec: TableSpec) -> float:
+        """Bytes of the files, from their listing."""
+        return size_gb(self.load(spark, spec))
+
+    def chunks(self, spark: SparkSession, spec: TableSpec, n: int, where: str | None = None) -> list[Chunk]:
+        """Whole files in at most ``n`` chunks of even bytes; the rows of each come from the file footers.
+
+        With a row filter the footers do not say how many rows will come.
+        """
+        files = files_of(self.load(spark, spec), self.fmt in ("parquet", "orc") and not where)
+        return chunks.even_chunks(files, n)
+
+    def load_chunk(self, spark: SparkSession, spec: TableSpec, chunk: Chunk) -> DataFrame:
+        """Only the files of the chunk are opened; columns named by folders stay."""
+        base, whole = self._path(spec), self.load(spark, spec)
+        reader = spark.read.format(self.fmt).options(**self.options).schema(whole.schema)
+        if not any(f.endswith(base) for f in chunk.files):
+            reader = reader.option("basePath", base)
+        return reader.load(list(chunk.files))
 
 
 @dataclass(frozen=True)
@@ -40,9 +69,9 @@ class JdbcSource:
     the source can convert (geometry to text, for example); intervals and row
     addresses have default expressions. ``salt`` is a numeric source expression
     such as a hash of the row address (see ``chunks.split_predicates``), and
-    ``ranges`` are predicates of the source that together match every row once,
+    ``ranges`` are predicates of the source, by "schema.table", that together match every row once,
     such as ranges of row addresses: both cut tables that no key cuts.
-    ``fetch_rows`` overrides the option of the job.
+    ``fetch_rows`` overrides the option of the job; ``digits`` is the widest decimal of the database.
     """
 
     url: str
@@ -51,6 +80,7 @@ class JdbcSource:
     expressions: Mapping[str, str] = field(default_factory=dict)
     salt: str | None = None
     ranges: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    digits: int = 38
 
     def table(self, spec: TableSpec) -> str:
         return f"{sql_name(spec.schema)}.{sql_name(spec.table)}"
@@ -69,8 +99,37 @@ class JdbcSource:
             return spark.read.jdbc(self.url, self.relation(spec), predicates=list(predicates), properties=props)
         return spark.read.jdbc(self.url, self.relation(spec), properties=props)
 
-
-# A source is one of the above, or any function that gives the table as a DataFrame.
+    def statement(self, spark: SparkSession, spec: TableSpec, where: str | None = None) -> DataFrame:
+        """What the database itself says of the table, within the row filter; see :mod:`tablelift.sources.statement`."""
+        query = statement_query(self.table(spec), spec, where, self.expressions, self.digits)
+        return statement_rows(spark.read.jdbc(self.url, query, properties=dict(self.properties)), spec, self.expressions)
+
+    def chunks(self, spark: SparkSession, spec: TableSpec, n: int, where: str | None = None) -> list[Chunk] | None:
+        """About ``n`` chunks that match every row exactly once; None where nothing can cut the table.
+
+        The caller's ranges come first. Else the first orderable key column is cut into ranges of even row count: the
+        database finds the bounds itself, in its own order and within the row filter, and says how many rows each range has. Ranges
+        with hot keys, and tables without such a key, are cut by the salt.
+        """
+        given = self.ranges.get(f"{spec.schema}.{spec.table}")
+        if given:
+            return [Chunk(i, p) for i, p in enumerate(given)]
+        kinds = {c.name: c.raw_type.strip().upper() for c in spec.columns}
+        key = next((k for k in spec.pk_cols if kinds.get(k, "").startswith(_ORDERABLE)), None)
+        found = [Chunk(0, "1=1")]
+        if key is not None:
+            query = chunks.ledger_query(self.table(spec), sql_name(key), n, where)
+            found = chunks.ledger_chunks(sql_name(key), spark.read.jdbc(self.url, query, properties=dict(self.properties)).collect())
+        if self.salt:
+            found = chunks.salted_chunks(found, self.salt, n)
+        return found if len(found) > 1 else None
+
+    def load_chunk(self, spark: SparkSession, spec: TableSpec, chunk: Chunk) -> DataFrame:
+        return self.load(spark, spec, [chunk.predicate])
+
+
+# A source is one of the above, or any function that gives the table as a DataFrame. What else a source can do is asked
+# of its methods: ``statement`` (its own counts and sums), ``chunks`` and ``load_chunk`` (parts of a table), ``size_gb``.
 Source = FileSource | JdbcSource | Callable[[SparkSession, TableSpec], DataFrame]
 
 
@@ -124,35 +183,6 @@ def scan(
     return dealt(df.where(F.expr(where)) if where else df, [c.name for c in spec.physical], deal_bytes)
 
 
-# Source types whose values the source can order, so that they can cut a table.
-_ORDERABLE = ("NUMBER", "FLOAT", "BINARY", "DATE", "TIMESTAMP", "CHAR", "NCHAR", "VARCHAR", "NVARCHAR")
-
-
-def chunk_predicates(
-    spark: SparkSession, source: JdbcSource, spec: TableSpec, n: int, where: str | None = None
-) -> list[str] | None:
-    """About ``n`` predicates that match every row exactly once; None where nothing can cut the table.
-
-    The caller's ranges come first. Else the first orderable key column is cut into ranges of even row count: the
-    source finds the bounds itself, within the row filter, and sends one row for each. Ranges that coincide mean hot
-    key values; those, and tables without such a key, are cut by the salt.
-    """
-    given = source.ranges.get(spec.table)
-    if given:
-        return list(given)
-    kinds = {c.name: c.raw_type.strip().upper() for c in spec.columns}
-    key = next((k for k in spec.pk_cols if kinds.get(k, "").startswith(_ORDERABLE)), None)
-    predicates = ["1=1"]
-    if key is not None:
-        name = sql_name(key)
-        query = chunks.ntile_query(source.table(spec), name, n, where)
-        firsts = spark.read.jdbc(source.url, query, properties=dict(source.properties)).select("LO").collect()
-        predicates = chunks.range_predicates(name, sorted({r["LO"] for r in firsts if r["LO"] is not None})[1:])
-    if source.salt and len(predicates) < n:
-        predicates = chunks.split_predicates(predicates, source.salt, -(-n // len(predicates)))
-    return predicates if len(predicates) > 1 else None
-
-
 def scan_chunked(
     spark: SparkSession, source: Source, spec: TableSpec, n: int, where: str | None = None
 ) -> DataFrame:
@@ -163,10 +193,15 @@ def scan_chunked(
     """
     if not isinstance(source, JdbcSource) or n < 2:
         return scan(spark, source, spec, where)
-    predicates = chunk_predicates(spark, source, spec, n, where)
-    if predicates is None:
+    found = source.chunks(spark, spec, n, where)
+    if found is None:
         log.warning("%s.%s has no orderable key, ranges or salt: one task reads it", spec.schema, spec.table)
-    return _finish(_load(spark, source, spec, predicates), spec, where)
+    return _finish(_load(spark, source, spec, [c.predicate for c in found] if found else None), spec, where)
+
+
+def scan_chunk(spark: SparkSession, source: Source, spec: TableSpec, chunk: Chunk, where: str | None = None) -> DataFrame:
+    """The physical columns of one chunk, read alone."""
+    return _finish(source.load_chunk(spark, spec, chunk), spec, where)
 
 
 def dealt(df: DataFrame, columns: Sequence[str], most_bytes: int = 1 << 30, tasks: int | None = None) -> DataFrame:

@@ -7,9 +7,10 @@ from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.plans.tasks import is_large, plan_tasks
 from tablelift.sources.chunks import (
-    balanced_cuts, chunk_bounds, chunk_of, ntile_query, range_predicates, split_predicates, with_chunk,
+    Chunk, balanced_cuts, chunk_bounds, chunk_of, even_chunks, key_ledger, ledger_chunks, ledger_query, range_predicates,
+    salted_chunks, split_predicates, with_chunk,
 )
-from tablelift.sources.scan import FileSource, JdbcSource, chunk_predicates, dealt, scan, scan_chunked
+from tablelift.sources.scan import FileSource, JdbcSource, dealt, scan, scan_chunk, scan_chunked
 
 
 def test_bounds_against_brute_force(spark):
@@ -88,11 +89,66 @@ def test_one_rule_for_large_tables():
     assert [is_large(x, 1.0) for x in (0.5, 1.0, 1.5, 0.0, None)] == [False, False, True, True, True]
 
 
+def _matched(df, chunks):
+    """Matches of every row, and rows of every chunk."""
+    hits = sum(F.coalesce(F.expr(c.predicate), F.lit(False)).cast("int") for c in chunks)
+    return df.where(hits != 1).count(), [df.where(c.predicate).count() for c in chunks]
+
+
 def test_bounds_are_found_by_the_source(spark):
     """The pushed query, run by Spark in the database's place: even ranges of any orderable key, within the filter."""
     spark.range(1000).selectExpr("concat('k', lpad(id, 4, '0')) AS K1", "id AS N").createOrReplaceTempView("source_table")
-    rows = spark.sql(f"SELECT * FROM {ntile_query('source_table', 'K1', 4, 'N >= 200')}").collect()
-    assert sorted(r["LO"] for r in rows) == ["k0200", "k0400", "k0600", "k0800"]
+    rows = spark.sql(f"SELECT * FROM {ledger_query('source_table', 'K1', 4, 'N >= 200')}").collect()
+    assert sorted((r["B"], r["LO"], r["N"], r["RISES"]) for r in rows) == [(i, f"k0{2 * i + 2}00", 200, 1) for i in range(4)]
+
+
+@pytest.mark.parametrize("n", [2, 6, 50])
+def test_collated_text_keys_match_each_row_once(spark, n):
+    names = ["anna", "Anna", "BERT", "bert", "Bert", "carl", "Zoe", "zOE", "Émile", None, None, "dora", "a", "B", "ab"] * 2 + [f"x{i}" for i in range(20)]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(names)], "k string, i int").selectExpr("k COLLATE UTF8_LCASE AS k", "i")
+    df.createOrReplaceTempView("collated")
+    for chunks in (ledger_chunks("k", spark.sql(f"SELECT * FROM {ledger_query('collated', 'k', n)}").collect()), key_ledger(df, "k", n)):
+        wrong, sizes = _matched(df, chunks)
+        assert wrong == 0 and sizes == [c.rows for c in chunks] and sum(sizes) == len(names)
+        assert len(chunks) >= min(n, 12)
+
+
+def test_keys_that_do_not_rise_in_the_source_are_refused(spark):
+    rows = spark.createDataFrame([(0, "a", 5, 1), (1, "C", 5, 1), (2, "b", 5, 0)], "B int, LO string, N long, RISES int").collect()
+    with pytest.raises(ValueError, match="orders keys otherwise than it compares them, at 'b'"):
+        ledger_chunks("k", rows)
+
+
+def test_ledgers_without_keys(spark):
+    none = spark.createDataFrame([(-1, None, 7, 1)], "B int, LO string, N long, RISES int").collect()
+    assert ledger_chunks("k", none) == [Chunk(0, "1=1", rows=7)] and ledger_chunks("k", []) == [Chunk(0, "1=1", rows=0)]
+    empty = spark.createDataFrame([], "k string, m map<string,int>")
+    assert key_ledger(empty, "k", 4) == [Chunk(0, "1=1", rows=0)]
+
+
+def test_hot_ranges_are_salted_others_stay():
+    chunks = [Chunk(0, "a", rows=10), Chunk(1, "b", rows=80), Chunk(2, "c", rows=10)]
+    out = salted_chunks(chunks, "s", 10)
+    assert [c.chunk_id for c in out] == list(range(10)) and [c.rows for c in out] == [10, *[None] * 8, 10]
+    assert len(salted_chunks([Chunk(0, "1=1")], "s", 4)) == 4
+
+
+def test_files_in_even_chunks(spark, tmp_path):
+    assert [c.files for c in even_chunks([("b", 10, 1), ("a", 10, 2), ("d", 10, 3), ("c", 10, 4)], 2)] == [("a", "b"), ("c", "d")]
+    assert [(len(c.files), c.rows) for c in even_chunks([("a", 100, 5), ("b", 1, None), ("c", 1, 2)], 3)] == [(1, 5), (2, None)]
+    assert even_chunks([], 3) == []
+    folder = str(tmp_path / "odd name" / "T")
+    spark.range(1000).selectExpr("id", "id % 2 AS half").repartition(8, "id").write.partitionBy("half").parquet(folder)
+    source = FileSource(str(tmp_path) + "/odd name/{table}")
+    spec = TableSpec.from_frame(spark.read.parquet(folder), "S", "T")
+    chunks = source.chunks(spark, spec, 4)
+    parts = [scan_chunk(spark, source, spec, c) for c in chunks]
+    assert len(parts) == 4 and [p.count() for p in parts] == [c.rows for c in chunks]
+    assert sum(len(p.inputFiles()) for p in parts) == 16 and max(len(p.inputFiles()) for p in parts) < 8
+    assert sorted(map(tuple, parts[0].union(parts[1]).union(parts[2]).union(parts[3]).collect())) == [(i, i % 2) for i in range(1000)]
+    # A row filter leaves the number of rows open; a known size is no unknown size.
+    assert {c.rows for c in source.chunks(spark, spec, 4, "id > 3")} == {None}
+    assert 0 < source.size_gb(spark, spec) < 1e-3
 
 
 def test_plan_tasks(spark):
@@ -137,16 +193,21 @@ def test_database_tables_are_cut_by_ranges_key_or_salt(spark, monkeypatch):
 
     def jdbc(self, url, table, **more):
         plans.append(table)
-        return spark.createDataFrame([(1, 3), (2, 7), (3, 7)], "B int, LO long")
+        if " s" == table[-2:]:
+            return spark.createDataFrame([(9, 9, 8, 45)], "N long, C0 long, C1 long, S0 long")
+        return spark.createDataFrame([(1, 3, 4, 1), (0, None, 1, 1), (2, 7, 4, 1)], "B int, LO int, N long, RISES int")
 
     monkeypatch.setattr(JdbcSource, "load", load)
     monkeypatch.setattr(type(spark.read), "jdbc", jdbc)
-    assert chunk_predicates(spark, JdbcSource("jdbc:x"), keyed, 3, "ID > 1") == ['("ID" < 7 OR "ID" IS NULL)', '("ID" >= 7)']
-    assert "NTILE(3)" in plans[-1] and "AND (ID > 1)" in plans[-1]
-    assert len(chunk_predicates(spark, JdbcSource("jdbc:x", salt="ORA_HASH(ROWID)"), keyed, 4)) == 4
-    assert len(chunk_predicates(spark, JdbcSource("jdbc:x", salt="ORA_HASH(ROWID)"), SPEC, 4)) == 4
-    assert chunk_predicates(spark, JdbcSource("jdbc:x", ranges={'my"tab': ["a", "b"]}), keyed, 4) == ["a", "b"]
-    assert chunk_predicates(spark, JdbcSource("jdbc:x"), SPEC, 4) is None
+    assert JdbcSource("jdbc:x").chunks(spark, keyed, 3, "ID > 1") == [Chunk(0, '("ID" < 7 OR "ID" IS NULL)', rows=5), Chunk(1, '("ID" >= 7)', rows=4)]
+    assert "* 3 / COUNT(*)" in plans[-1] and "WHERE (ID > 1)" in plans[-1]
+    assert len(JdbcSource("jdbc:x", salt="ORA_HASH(ROWID)").chunks(spark, keyed, 8)) == 9
+    assert len(JdbcSource("jdbc:x", salt="ORA_HASH(ROWID)").chunks(spark, SPEC, 4)) == 4
+    two = JdbcSource("jdbc:x", ranges={'HR.my"tab': ["a", "b"]})
+    assert [c.predicate for c in two.chunks(spark, keyed, 4)] == ["a", "b"]
+    assert two.chunks(spark, replace(SPEC, schema="OTHER"), 4) is None and JdbcSource("jdbc:x").chunks(spark, SPEC, 4) is None
+    said = {(r.metric, r.column_name): r.value for r in JdbcSource("jdbc:x").statement(spark, keyed, "ID > 1").collect()}
+    assert said == {("ROW_COUNT", None): "9", ("NON_NULL", "ID"): "9", ("NON_NULL", "LOC"): "8", ("SUM", "ID"): "45"}
     # Any table above the threshold, or of unknown size, goes this way; the option of the job sets the fetch size.
     export_frame(spark, JdbcSource("jdbc:x"), keyed, ExportOptions(parallel=3, fetch_rows=77))
     assert asked[-1] == (['("ID" < 7 OR "ID" IS NULL)', '("ID" >= 7)'], 77)

@@ -7,11 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 from tablelift.jobs import export_table, export_tables, verify_export
 from tablelift.operators.results import audit
+from tablelift.operators.validate import added_figures, validate
 from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir, read_export
-from tablelift.sinks.manifest import lost_values, manifest_checks, read_manifest, schema_rows
+from tablelift.sinks.manifest import delete_manifest, lost_values, manifest_checks, read_manifest, read_refusals, schema_rows
 from tablelift.sinks.publish import load_table, publish_table
+from tablelift.sources.chunks import Chunk
+from tablelift.sources.statement import stated_by_spark, statement_query, statement_rows
 
 
 def people(spark, spec=None):
@@ -92,6 +95,12 @@ def test_values_lost_in_casts(spark, tmp_path):
     assert [(r["metric"], r["column_name"], r["target_value"]) for r in bad] == [("SUM", "PAY", "1.5")]
 
 
+def test_casts_that_round_are_noticed(spark, tmp_path):
+    spec = TableSpec("HR", "PAY", (ColumnSpec("PAY", "NUMBER(5,1)", "BIGNUMERIC", "decimal(5,1)"),))
+    done = export_table(spark, lambda s, _: s.createDataFrame([("1.25",), ("2.5",)], "PAY string"), spec, str(tmp_path), ExportOptions(fmt="parquet"))
+    assert (done["status"], done["lost"]) == ("FAILED", 0) and done["error"].startswith("sums changed by casts: PAY: 3.75")
+
+
 def test_odd_column_names(spark, tmp_path):
     rows = spark.range(4).selectExpr("id AS `a``b`", "'x' AS `c.d`")
     spec = TableSpec.from_frame(rows, "HR", "ODD", pk_cols=["a`b"])
@@ -197,3 +206,113 @@ def test_published_table_and_view(spark, spec, tmp_path, monkeypatch):
     assert props["primary_key"] == "ID" and props["clustered_by"] == "ID,NAME"
     days = spark.table("lift_test.PEOPLE_PHYSICAL").where("AT_DAY = DATE'2024-01-02'")
     assert "PartitionFilters: [isnotnull(AT_DAY" in days._jdf.queryExecution().executedPlan().toString()
+
+
+class Stated:
+    """A table with a statement of its own; some rows may get lost on the way."""
+
+    def __init__(self, lost="false", chunks=0):
+        self.lost, self.n, self.read = lost, chunks, []
+
+    def __call__(self, spark, spec):
+        return people(spark).where(f"NOT ({self.lost})")
+
+    def statement(self, spark, spec, where=None):
+        return stated_by_spark(people(spark).where(where or "true"), spec)
+
+
+class Cut(Stated):
+    def chunks(self, spark, spec, n, where=None):
+        return [Chunk(i, f"ID % {self.n} = {i}", rows=people(spark).where(f"ID % {self.n} = {i}").count()) for i in range(self.n)]
+
+    def load_chunk(self, spark, spec, chunk):
+        self.read.append(chunk.chunk_id)
+        return self(spark, spec).where(chunk.predicate)
+
+
+def test_rows_that_never_arrive_are_noticed(spark, spec, tmp_path):
+    out = str(tmp_path)
+    done = export_table(spark, Stated("ID = 13"), spec, out, ExportOptions(fmt="parquet"))
+    assert done["status"] == "FAILED" and done["error"].startswith("the source disagrees: ROW_COUNT: source 500, arrived 499; ")
+    assert read_manifest(spark, out).count() == 0
+    refused = {(r.metric, r.column_name): (r.stated, r.arrived) for r in read_refusals(spark, out).collect()}
+    assert len(refused) == 7 and refused["SUM", "ID"] == ("124750", "124737") and refused["NON_NULL", "AT"] == ("500", "499")
+    # A row read twice is noticed too; an honest source and one that fails no more leave no refusal.
+    twice = Stated()
+    twice.__class__ = type("Twice", (Stated,), {"__call__": lambda self, s, _: people(s).union(people(s).where("ID = 3"))})
+    assert "source 500, arrived 501" in export_table(spark, twice, spec, out, ExportOptions(fmt="csv"))["error"]
+    for fmt in ("csv", "parquet"):
+        assert export_table(spark, Stated(), spec, out, ExportOptions(fmt=fmt, row_hash=True, where="ID < 50", string_nulls="empty"))["status"] == "SUCCESS"
+    assert read_refusals(spark, out).count() == 0
+    record = read_manifest(spark, out).first()
+    assert {(r["metric"], r["column_name"]): r["value"] for r in record["stated"]}["ROW_COUNT", None] == "50"
+
+
+def test_a_statement_in_the_sources_sql(spark, spec):
+    """The pushed query, run by Spark in the database's place."""
+    people(spark).withColumn("NAME", F.when(F.col("ID") % 2 == 0, F.col("NAME"))).createOrReplaceTempView("people_view")
+    answer = spark.sql(f"SELECT * FROM {statement_query('people_view', spec, 'ID < 100').replace(chr(34), chr(96))}")
+    said = {(r.metric, r.column_name): r.value for r in statement_rows(answer, spec).collect()}
+    assert said == {("ROW_COUNT", None): "100", ("NON_NULL", "ID"): "100", ("NON_NULL", "NAME"): "50", ("NON_NULL", "PAY"): "100", ("NON_NULL", "AT"): "100", ("SUM", "ID"): "4950"}
+    empty = spark.sql(f"SELECT * FROM {statement_query('people_view', spec, '1 = 0').replace(chr(34), chr(96))}")
+    assert {(r.metric, r.column_name): r.value for r in statement_rows(empty, spec).collect()}["NON_NULL", "ID"] == "0"
+
+
+def test_chunks_are_units_of_work_and_restart(spark, spec, tmp_path):
+    out, options = str(tmp_path), ExportOptions(fmt="parquet", row_hash=True, parallel=3)
+    place, source = TableDir(out, "HR", "PEOPLE"), Cut(chunks=5)
+    small = replace(spec, table="SMALL", size_gb=0.5)
+    done = results(export_tables(spark, source, [spec, small], out, options))
+    assert {n: (r["status"], r["rows"]) for n, r in done.items()} == {"PEOPLE": ("SUCCESS", 500), "SMALL": ("SUCCESS", 500)}
+    assert sorted(source.read) == list(range(5))
+    assert sorted(x.name for x in (tmp_path / "HR/PEOPLE/data").iterdir()) == [f"chunk_{i:04d}" for i in range(5)]
+    record = {r["table"]: r for r in read_manifest(spark, out).collect()}
+    assert (record["PEOPLE"]["chunks"], record["SMALL"]["chunks"], record["PEOPLE"]["rows"]) == (5, None, 500)
+    # Sums, counts and key hash totals of chunks add up to those of the table.
+    assert {a["column_name"]: a["value"] for a in record["PEOPLE"]["validation"]["aggregates"]} == {a["column_name"]: a["value"] for a in record["SMALL"]["validation"]["aggregates"]}
+    assert record["PEOPLE"]["validation"]["pk_hash"] == record["SMALL"]["validation"]["pk_hash"]
+    assert verify_export(spark, spec, out).where("NOT matches").count() == 0
+    assert read_export(spark, place.data, spec, "parquet", True).count() == 500
+
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "HR/PEOPLE/data").rglob("*.parquet")}
+    (tmp_path / "HR/PEOPLE/config/chunks/chunk_0003.json").unlink()
+    delete_manifest(spark, place)
+    source.read.clear()
+    again = results(export_tables(spark, source, [spec, small], out, options))
+    assert source.read == [3] and (again["PEOPLE"]["status"], again["PEOPLE"]["rows"], again["SMALL"]["status"]) == ("SUCCESS", 500, "SKIPPED")
+    kept = {f: t for f, t in files.items() if "chunk_0003" not in str(f)}
+    assert kept and all(f.stat().st_mtime_ns == t for f, t in kept.items())
+    # Another filter is another export: new plan, old chunks go.
+    third = results(export_tables(spark, Cut(chunks=2), [spec], out, replace(options, where="ID < 10")))
+    assert third["PEOPLE"]["rows"] == 10 or third["PEOPLE"]["error"]
+
+
+def test_chunks_that_fail_or_disagree(spark, spec, tmp_path):
+    out, options = str(tmp_path), ExportOptions(fmt="csv", parallel=2)
+    done = results(export_tables(spark, Cut("ID = 7", chunks=4), [spec], out, options))["PEOPLE"]
+    assert (done["status"], done["error"]) == ("FAILED", "chunk 3: source 125 rows, arrived 124")
+    assert read_manifest(spark, out).count() == 0
+    # The next run reads that chunk alone.
+    healed = Cut(chunks=4)
+    done = results(export_tables(spark, healed, [spec], out, options))["PEOPLE"]
+    assert healed.read == [3] and (done["status"], done["rows"]) == ("SUCCESS", 500)
+    # Chunks that say nothing of their rows: the table's own statement still counts, and the next run plans anew.
+    class Silent(Cut):
+        def chunks(self, *a, **k):
+            return [replace(c, rows=None) for c in super().chunks(*a, **k)]
+
+    other, silent = replace(spec, table="OTHER"), Silent("ID = 7", chunks=2)
+    done = results(export_tables(spark, silent, [other], out, options))["OTHER"]
+    assert done["status"] == "FAILED" and "source 500, arrived 499" in done["error"]
+    silent.lost = "false"
+    assert results(export_tables(spark, silent, [other], out, options))["OTHER"]["status"] == "SUCCESS" and sorted(silent.read) == [0, 0, 1, 1]
+
+
+def test_figures_of_parts_add_up(spark):
+    values = [1.5, 2.25, 1 / 3, 1e300, float("nan"), float("inf"), float("-inf"), 1e12 / 7, 1e25, -4.0, 1e-30, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values * 3)], "ID int, X double")
+    spec = TableSpec.from_frame(df, "S", "T")
+    total = lambda d: {r["column_name"]: r["value"] for r in validate(d, spec).collect()}["X"]
+    for n in (1, 2, 5):
+        assert added_figures([total(df.where(f"ID % {n} = {i}")) for i in range(n)]) == total(df)
+    assert added_figures([]) is None and added_figures([None, "3", "-1.50"]) == "1.50"
