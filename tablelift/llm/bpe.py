@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablelift.llm.common import share_code
-from tablelift.llm.pieces import WordIds, load, text_bounds
+from tablelift.llm.pieces import WordIds, ids_below, load, text_bounds
 from tablelift.llm.words import slices, spans
 
-#: Fragments a worker remembers before it starts anew.
-FRAGMENTS = 300_000
+#: Fragments in each of the two generations that a worker remembers.
+FRAGMENTS = 100_000
 
 
 class ForcedBoundaryEncoder:
@@ -37,6 +37,8 @@ class ForcedBoundaryEncoder:
     def __init__(self, path: str):
         self.whole = load(path)
         spec = json.loads(Path(path).read_text(encoding="utf-8"))
+        if spec.get("decoder"):
+            raise ValueError(f"{path}: this operator decodes by joining tokens with spaces; the vocabulary has a decoder of its own")
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
         spec["model"]["end_of_word_suffix"] = None
         self.last, self.inner = self.whole.model, Tokenizer.from_str(json.dumps(spec)).model
@@ -45,6 +47,7 @@ class ForcedBoundaryEncoder:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[tuple[str, bool], list[int]] = {}
+        self.older: dict[tuple[str, bool], list[int]] = {}
 
     def cuts(self, piece: str) -> list[str]:
         """Fragments of a pre-token in byte letters: cut wherever a pair occurs in no token."""
@@ -57,12 +60,15 @@ class ForcedBoundaryEncoder:
         return out
 
     def _fragment(self, fragment: str, final: bool) -> list[int]:
-        ids = self.known.get((fragment, final))
+        key = fragment, final
+        ids = self.known.get(key)
         if ids is None:
-            if len(self.known) > FRAGMENTS:
-                self.known.clear()
-            ids = [t.id for t in (self.last if final else self.inner).tokenize(fragment)]
-            self.known[fragment, final] = ids
+            if len(self.known) >= FRAGMENTS:
+                self.known, self.older = {}, self.known
+            ids = self.older.get(key)
+            if ids is None:
+                ids = [t.id for t in (self.last if final else self.inner).tokenize(fragment)]
+            self.known[key] = ids
         return ids
 
     def _plain(self, word: str) -> list[int]:
@@ -80,7 +86,7 @@ class ForcedBoundaryEncoder:
         return ids
 
     def word(self, word: str) -> list[int]:
-        if self.split is None or "<|" not in word:
+        if self.split is None or not self.split.search(word):
             return self._plain(word)
         ids: list[int] = []
         for part in self.split.split(word):
@@ -95,7 +101,7 @@ class ForcedBoundaryEncoder:
 def _worker(path: str) -> tuple[WordIds, list[str]]:
     encoder = ForcedBoundaryEncoder(path)
     tokens = [encoder.whole.id_to_token(i) or "" for i in range(encoder.whole.get_vocab_size(True))]
-    return WordIds(lambda words: [encoder.word(w) for w in words]), tokens
+    return WordIds(lambda words: [encoder.word(w) for w in words], ids_below(path)), tokens
 
 
 def _encoded(batches, path):

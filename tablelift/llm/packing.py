@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelift.llm.common import share_code, stored
-from tablelift.llm.pieces import WordIds, library_ids, text_bounds
+from tablelift.llm.pieces import WordIds, ids_below, library_ids, text_bounds
 from tablelift.llm.words import slices, spans
 
 #: Pieces in one rank window, about.
@@ -30,7 +30,7 @@ BUCKET_PIECES = 4096
 
 @cache
 def _worker(path: str) -> WordIds:
-    return WordIds(library_ids(path))
+    return WordIds(library_ids(path), ids_below(path))
 
 
 def pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int, id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:

@@ -14,8 +14,10 @@ from tokenizers import Tokenizer
 
 from tablelift.llm.words import LongTable, gather, span_hashes
 
-#: Words a worker remembers before it starts anew; bounds its memory, not its results.
-REMEMBERED = 200_000
+#: Bytes of a generation of remembered words; a worker holds two. Bounds its memory, not its results.
+GENERATION_BYTES = 48 << 20
+#: New words handed to the library at once: its encodings are far larger than their ids.
+LOT = 1000
 
 _PROBES = ["a  b\tc\r\nd", "it's 12,5!! \n\n é  x", " Ab\x0b\x0cCd ", "<|endoftext|> <|endoftext|>x y"]
 
@@ -34,60 +36,95 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
+def ids_below(path: str) -> int:
+    """A number that all ids of the tokenizer are below."""
+    return max(load(path).get_vocab(True).values(), default=0) + 1
+
+
 def library_ids(path: str) -> Callable[[list[str]], list[list[int]]]:
     """Encoder of a list of words by the library itself."""
     tokenizer = load(path)
     return lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
-class WordIds:
-    """Ids of words; unknown words are encoded once and remembered."""
+class _Generation:
+    """Words and their ids: a table from hash to row, and for each row where its ids begin and how many they are."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], remembered: int = REMEMBERED):
-        self.encode, self.remembered = encode, remembered
-        self.table = LongTable(1 << 16)
-        self._empty()
+    def __init__(self, kind: type):
+        self.table = LongTable(1 << 12)
+        self.flat, self.used = np.zeros(1 << 14, kind), 0
+        self.begin, self.length, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), 0
 
-    def _empty(self) -> None:
-        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
-        self.begin, self.length, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32), 0
+    @property
+    def bytes(self) -> int:
+        return sum(x.nbytes for x in (self.table.keys, self.table.values, self.flat, self.begin, self.length))
 
-    def _remember(self, ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
-        total = int(lengths.sum())
-        while self.used + total > len(self.flat):
+    def add(self, keys: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.count + len(ids) > len(self.begin):
+        while self.count + len(keys) > len(self.begin):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-        self.begin[self.count : self.count + len(ids)] = self.used + np.cumsum(lengths) - lengths
-        self.length[self.count : self.count + len(ids)] = lengths
-        self.used, self.count = self.used + total, self.count + len(ids)
+        new = slice(self.count, self.count + len(keys))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.begin[new], self.length[new] = self.used + np.cumsum(lengths) - lengths, lengths
+        self.table.add(keys, np.arange(new.start, new.stop, dtype=np.int32))
+        self.used, self.count = self.used + len(flat), new.stop
+
+    def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = self.length[rows].astype(np.int64)
+        return self.flat[gather(self.begin[rows], lengths)], lengths
+
+
+class WordIds:
+    """Ids of words; unknown words are encoded once and remembered.
+
+    Words live in two generations. A word that is used moves to the young one; once that is full it becomes the old one, and the
+    old one goes, with the words that were not used for a whole generation. Ids take two bytes where ``ids_below`` allows it.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], ids_below: int = 1 << 32, generation_bytes: int = GENERATION_BYTES):
+        self.encode, self.generation_bytes = encode, generation_bytes
+        self.kind = np.uint16 if ids_below <= 1 << 16 else np.uint32
+        self.young, self.old = _Generation(self.kind), _Generation(self.kind)
+        self.encoded = 0
+
+    @property
+    def length(self) -> np.ndarray:
+        """How many ids the word of each row has."""
+        return self.young.length
 
     def rows(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray | None = None) -> np.ndarray:
-        """For each word, its row in ``begin`` and ``length``; valid until the next call."""
+        """For each word, its row; valid until the next call."""
         h = span_hashes(data, start, end) if hashes is None else hashes
-        if self.count > self.remembered:
-            self.table.clear(1 << 16)
-            self._empty()
-        found = self.table.find(h)
+        if self.young.bytes > self.generation_bytes:
+            self.young, self.old = _Generation(self.kind), self.young
+        found = self.young.table.find(h)
         missing = np.flatnonzero(found < 0)
         if len(missing):
             keys, first = np.unique(h[missing], return_index=True)
-            raw = data.tobytes()
             at = missing[first]
-            new = [raw[s:e].decode("utf-8", "replace") for s, e in zip(start[at].tolist(), end[at].tolist())]
-            base = self.count
-            self._remember(self.encode(new))
-            self.table.add(keys, np.arange(base, self.count, dtype=np.int32))
-            found[missing] = self.table.find(h[missing])
+            before = self.old.table.find(keys)
+            seen = before >= 0
+            if seen.any():
+                self.young.add(keys[seen], *self.old.ids(before[seen]))
+            self._encode(data, keys[~seen], start[at[~seen]], end[at[~seen]])
+            found[missing] = self.young.table.find(h[missing])
         return found
 
+    def _encode(self, data: np.ndarray, keys: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        self.encoded += len(keys)
+        for i in range(0, len(keys), LOT):
+            new = [data[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(start[i : i + LOT].tolist(), end[i : i + LOT].tolist())]
+            ids = self.encode(new)
+            lengths = np.fromiter(map(len, ids), np.int32, len(ids))
+            flat = np.fromiter((x for own in ids for x in own), self.kind, int(lengths.sum()))
+            self.young.add(keys[i : i + LOT], flat, lengths)
+
     def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of these words in order, and how many each word has."""
-        lengths = self.length[rows].astype(np.int64)
-        return self.flat[gather(self.begin[rows], lengths)], lengths
+        flat, lengths = self.young.ids(rows)
+        return flat.astype(np.uint32), lengths
 
 
 def text_bounds(lengths: np.ndarray, first: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.llm.common import share_code
-from tablelift.llm.pieces import WordIds, library_ids
+from tablelift.llm.pieces import WordIds, ids_below, library_ids
 from tablelift.llm.words import LongTable, slices, span_hashes, spans
 
 #: Pre-tokens in the broadcast table, and those each task proposes.
@@ -62,7 +62,7 @@ def frequent_words(docs: DataFrame, text: str = "text", words: int = TABLE_WORDS
 
 @cache
 def _worker(path: str) -> WordIds:
-    return WordIds(library_ids(path))
+    return WordIds(library_ids(path), ids_below(path))
 
 
 def _table(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
 import hashlib
+import heapq
 import random
 import zlib
 from collections import defaultdict
@@ -56,12 +57,39 @@ def test_cuts_are_certain(vocabulary, library):
 
 
 def test_remembered_words_may_be_forgotten(vocabulary, library):
-    words = pieces.WordIds(pieces.library_ids(vocabulary), remembered=5)
-    for text in (b"alpha beta gamma delta epsilon zeta", b"alpha eta theta"):
+    """Generations of a few words: whatever is forgotten is encoded again, whatever is used stays."""
+    r = random.Random(3)
+    names = ["".join(r.choice("abcdefgh") for _ in range(r.randint(1, 9))) for _ in range(4000)]
+    words = pieces.WordIds(pieces.library_ids(vocabulary), pieces.ids_below(vocabulary), generation_bytes=150_000)
+    for k in range(60):
+        text = " ".join(["always", "here", *r.choices(names[: 100 + 60 * k], k=200)]).encode()
         data = np.frombuffer(text, np.uint8)
         start, end, _ = spans(data, np.array([0, len(data)]))
-        ids, _ = words.ids(words.rows(data, start, end))
+        ids, lengths = words.ids(words.rows(data, start, end))
+        assert ids.dtype == np.uint32 and lengths.sum() == len(ids)
         assert ids.tolist() == library.encode(text.decode(), add_special_tokens=False).ids
+    assert words.kind is np.uint16 and words.old.count and words.encoded > len(set(names)) * 0.5
+    again = words.encoded
+    data = np.frombuffer(b"always here", np.uint8)
+    words.rows(data, *spans(data, np.array([0, 11]))[:2])
+    assert words.encoded == again
+
+
+def test_wide_ids_keep_their_bits():
+    words = pieces.WordIds(lambda new: [[70_000 + len(w), 5] for w in new], 80_000)
+    data = np.frombuffer(b"a bbb", np.uint8)
+    assert words.ids(words.rows(data, *spans(data, np.array([0, 5]))[:2]))[0].tolist() == [70_001, 5, 70_003, 5]
+
+
+def test_vocabularies_with_a_decoder_are_refused(vocabulary, tmp_path):
+    import json
+
+    spec = json.loads(open(vocabulary, encoding="utf-8").read())
+    spec["decoder"] = {"type": "BPEDecoder", "suffix": "</w>"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match="decoder of its own"):
+        bpe.ForcedBoundaryEncoder(str(path))
 
 
 def test_tokenizers_that_keep_white_space_are_refused():
@@ -98,10 +126,23 @@ def test_packing_covers_every_id_once(odd, none, vocabulary, wanted, size):
     assert packing.pack(none, vocabulary).collect() == []
 
 
-def test_plan_places_all_lengths_with_little_padding():
+def _one_by_one(histogram, size):
+    """Sequences that shortest-pack-first needs when every piece is placed by itself."""
+    rooms, count = [], 0
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            if rooms and -rooms[0] >= length:
+                heapq.heapreplace(rooms, rooms[0] + length)
+            else:
+                heapq.heappush(rooms, length - size)
+                count += 1
+    return count
+
+
+def test_plan_places_all_lengths_like_single_pieces():
     r = random.Random(1)
-    for size in (1, 7, 64, 2048):
-        histogram = {n: r.randint(1, 10_000) for n in range(1, size + 1) if r.random() < 0.7} or {1: 5}
+    for size, most in ((1, 10_000), (7, 10_000), (64, 5000), (300, 300), (2048, 60)):
+        histogram = {n: r.randint(1, most) for n in range(1, size + 1) if r.random() < 0.7} or {1: 5}
         patterns = packing.plan(histogram, size)
         placed = defaultdict(int)
         for count, pattern in patterns:
@@ -110,6 +151,8 @@ def test_plan_places_all_lengths_with_little_padding():
                 placed[length] += count * times
         assert placed == histogram
         assert len(patterns) <= 4 * size
-        used = sum(k * v for k, v in histogram.items())
-        assert sum(c for c, _ in patterns) * size - used <= 0.02 * used + 2 * size
+        used, sequences = sum(k * v for k, v in histogram.items()), sum(c for c, _ in patterns)
+        # No way of packing needs fewer than the tokens fill, or than there are pieces longer than half a sequence.
+        least = max(-(-used // size), sum(v for k, v in histogram.items() if 2 * k > size))
+        assert least <= sequences <= _one_by_one(histogram, size) + len(histogram)
     assert packing.plan({100: 10_000}, 2048) == [(500, [(100, 20)])]
