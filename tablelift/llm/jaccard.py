@@ -2,16 +2,20 @@
 
 1. *Profile.* Each text becomes a set of 64-bit shingle hashes; of the set only its size, a 128-bit identity, four
    minima under different permutations and a parity sketch are kept. Equal sets are one class from here on.
-2. *Groups.* Classes that share a minimum are compared with the least class among them; those that link make groups
+2. *Groups.* Classes that share a minimum are compared with the least class among them, and then, in an order that
+   has nothing to do with their ids, with the next class of another group; those that link make groups
    of similar documents whose members are known to be connected.
 3. *Token-group matrix.* Tokens are ordered rarest first, by document frequencies counted over all tokens. Two sets
    of similarity s share a token within their first |x| - ceil(s|x|) + 1 tokens, so these tokens alone are laid out as
-   (token, class, group), sorted by token. A class queries every larger group with which it shares a token, if the
-   token's places in both sets leave room for the overlap that their sizes ask for.
-4. *Bound and open.* A query meets the members of a group block only if sizes and parity sketches allow a link with
-   one of them; then the block's token union is built, and the block is opened only if the union holds enough of the
-   query's tokens. In an open block the first link found ends the search, for its members are connected already.
-5. *Components* of all links.
+   (token, group, class), sorted by token, larger groups first. At each token a class meets the members of larger groups if the
+   token's places in both sets leave room for the overlap that their sizes ask for; of those that parity sketches allow it keeps, for
+   each block of a group, the one whose sketch is nearest.
+4. *One link for two groups.* For each pair of groups the nearest of these pairs is verified first. Where it links, the groups
+   are one, and all their other candidates go.
+5. *Bound and open.* What is left meets the members of the block whose sizes and sketches allow a link; then the block's token
+   union is built, and the block is opened only if the union holds enough of the query's tokens. In an open block the first link
+   found ends the search, for its members are connected already.
+6. *Components* of all links.
 
 Every bound is safe: no link between different texts is lost, and nothing is capped. Shingle hashes have 64 bits; a
 collision could change a similarity by one token at most. Frequent tokens come from a list of at most ``HOT_TOKENS``,
@@ -29,12 +33,12 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelift.llm.common import share_code, shuffle_tasks, stored
 from tablelift.llm.components import components
-from tablelift.llm.words import lower, mix, slices, span_hashes, spans, windows
+from tablelift.llm.words import gather, lower, mix, slices, span_hashes, spans, windows
 
 #: Words in a shingle, and the least similarity in hundredths.
 WIDTH, PERCENT = 5, 75
@@ -50,6 +54,8 @@ SIEVE_BITS = 1 << 24
 
 _SEEDS = mix(np.arange(101, 105, dtype=np.uint64))
 _MOST_SKETCH = 1 << 16
+#: Bytes of the sketches that travel with matrix rows, and pairs compared at once.
+_SHORT, _PAIRS = 256, 1 << 17
 
 
 def token_sets(data: np.ndarray, at: np.ndarray):
@@ -118,13 +124,13 @@ def _identity(tokens: np.ndarray) -> tuple[int, int]:
     return _signed(h >> 64), _signed(h & ((1 << 64) - 1))
 
 
-_PROFILE = "doc_id long, n long, fa long, fb long, minima array<long>, sketch binary"
+_PROFILE = "doc_id long, n long, fa long, fb long, minima array<long>, sketch binary, short binary"
 
 
 def _profile(batches):
     for batch in batches:
         for part, data, at in slices(batch, "text"):
-            n, fa, fb, minima, sketch = [], [], [], [], []
+            n, fa, fb, minima, sketch, short = [], [], [], [], [], []
             for tokens in token_sets(data, at)[0]:
                 n.append(len(tokens))
                 a, b = _identity(tokens)
@@ -133,12 +139,14 @@ def _profile(batches):
                 if len(tokens):
                     minima.append([int(mix(tokens ^ s).min().view(np.int64)) for s in _SEEDS])
                     sketch.append(_sketch(tokens))
+                    short.append(_folded(np.frombuffer(sketch[-1], np.uint8)[None], min(len(sketch[-1]), _SHORT)).tobytes())
                 else:
                     minima.append([])
                     sketch.append(b"")
+                    short.append(b"")
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array(x, pa.int64()) for x in (n, fa, fb)), pa.array(minima, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                names=["doc_id", "n", "fa", "fb", "minima", "sketch"],
+                [part.column(0), *(pa.array(x, pa.int64()) for x in (n, fa, fb)), pa.array(minima, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(short, pa.binary())],
+                names=["doc_id", "n", "fa", "fb", "minima", "sketch", "short"],
             )
 
 
@@ -259,6 +267,23 @@ def _stars(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return _verify(docs, stored(once))
 
 
+def _chains(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Links of classes with the next class of another group that shares one of their minima, in the order of a hash.
+
+    Stars miss copies that are similar to each other but not to the least of them. A minimum that many classes share is
+    dealt into salts, and each salt is a chain of its own.
+    """
+    shared = grouped.select("cls", "n", "sketch", "group", F.posexplode("minima").alias("r", "minimum"))
+    mixed = shared.groupBy("r", "minimum").agg(F.count(F.lit(1)).alias("size"), F.min("group").alias("least"), F.max("group").alias("most")).where("least < most")
+    order = F.xxhash64("cls", F.lit(1))
+    salted = shared.join(mixed, ["r", "minimum"]).withColumn("salt", F.pmod(order, F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK))))
+    chain = Window.partitionBy("r", "minimum", "salt").orderBy(F.xxhash64("cls", F.lit(2)), "cls")
+    met = salted.withColumn("next", F.lead(F.struct("cls", "n", "sketch", "group")).over(chain)).where("next.group <> group")
+    pairs = met.select(F.col("cls").alias("q"), "n", "sketch", F.col("next.cls").alias("x"), F.col("next.n").alias("m"), F.col("next.sketch").alias("other"), F.col("next.cls").cast("string").alias("block"))
+    near = pairs.mapInArrow(_near, "q long, x long, block string")
+    return _verify(docs, stored(near.dropDuplicates(["q", "x"])))
+
+
 def _seen_once(batches, sets=100_000):
     """(identity, tokens) of each class of the task, as a rule once."""
     seen: set[tuple[int, int]] = set()
@@ -428,60 +453,139 @@ def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFra
     return placed.mapInArrow(shared_only, _ROWS)
 
 
-def _overlap(n: int, m: int) -> int:
-    """Tokens that similar sets of these sizes have in common at least."""
+def _overlap(n, m):
+    """Tokens that similar sets of these sizes (numbers or arrays) have in common at least."""
     return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
-def _queries(batches):
-    """(class, group) where a shared token allows a link and the group is larger; rows come by token, larger groups first.
+_ASKED = "q long, own long, group long, block string, x long, apart double"
+
+
+class _Sketches:
+    """Short sketches of rows, as one matrix for each length."""
+
+    def __init__(self, short: list[bytes]):
+        self.widths = np.fromiter(map(len, short), np.int64, len(short))
+        self.place, self.tables = np.zeros(len(short), np.int64), {}
+        for w in np.unique(self.widths).tolist():
+            own = np.flatnonzero(self.widths == w)
+            self.place[own] = np.arange(len(own))
+            self.tables[w] = np.frombuffer(b"".join([short[k] for k in own.tolist()]), np.uint8).reshape(-1, w)
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Slots of different parity between rows i and j, folded to the shorter sketch."""
+        out, both = np.zeros(len(i), np.int64), self.widths[i] << 32 | self.widths[j]
+        for key in np.unique(both).tolist():
+            at = np.flatnonzero(both == key)
+            a, b = self.tables[key >> 32][self.place[i[at]]], self.tables[key & 0xFFFFFFFF][self.place[j[at]]]
+            least = min(a.shape[1], b.shape[1])
+            out[at] = np.bitwise_count(_folded(a, least) ^ _folded(b, least)).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _met(token, group, n, place, before, short):
+    """Pairs (i, j, apart) of rows of one token, i in a larger group than j, that may be the first common token of similar sets.
 
     A token at place i of a set of n and place j of a set of m leaves at most min(n - i, m - j) tokens in common when it
     is their first common one, so for the rarest common token both must reach the overlap of these sizes. Where both
-    sets have the same token before this one, it isn't their first: the pair comes out there.
+    sets have the same token before this one, it isn't their first: the pair comes out there. Rows come by token, larger
+    groups first; members of one group don't meet.
     """
-    token, groups = None, []  # of the token: (group, least place for each size of set and token before)
+    index = np.arange(len(token))
+    new_token = np.ones(len(token), bool)
+    new_token[1:] = token[1:] != token[:-1]
+    new_group = new_token.copy()
+    new_group[1:] |= group[1:] != group[:-1]
+    run, own = np.maximum.accumulate(np.where(new_token, index, 0)), np.maximum.accumulate(np.where(new_group, index, 0))
+    partners = own - run
+    asking = np.flatnonzero(partners)
+    if not len(asking):
+        return
+    sketches = _Sketches(short)
+    ends = np.cumsum(partners[asking])
+    first = 0
+    while first < len(asking):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _PAIRS, side="right")))
+        rows = asking[first:last]
+        first = last
+        j = np.repeat(rows, partners[rows])
+        i = gather(run[rows], partners[rows])
+        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        total = n[i] + n[j]
+        keep = (100 * small >= PERCENT * large) & (np.minimum(n[i] - place[i], n[j] - place[j]) >= _overlap(n[i], n[j])) & ((before[i] == 0) | (before[i] != before[j]))
+        i, j, total = i[keep], j[keep], total[keep]
+        if len(i):
+            apart = sketches.apart(i, j)
+            keep = (100 + PERCENT) * apart <= (100 - PERCENT) * total
+            yield i[keep], j[keep], (apart / total)[keep]
+
+
+def _queries(batches):
+    """(class, its group, larger group, block, member, distance): for each block that a class may link with, its nearest member."""
+    def asked(rows: pa.Table):
+        token, group, cls, n, place, before, salt = (rows.column(k).to_numpy() for k in ("token", "group", "cls", "n", "place", "before", "salt"))
+        for i, j, apart in _met(token, group, n.astype(np.int64), place.astype(np.int64), before, rows.column("short").to_pylist()):
+            order = np.lexsort((cls[i], apart, salt[i], group[i], cls[j]))
+            i, j, apart = i[order], j[order], apart[order]
+            best = np.ones(len(i), bool)
+            best[1:] = (cls[j][1:] != cls[j][:-1]) | (group[i][1:] != group[i][:-1]) | (salt[i][1:] != salt[i][:-1])
+            i, j, apart = i[best], j[best], apart[best]
+            if len(i):
+                blocks = [f"{g}/{k}" for g, k in zip(group[i].tolist(), salt[i].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cls[j]), pa.array(group[j]), pa.array(group[i]), pa.array(blocks, pa.string()), pa.array(cls[i]), pa.array(apart)],
+                    names=["q", "own", "group", "block", "x", "apart"],
+                )
+
+    pending, last = [], None  # rows of a token that may go on in the next batch
     for batch in batches:
-        pairs = set()
-        for t, group, cls, n, place, before in zip(*(batch.column(k).to_pylist() for k in ("token", "group", "cls", "n", "place", "before"))):
-            if t != token:
-                token, groups = t, []
-            for g, sizes in groups:
-                if g != group and (cls, g) not in pairs:
-                    for (m, other), least in sizes.items():
-                        if before and before == other:
-                            continue
-                        if 100 * min(n, m) >= PERCENT * max(n, m) and min(n - place, m - least) >= _overlap(n, m):
-                            pairs.add((cls, g))
-                            break
-            if not groups or groups[-1][0] != group:
-                groups.append((group, {}))
-            sizes = groups[-1][1]
-            sizes[n, before] = min(place, sizes.get((n, before), place))
-        if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["q", "group"])
+        tokens = batch.column("token").to_numpy()
+        if not len(tokens):
+            continue
+        other = np.flatnonzero(tokens != tokens[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut or tokens[-1] != last:
+            yield from asked(pa.Table.from_batches([*pending, batch.slice(0, cut)]))
+            pending, last = [], tokens[-1]
+        pending.append(batch.slice(cut))
+    if pending:
+        yield from asked(pa.Table.from_batches(pending))
 
 
 def _cross_links(docs: DataFrame, classes: DataFrame, hot: tuple) -> DataFrame:
     """Links between classes of different groups."""
     spark = docs.sparkSession
-    handles = classes.select("fa", "cls", "n", "group", "group_size")
-    rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls", "n", "place", "before")
+    salt = F.pmod(F.xxhash64("cls"), F.greatest(F.lit(1), F.ceil(F.col("group_size") / BLOCK))).alias("salt")
+    handles = classes.select("fa", "cls", "n", "group", "group_size", salt, "short")
+    rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls", "n", "place", "before", "salt", "short")
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", F.desc("group_size"), "group", "cls")
-    asked = placed.mapInArrow(_queries, "q long, group long").distinct()
-    # Queries and members meet in the blocks of the group, not as pairs of rows.
-    sized = classes.select("group", "group_size").distinct()
-    salts = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("group_size") / BLOCK) - 1).cast("int"))).alias("salt")
-    query = classes.select(F.col("cls").alias("q"), "n", "sketch")
-    queries = (
-        asked.join(sized, "group").select("q", "group", salts).join(query, "q")
-        .select(F.concat_ws("/", F.col("group").cast("string"), F.col("salt").cast("string")).alias("block"), F.lit(1).alias("role"), F.col("q").alias("cls"), "n", "sketch")
-    )
+    nearest = F.min(F.struct("apart", "x")).alias("best")
+    asked = stored(placed.mapInArrow(_queries, _ASKED).groupBy("q", "own", "group", "block").agg(nearest).select("q", "own", "group", "block", "best.*"))
+
+    # One pair for two groups, verified beside all that ask for the same member.
+    first = asked.groupBy("own", "group").agg(F.min(F.struct("apart", "q", "x")).alias("p")).select("own", "group", "p.q", "p.x")
+    first = stored(first.withColumn("block", F.concat_ws("/", F.col("x").cast("string"), F.pmod(F.xxhash64("q"), F.lit(16)).cast("string"))))
+    links = _verify(docs, first.select("q", "x", "block"))
+    found = first.join(links, (first["q"] == links["a"]) & (first["x"] == links["b"]), "left_semi")
+    label = components(found.select(F.col("own").alias("a"), F.col("group").alias("b")))
+    one, two = (label.select(F.col("node").alias(n), F.col("component").alias(f"{n}_label")) for n in ("own", "group"))
+    rest = asked.join(one, "own", "left").join(two, "group", "left").where(F.coalesce("own_label", "own") != F.coalesce("group_label", "group"))
+    rest = stored(rest.select("q", "block").distinct())
+
+    queries = rest.join(classes.select(F.col("cls").alias("q"), "n", "sketch"), "q").select("block", F.lit(1).alias("role"), F.col("q").alias("cls"), "n", "sketch")
     block = _salted(F.col("group"), F.col("cls"), F.col("group_size")).alias("block")
-    members = classes.join(asked.select("group").distinct(), "group", "left_semi").select(block, F.lit(0).alias("role"), "cls", "n", "sketch")
+    members = classes.select(block, F.lit(0).alias("role"), "cls", "n", "sketch").join(rest.select("block").distinct(), "block", "left_semi")
     placed = queries.unionByName(members).repartition(shuffle_tasks(spark), "block").sortWithinPartitions("block", "role", "cls")
     near = placed.mapInArrow(_near_blocks, "q long, x long, block string")
-    return _verify(docs, stored(near))
+    return links.union(_verify(docs, stored(near)))
+
+
+def _labelled(classes: DataFrame, labels: DataFrame, own: str) -> DataFrame:
+    """Classes with the component of the node that column ``own`` names as their group, and the group's size."""
+    columns = [c for c in classes.columns if c not in ("group", "group_size")]
+    grouped = classes.join(labels, classes[own] == labels["node"], "left").select(*columns, F.coalesce("component", own).alias("group"))
+    sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("group_size"))
+    return stored(grouped.join(sizes, "group"))
 
 
 def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -491,13 +595,12 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     profile = stored(docs.mapInArrow(_profile, _PROFILE))
     named = profile.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(
-        named.groupBy("n", "fa", "fb").agg(F.min("doc_id").alias("cls"), F.first("minima").alias("minima"), F.first("sketch").alias("sketch"))
+        named.groupBy("n", "fa", "fb").agg(F.min("doc_id").alias("cls"), F.first("minima").alias("minima"), F.first("sketch").alias("sketch"), F.first("short").alias("short"))
     )
-    groups = components(_stars(docs, classes))
-    label = F.coalesce("component", "cls").alias("group")
-    grouped = classes.join(groups, classes["cls"] == groups["node"], "left").select("n", "fa", "fb", "cls", "sketch", label)
-    sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("group_size"))
-    grouped = stored(grouped.join(sizes, "group"))
+    grouped = _labelled(classes, components(_stars(docs, classes)), "cls")
+    chains = _chains(docs, grouped)
+    ends = [grouped.select(F.col("cls").alias(k), F.col("group").alias(f"g{k}")) for k in ("a", "b")]
+    grouped = _labelled(grouped, components(chains.join(ends[0], "a").join(ends[1], "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))), "group")
 
     total = classes.agg(F.sum("n")).first()[0] or 0
     links = _cross_links(docs, grouped, frequent_tokens(docs, total))

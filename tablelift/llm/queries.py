@@ -114,6 +114,23 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM rows WINDOW w AS (PARTITION BY t)
 """
 
+_JACCARD = r"""
+WITH RECURSIVE split AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+),
+grams AS (
+  SELECT doc_id, w, unnest(CASE WHEN len(w) >= 5 THEN range(1, len(w) - 3) WHEN len(w) > 0 THEN [1] ELSE []::BIGINT[] END) AS i FROM split
+),
+sets AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM grams),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN sizes m ON m.doc_id = p.a JOIN sizes n ON n.doc_id = p.b WHERE 100 * p.c >= 75 * (m.n + n.n - p.c)
+),
+reach AS (SELECT doc_id, doc_id AS other FROM split UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 # One entry of a vector is a row; each round is an assignment to all centroids and a floor of exact means.
 _START = """
 WITH kept AS MATERIALIZED (
@@ -153,6 +170,7 @@ FROM rows LEFT JOIN common c USING (k) GROUP BY doc_id
 
 TWINS: dict[str, str] = {
     "op3_chat_format": _CHAT,
+    "op5_ngram_jaccard": _JACCARD,
     "op10_exact_dedup": _EXACT,
     "op12_heap_clusters": _CLUSTERS,
     "op13_line_dedup": _LINES,

@@ -5,7 +5,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tablelift.llm import components, jaccard
+from checks.compare import connect, differences
+from tablelift.llm import components, jaccard, queries
 from tests.llm.conftest import fold, odd_rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -85,6 +86,67 @@ def test_links_across_groups_are_found(spark, monkeypatch):
     assert _got(jaccard.similar_groups(docs)) == _brute(rows)
 
 
+def test_registered_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert differences(queries.op5_ngram_jaccard(spark, sf), connect(sf), queries.TWINS["op5_ngram_jaccard"]) == []
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_classes_meet_members_of_larger_groups_only(size):
+    """Against all pairs of rows of one token, however the rows are cut into batches."""
+    r = np.random.default_rng(6)
+    sets = [np.unique(r.integers(0, 400, r.integers(60, 90)).astype(np.uint64)) for _ in range(8)]
+    sets += [np.unique(np.append(s[3:], r.integers(0, 400, 3).astype(np.uint64))) for s in sets for _ in range(3)]
+    rows, wanted = [], set()
+    for token in range(1, 7):
+        own = sorted((k % 6, k) for k in range(len(sets)) if r.random() < 0.6)
+        own = [(token, g, k, int(r.integers(0, 4)), int(r.integers(0, 3))) for g, k in own]
+        for a, (_, g, k, place, before) in enumerate(own):
+            for _, g2, k2, place2, before2 in own[:a]:
+                n, m = len(sets[k]), len(sets[k2])
+                fits = 100 * min(n, m) >= 75 * max(n, m) and min(n - place, m - place2) >= jaccard._overlap(n, m) and not (before and before == before2)
+                if g2 != g and fits and jaccard.may_link(n, jaccard._sketch(sets[k]), m, jaccard._sketch(sets[k2])):
+                    wanted.add((k, g, g2, f"{g2}/{k2 % 2}"))
+        rows += own
+    batch = pa.RecordBatch.from_pylist([
+        dict(token=t, group_size=1, group=g, cls=k, n=len(sets[k]), place=p, before=b, salt=k % 2, short=jaccard._sketch(sets[k])) for t, g, k, p, b in rows
+    ])
+    got = [x for b in jaccard._queries(batch.slice(k, size) for k in range(0, len(rows), size)) for x in b.to_pylist()]
+    assert wanted and {(x["q"], x["own"], x["group"], x["block"]) for x in got} == wanted
+
+
+def test_rows_stay_linear_in_a_large_group(spark, monkeypatch):
+    """Near copies of one text, some of them not like the least of them: candidates grow with their number, not its square."""
+    r = random.Random(11)
+    text = [f"w{i}" for i in range(90)]
+
+    def copies(count):
+        rows = []
+        for i in range(count):
+            own = list(text)
+            for _ in range(r.choice([0, 1, 1, 2])):
+                own[r.randrange(90)] = f"x{r.randrange(10**6)}"
+            rows.append((i, " ".join(own)))
+        return rows
+
+    made = {}
+    for count in (1000, 3000):
+        counted = spark.sparkContext.accumulator(0)
+        plain = jaccard._verify
+
+        def verify(docs, pairs):
+            counted.add(pairs.count())
+            return plain(docs, pairs)
+
+        monkeypatch.setattr(jaccard, "_verify", verify)
+        docs = spark.createDataFrame(copies(count), "doc_id long, text string").repartition(4)
+        rows = jaccard.similar_groups(docs).collect()
+        monkeypatch.setattr(jaccard, "_verify", plain)
+        assert len(rows) == count and len({x.component_id for x in rows}) == 1
+        made[count] = counted.value
+    assert made[3000] < 4.5 * made[1000] and made[3000] < 12 * 3000
+
+
 def test_bound_never_refuses_a_link():
     r = np.random.default_rng(4)
     for _ in range(300):
