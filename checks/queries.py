@@ -421,6 +421,17 @@ def row_diff(spark, sf_dir):
     return tl.diff(tl.with_row_hash(orders, spec), tl.with_row_hash(target, spec), ["o_orderkey"])
 
 
+@query
+def row_diff_tree(spark, sf_dir):
+    """Differences of two large tables that hardly differ, by digests of key ranges; keys repeat."""
+    lineitem = spread_table(spark, sf_dir, "lineitem")
+    spec = TableSpec.from_frame(lineitem, "TPC", "lineitem")
+    dearer = (F.col("l_orderkey") % 997 == 3) & (F.col("l_linenumber") == 1)
+    kept = lineitem.where("l_orderkey % 1009 <> 5").withColumn("l_extendedprice", F.col("l_extendedprice") + F.when(dearer, 1.0).otherwise(0.0))
+    target = kept.unionByName(lineitem.where("l_orderkey % 1013 = 7").withColumn("l_orderkey", -1 - F.col("l_orderkey")))
+    return tl.tree_diff(tl.with_row_hash(lineitem, spec), tl.with_row_hash(target, spec), ["l_orderkey", "l_linenumber"])
+
+
 # --- run reports -------------------------------------------------------------
 
 

@@ -383,6 +383,16 @@ TWINS: dict[str, str] = {
               FROM orders a FULL OUTER JOIN target b ON a.o_orderkey = b.o_orderkey)
         SELECT o_orderkey, status, CAST(source_rows AS BIGINT) AS source_rows, CAST(target_rows AS BIGINT) AS target_rows
         FROM j WHERE status IS NOT NULL""",
+    "row_diff_tree": f"""
+        WITH target AS (
+          SELECT * REPLACE (CASE WHEN l_orderkey % 997 = 3 AND l_linenumber = 1 THEN l_extendedprice + 1 ELSE l_extendedprice END AS l_extendedprice)
+          FROM lineitem WHERE l_orderkey % 1009 <> 5
+          UNION ALL SELECT * REPLACE (-1 - l_orderkey AS l_orderkey) FROM lineitem WHERE l_orderkey % 1013 = 7),
+        s AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(concat_ws('|', {', '.join(LINEITEM)}))) AS l FROM lineitem GROUP BY ALL),
+        t AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(concat_ws('|', {', '.join(LINEITEM)}))) AS l FROM target GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, CASE WHEN t.n IS NULL THEN 'missing' WHEN s.n IS NULL THEN 'extra' ELSE 'changed' END AS status,
+               coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows
+        FROM s FULL JOIN t USING (l_orderkey, l_linenumber) WHERE s.l IS DISTINCT FROM t.l""",
     "table_results": f"WITH {TASKS} SELECT * REPLACE (coalesce(error, '-') AS error) FROM results",
     "run_summary": f"""
         WITH {TASKS}

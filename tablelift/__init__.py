@@ -4,6 +4,7 @@ from tablelift.jobs import export_frame, export_table, export_tables, specs_of,
 from tablelift.operators.project import apply_types, csv_text, physical, with_virtual
 from tablelift.operators.results import audit, pending, results_ranked, run_summary, table_results
 from tablelift.operators.rowhash import column_hashes, duplicates, pk_hash, with_row_hash
+from tablelift.operators.treediff import tree_diff
 from tablelift.operators.validate import diff, reconcile, validate
 from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
@@ -20,6 +21,6 @@ __all__ = [
     "chunk_bounds", "column_hashes", "csv_text", "describe_export", "diff", "discover", "duplicates",
     "export_frame", "export_table", "export_tables", "key_ledger", "load_table", "map_types", "pending", "physical",
     "pk_hash", "plan_tasks", "publish_table", "publish_view", "read_export", "reconcile",
-    "results_ranked", "run_summary", "scan", "scan_chunk", "scan_chunked", "specs_of", "table_results", "validate",
+    "results_ranked", "run_summary", "scan", "scan_chunk", "scan_chunked", "specs_of", "table_results", "tree_diff", "validate",
     "verify_export", "with_row_hash", "with_virtual", "write_csv", "write_parquet",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,19 +57,25 @@ def _qualified(database: str | None, name: str) -> str:
     return f"{_sql(database)}.{_sql(name)}" if database else _sql(name)
 
 
+# Properties of a published view: the versions behind it, oldest first.
+VERSIONS = "tablelift.versions"
+
+
 def publish_table(
-    df: DataFrame, spec: TableSpec, database: str | None = None, location: str | None = None, max_rows_per_file: int = 0
+    df: DataFrame, spec: TableSpec, database: str | None = None, location: str | None = None, max_rows_per_file: int = 0, keep: int = 1
 ) -> str:
     """Replace the physical table of a spec; gives its name.
 
-    The new files are complete before the old table moves aside, and it goes only after the new one has
-    its name; if that fails, the old one gets its name back. Between the two renames, which touch
-    the catalog only, the name is missing for a moment. ``location`` is the folder for the files; each load
-    takes a new subfolder and removes the one it replaces.
+    The name is a view over the newest version, a table of its own. Once the files of a new version are complete, one
+    ``CREATE OR REPLACE VIEW`` gives it the name, so readers always find either the old rows or the new ones. Queries that
+    are still reading keep their files: ``keep`` versions before the newest one stay, older ones are removed with
+    theirs. A load that fails leaves the name as it was. ``location`` is the folder for the files; each
+    load takes a new subfolder.
     """
     spark = df.sparkSession
     run = uuid.uuid4().hex[:12]
-    name, new = _qualified(database, spec.physical_name), _qualified(database, f"{spec.physical_name}__{run}")
+    table = f"{spec.physical_name}__{run}"
+    name, new = _qualified(database, spec.physical_name), _qualified(database, table)
     writer = (
         _commented(arranged(with_day(df, spec), spec), spec)
         .write.mode("overwrite").format("parquet")
@@ -78,15 +85,18 @@ def publish_table(
         writer = writer.partitionBy(day_name(spec))
     if location:
         writer = writer.option("path", f"{location.rstrip('/')}/{spec.physical_name}/{run}")
-    writer.saveAsTable(new)
     properties = {
         "primary_key": ",".join(spec.pk_cols),
         "clustered_by": ",".join(spec.cluster_cols),
         "fingerprint": spec.fingerprint(),
     }
-    values = ", ".join(f"'{k}' = {_text(v)}" for k, v in properties.items() if v)
-    spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({values})")
-    _swap(spark, name, new, _qualified(database, f"{spec.physical_name}__old_{run}"), location)
+    try:
+        writer.saveAsTable(new)
+        spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({_properties(properties)})")
+        _switch(spark, spec.physical_name, table, database, properties, keep, location)
+    except Exception:
+        _remove(spark, new, location)
+        raise
     return name
 
 
@@ -94,19 +104,41 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _swap(spark: SparkSession, name: str, new: str, aside: str, location: str | None) -> None:
-    """Give ``new`` the name; the table that had it goes with its files, or stays if anything fails."""
+def _properties(values: dict[str, str]) -> str:
+    return ", ".join(f"'{k}' = {_text(v)}" for k, v in values.items() if v)
+
+
+def published_versions(spark: SparkSession, physical_name: str, database: str | None = None) -> list[str]:
+    """Names of the tables behind a published name, oldest first; the last one is what readers see."""
+    name = _qualified(database, physical_name)
     if not spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+        return []
+    kept = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == VERSIONS).first()
+    return json.loads(kept["value"]) if kept else []
+
+
+def _switch(spark: SparkSession, physical_name: str, table: str, database: str | None, properties: dict[str, str], keep: int, location: str | None) -> None:
+    """Let the name show a new version, then remove versions that are no longer kept."""
+    name = _qualified(database, physical_name)
+    versions = published_versions(spark, physical_name, database)
+    if not versions and spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        # A table that was no view yet becomes the first version.
+        versions = [f"{table}__before"]
+        spark.sql(f"ALTER TABLE {name} RENAME TO {_qualified(database, versions[0])}")
+    versions.append(table)
+    kept = versions[-1 - keep :]
+    listed = _properties(properties | {VERSIONS: json.dumps(kept)})
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS SELECT * FROM {_qualified(database, table)}")
+    for old in versions[: -1 - keep]:
+        _remove(spark, _qualified(database, old), location)
+
+
+def _remove(spark: SparkSession, table: str, location: str | None) -> None:
+    """Drop a version with its files."""
+    if not spark.catalog.tableExists(table):
         return
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
-    spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
-    try:
-        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
-    except Exception:
-        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-        raise
-    spark.sql(f"DROP TABLE {aside}")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    spark.sql(f"DROP TABLE {table}")
     if location and described:
         # Dropping an external table leaves its files; only a folder below this location is removed.
         path, fs = hadoop_path(spark, described["data_type"])

@@ -1,6 +1,7 @@
 import glob
 import gzip
 import json
+import threading
 from dataclasses import replace
 
 import pytest
@@ -12,7 +13,7 @@ from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir, read_export
 from tablelift.sinks.manifest import delete_manifest, lost_values, manifest_checks, read_manifest, read_refusals, schema_rows
-from tablelift.sinks.publish import load_table, publish_table
+from tablelift.sinks.publish import load_table, publish_table, published_versions
 from tablelift.sources.chunks import Chunk
 from tablelift.sources.statement import stated_by_spark, statement_query, statement_rows
 
@@ -185,29 +186,60 @@ def test_published_table_and_view(spark, spec, tmp_path, monkeypatch):
         got = spark.table(view)
         assert got.columns == ["ID", "NAME", "PAY", "AT", "TWICE", "ROW_HASH"] and got.count() == rows
         assert got.where("TWICE <> PAY * 2").count() == 0
-    assert len(list((tmp_path / "pub" / "PEOPLE_PHYSICAL").iterdir())) == 1
-    # A load that fails at the last step leaves the old table readable under its name.
+    # The version before stays for queries that still read it; older ones go with their files.
+    assert len(list((tmp_path / "pub" / "PEOPLE_PHYSICAL").iterdir())) == 2
+    load_table(spark, str(tmp_path), spec, "csv", True, database="lift_test", location=str(tmp_path / "pub"))
+    assert len(list((tmp_path / "pub" / "PEOPLE_PHYSICAL").iterdir())) == 2
+    versions = published_versions(spark, "PEOPLE_PHYSICAL", "lift_test")
+    assert [spark.catalog.tableExists(f"lift_test.`{v}`") for v in versions] == [True, True]
+    # A load that fails at the last step leaves the old rows under the name, and nothing else.
     failing = type(spark).sql
 
     def sql(self, text, *a, **k):
-        if "RENAME TO `lift_test`.`PEOPLE_PHYSICAL`" in text and "__old" not in text:
-            monkeypatch.undo()
+        if "CREATE OR REPLACE VIEW `lift_test`.`PEOPLE_PHYSICAL`" in text:
             raise RuntimeError("catalog away")
         return failing(self, text, *a, **k)
 
-    monkeypatch.setattr(type(spark), "sql", sql)
-    with pytest.raises(RuntimeError, match="catalog away"):
-        load_table(spark, str(tmp_path), spec, "csv", True, database="lift_test", location=str(tmp_path / "pub"))
+    with monkeypatch.context() as broken:
+        broken.setattr(type(spark), "sql", sql)
+        with pytest.raises(RuntimeError, match="catalog away"):
+            load_table(spark, str(tmp_path), spec, "csv", True, database="lift_test", location=str(tmp_path / "pub"))
     assert spark.table("lift_test.PEOPLE_PHYSICAL").count() == 100
+    assert published_versions(spark, "PEOPLE_PHYSICAL", "lift_test") == versions and len(list((tmp_path / "pub" / "PEOPLE_PHYSICAL").iterdir())) == 2
     physical = spark.table("lift_test.PEOPLE_PHYSICAL")
     assert {f.name: f.metadata.get("comment") for f in physical.schema}["PAY"] == 'per "month"'
-    assert [c.name for c in spark.catalog.listColumns("lift_test.PEOPLE_PHYSICAL") if c.isPartition] == ["AT_DAY"]
-    props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES lift_test.PEOPLE_PHYSICAL").collect()}
-    assert props["primary_key"] == "ID" and props["clustered_by"] == "ID,NAME"
+    for name in ("PEOPLE_PHYSICAL", versions[-1]):
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES lift_test.`{name}`").collect()}
+        assert props["primary_key"] == "ID" and props["clustered_by"] == "ID,NAME"
+    assert [c.name for c in spark.catalog.listColumns(f"lift_test.`{versions[-1]}`") if c.isPartition] == ["AT_DAY"]
     days = spark.table("lift_test.PEOPLE_PHYSICAL").where("AT_DAY = DATE'2024-01-02'")
     assert "PartitionFilters: [isnotnull(AT_DAY" in days._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_reader_never_misses_a_published_table(spark, tmp_path):
+    """Loads of 1, 2, 3 ... rows while another thread reads: the name is always there, the rows are those of one load."""
+    spec = TableSpec.from_frame(spark.range(1).toDF("ID"), "HR", "STEADY")
+    spark.sql("CREATE DATABASE IF NOT EXISTS lift_test")
+    spark.range(1).toDF("ID").write.mode("overwrite").saveAsTable("lift_test.STEADY")  # a plain table of earlier days
+    publish_table(spark.range(1).toDF("ID"), spec, "lift_test", str(tmp_path))
+    seen, failed, stop = set(), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(tuple(sorted(r["ID"] for r in spark.table("lift_test.STEADY").collect())))
+            except Exception as e:  # noqa: BLE001 - the test reports it
+                failed.append(str(e)[:300])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(2, 8):
+        publish_table(spark.range(n).toDF("ID"), spec, "lift_test", str(tmp_path))
+    stop.set()
+    reader.join()
+    assert not failed and seen <= {tuple(range(n)) for n in range(1, 8)} and len(seen) > 1
+
+
 class Stated:
     """A table with a statement of its own; some rows may get lost on the way."""
 
