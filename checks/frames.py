@@ -27,6 +27,35 @@ DICTIONARY_COLUMNS = [
 ]
 
 
+# What a vague, silent or outdated dictionary says of the columns of six tables (fixed values), and what their scan makes of it:
+# column, dictionary type, its Spark type, the Spark type chosen, the reason. Columns left out are not in the dictionary.
+VAGUE_DICTIONARY = {
+    "orders": [
+        ("o_orderkey", "NUMBER", "string", "bigint", "dictionary is vague"), ("o_custkey", "NUMBER(5,0)", "bigint", "bigint", "-"),
+        ("o_orderstatus", "CHAR", "string", "string", "-"), ("o_totalprice", "NUMBER(12,2)", "decimal(12,2)", "double", "floating in the source"),
+        ("o_orderdate", "DATE", "timestamp_ntz", "timestamp_ntz", "-"), ("o_orderpriority", "", "string", "string", "dictionary is silent"),
+    ],
+    "customer": [
+        ("c_custkey", "NUMBER(18,0)", "bigint", "bigint", "-"), ("c_name", "ENUM8", "string", "string", "unknown to the dictionary"),
+        ("c_nationkey", "NUMBER", "string", "bigint", "dictionary is vague"), ("c_acctbal", "BINARY_DOUBLE", "double", "double", "-"),
+        ("c_fax", "VARCHAR2", "string", "string", "not scanned"),
+    ],
+    "part": [
+        ("p_partkey", "", "string", "bigint", "dictionary is silent"), ("p_name", "NUMBER(9,0)", "bigint", "bigint", "text in the source"),
+        ("p_size", "VARCHAR2", "string", "int", "another kind in the source"), ("p_retailprice", "NUMBER", "string", "double", "dictionary is vague"),
+    ],
+    "lineitem": [
+        ("l_orderkey", "NUMBER", "string", "bigint", "dictionary is vague"), ("l_quantity", "NUMBER(4,0)", "bigint", "double", "floating in the source"),
+        ("l_linenumber", "NUMBER(2,1)", "decimal(2,1)", "decimal(11,1)", "widened"), ("l_shipdate", "TIMESTAMP(6)", "timestamp_ntz", "timestamp_ntz", "-"),
+    ],
+    "events": [
+        ("event_id", "NUMBER(10,0)", "bigint", "bigint", "-"), ("ts", "", "string", "timestamp_ntz", "dictionary is silent"),
+        ("value", "FLOAT", "double", "double", "-"), ("props", "JSON", "string", "string", "-"),
+    ],
+    "supplier": [("s_suppkey", "DATE", "timestamp_ntz", "bigint", "another kind in the source"), ("s_name", "RAW", "binary", "binary", "text in the source")],
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

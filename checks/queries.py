@@ -7,7 +7,7 @@ from functools import reduce
 
 import tablelift as tl
 from checks.frames import (
-    completion_records, dictionary, scratch, spread_table, table, task_results, task_tables,
+    VAGUE_DICTIONARY, completion_records, dictionary, scratch, spread_table, table, task_results, task_tables,
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,6 +197,26 @@ def map_types(spark, sf_dir):
     return tl.map_types(typed).select("p_partkey", "data_type", "target_type", "spark_type", "is_transformed")
 
 
+@query
+def refine_types(spark, sf_dir):
+    """Types of six tables from a poor dictionary and the schema of their scan, and how many values each column then holds."""
+    specs = []
+    for name, columns in VAGUE_DICTIONARY.items():
+        rows = spark.createDataFrame([(c, raw) for c, raw, *_ in columns], "column_name string, data_type string")
+        mapped = {r["column_name"]: r for r in tl.map_types(rows).collect()}
+        told = [(c, raw, mapped[c]["target_type"], mapped[c]["spark_type"], mapped[c]["is_transformed"]) for c, raw, *_ in columns]
+        specs.append(TableSpec("TPC", name, tuple(ColumnSpec(c, raw, target, kind, is_transformed=t) for c, raw, target, kind, t in told)))
+    out = []
+    for refined in tl.refine_specs(spark, _source(sf_dir), specs):
+        scanned = [d for d in refined.decisions if d[3] != "not scanned"]
+        chosen = TableSpec("TPC", refined.spec.table, tuple(c for c in refined.spec.columns if c.name in {d[0] for d in scanned}))
+        typed = tl.apply_types(tl.physical(table(spark, sf_dir, chosen.table), chosen), chosen)
+        held = typed.agg(*[F.count(F.col(d[0])).alias(d[0]) for d in scanned])
+        rows = [F.struct(F.lit(n).alias("column_name"), F.lit(a or "-").alias("dictionary"), F.lit(b).alias("chosen"), F.lit(why or "-").alias("note"), (F.col(n) if why != "not scanned" else F.lit(0).cast("long")).alias("n_values")) for n, a, b, why in refined.decisions]
+        out.append(held.select(F.lit(chosen.table).alias("table_name"), F.inline(F.array(*rows))))
+    return _stacked(out)
+
+
 # --- projections -------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.frames import DICTIONARY_COLUMNS
+from checks.frames import DICTIONARY_COLUMNS, VAGUE_DICTIONARY
 from checks.queries import CHUNKS, VALIDATED
 
 
@@ -273,6 +273,26 @@ EXTREME = (
 
 ORDER_HASH = fold([part(t) for t in ORDERS.values()])
 
+# Columns that only the scan knows, with their type there.
+_SCANNED_ONLY = {
+    "customer": [("c_mktsegment", "string")], "part": [("p_brand", "string"), ("p_type", "string")], "events": [("user_id", "bigint"), ("event_type", "string")],
+    "lineitem": [("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string")],
+    "supplier": [("s_nationkey", "int"), ("s_acctbal", "double")],
+}
+
+
+def _held(column: str, chosen: str, note: str) -> str:
+    if note == "not scanned":
+        return "0 * count(*)"
+    return f"count(TRY_CAST({column} AS BIGINT))" if (note, chosen) == ("text in the source", "bigint") else f"count({column})"
+
+
+REFINED = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{said}' AS dictionary, '{chosen}' AS chosen, '{note}' AS note, {_held(c, chosen, note)} AS n_values FROM {t}"
+    for t, columns in VAGUE_DICTIONARY.items()
+    for c, said, chosen, note in [(c, said, chosen, note) for c, _, said, chosen, note in columns] + [(c, "-", kind, "not in the dictionary") for c, kind in _SCANNED_ONLY.get(t, [])]
+)
+
 _ARRIVED = "(SELECT * FROM lineitem WHERE NOT (l_returnflag = 'R' AND l_linenumber = 7))"
 _FIGURES = [("ROW_COUNT", "", "CAST(count(*) AS VARCHAR)"), *[("NON_NULL", c, f"CAST(count({c}) AS VARCHAR)") for c in LINEITEM]]
 _FIGURES += [("SUM", c.partition(":")[0], total(c)) for c in SUMMED["lineitem"]]
@@ -308,6 +328,7 @@ TWINS: dict[str, str] = {
         UNION ALL SELECT schema, "table", 'data.parquet', '-', '-', '-' FROM p WHERE size_gb > 0 AND size_gb <= 1""",
     "discover_catalog": DISCOVER,
     "map_types": MAP_TYPES,
+    "refine_types": REFINED,
     "apply_types": """
         SELECT o_orderkey, o_custkey AS cust,
                CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(12,1)) AS VARCHAR) AS price, o_orderdate AS placed,

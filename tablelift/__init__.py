@@ -7,6 +7,7 @@ from tablelift.operators.rowhash import column_hashes, duplicates, pk_hash, with
 from tablelift.operators.treediff import tree_diff
 from tablelift.operators.validate import diff, reconcile, validate
 from tablelift.plans.options import ExportOptions
+from tablelift.plans.refine import refine, refine_specs
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.plans.tasks import plan_tasks
 from tablelift.plans.types import map_types
@@ -21,6 +22,7 @@ __all__ = [
     "chunk_bounds", "column_hashes", "csv_text", "describe_export", "diff", "discover", "duplicates",
     "export_frame", "export_table", "export_tables", "key_ledger", "load_table", "map_types", "pending", "physical",
     "pk_hash", "plan_tasks", "publish_table", "publish_view", "read_export", "reconcile",
+    "refine", "refine_specs",
     "results_ranked", "run_summary", "scan", "scan_chunk", "scan_chunked", "specs_of", "table_results", "tree_diff", "validate",
     "verify_export", "with_row_hash", "with_virtual", "write_csv", "write_parquet",
 ]

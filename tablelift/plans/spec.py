@@ -137,7 +137,7 @@ class TableSpec:
         raw_types, comments, zones = raw_types or {}, comments or {}, zones or {}
         columns = []
         for f in df.schema:
-            raw, target, transformed = _describe(f.dataType)
+            raw, target, transformed = describe_type(f.dataType)
             columns.append(
                 ColumnSpec(
                     f.name,
@@ -173,7 +173,8 @@ class TableSpec:
         )
 
 
-def _describe(dtype: T.DataType) -> tuple[str, str, bool]:
+def describe_type(dtype: T.DataType) -> tuple[str, str, bool]:
+    """(source type, target type, whether it is rewritten) that stand for a Spark type."""
     name = dtype.simpleString()
     if isinstance(dtype, T.DecimalType):
         return f"NUMBER({dtype.precision},{dtype.scale})", "BIGNUMERIC", False
