@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.llm import bpe, chat, clusters, exact, extract, jaccard, lines, maxent, packing, quality, token_counts, toxicity, whitening
+from tablelift.llm import bpe, chat, clusters, exact, extract, jaccard, lines, maxent, packing, pipeline, quality, token_counts, toxicity, whitening
 from tablelift.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -89,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_whitening": op11_whitening,
     "op12_heap_clusters": op12_heap_clusters,
     "op13_line_dedup": op13_line_dedup,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 # The digests of turns and of learned texts, without a template: what reading back must give.
@@ -116,7 +115,8 @@ FROM rows WINDOW w AS (PARTITION BY t)
 
 _JACCARD = r"""
 WITH RECURSIVE split AS MATERIALIZED (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents
 ),
 grams AS (
   SELECT doc_id, w, unnest(CASE WHEN len(w) >= 5 THEN range(1, len(w) - 3) WHEN len(w) > 0 THEN [1] ELSE []::BIGINT[] END) AS i FROM split

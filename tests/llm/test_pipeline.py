@@ -1,6 +1,6 @@
-import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from checks.compare import connect, differences
+from tablelift.llm import pipeline as corpus_pipeline
 from tablelift.llm.queries import QUERIES, TWINS
 from tests.llm.conftest import prose
 from tests.llm.test_exact import _wanted
@@ -12,14 +12,43 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 def test_queries_are_registered():
     assert [k for k in queries() if k.startswith("op")] == [k for k in QUERIES if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 14))
     assert TWINS.items() <= oracle_sql().items()
 
 
 def test_twins(spark):
     con = connect(SF)
-    for name, sql in TWINS.items():
-        assert differences(QUERIES[name](spark, SF), con, sql) == [], name
+    for name in ("op3_chat_format", "op10_exact_dedup"):  # the others stand beside their operators' tests
+        assert differences(QUERIES[name](spark, SF), con, TWINS[name]) == [], name
+
+
+def test_the_root_module_is_this_pipeline():
+    import corpus_pipeline as root
+
+    assert [n for n, _ in root.STAGES] == ["toxicity", "quality_rules", "exact_dedup", "ngram_jaccard", "packing"] and root.ORACLE_SQL is None and callable(root.run)
+
+
+def test_columns_of_any_name_come_through(spark):
+    """Columns called like those that stages use inside, and repeated ids."""
+    near = prose(9, 150)
+    rows = [(1, near, "a", 1, 7, "x", 2), (1, near + " more", "b", 2, 7, "y", 3), (2, "Copy here", "c", 3, 7, "z", 4), (3, "copy here", "d", 4, 7, "z", 5), (3, "copy here", "e", 5, 7, "z", 6), (None, None, "f", 6, 7, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_sha256 string, _key long, word int, _row string, _word long")
+    left = corpus_pipeline.drop_copies(spark, docs, SF)
+    assert left.columns == docs.columns and sorted(r.text_sha256 for r in left.collect()) in (["a", "b", "d", "f"], ["a", "b", "e", "f"])
+    left = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert left.columns == docs.columns and sorted((r.doc_id or 0, r._key in (1, 2, 3, 4, 5, 6)) for r in left.collect()) == [(0, True), (1, True), (2, True)]
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_poor):
+        assert stage(spark, docs, SF).columns == docs.columns
+    assert {r.doc_id for r in corpus_pipeline.pack(spark, docs, SF).collect()} == {1, 2, 3, None}
+
+
+def test_only_rows_that_may_go_are_moved(spark, tmp_path):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    gone = docs.where("doc_id % 50 = 7").select("doc_id")
+    maybe, others = corpus_pipeline._sieved(docs, gone, {"doc_id": docs["doc_id"]})
+    assert maybe.count() < 1000 and maybe.count() + others.count() == 5000 and others.join(gone, "doc_id").count() == 0
+    left = corpus_pipeline._without(docs, gone, {"doc_id": docs["doc_id"]})
+    assert sorted(r.doc_id for r in left.collect()) == [i for i in range(5000) if i % 50 != 7]
 
 
 def test_all_stages_on_given_documents(spark):
