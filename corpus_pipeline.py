@@ -1,89 +1,5 @@
-"""Cleaning and packing a corpus: five stages, each over all that its predecessor kept.
+"""Cleaning and packing a corpus; the stages are :mod:`tablelift.llm.pipeline`."""
 
-``run`` applies them to the documents table; every stage is written as Parquet in the shared folder and read again, so
-a lost executor costs one stage at most. All stages but the last return the columns of documents.
-"""
+from tablelift.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from collections.abc import Callable
-from functools import reduce
-from operator import and_
-
-import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tablelift.llm import exact, jaccard, packing, quality, toxicity
-from tablelift.llm.common import share_code, stored, table
-
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-
-
-def _digest() -> Column:
-    """SHA-256 of what tells texts apart in the exact_dedup stage: A-Z as a-z, a null text as the empty one."""
-    lower = F.translate(F.coalesce(F.col("text"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.sha2(lower, 256)
-
-
-def _without(rows: DataFrame, gone: DataFrame, *by: str) -> DataFrame:
-    """Rows that are not among those that go; nulls of the columns they are told by are values like any other."""
-    gone = gone.select(*[F.col(c).alias(f"_gone_{c}") for c in by]).distinct()
-    return rows.join(gone, reduce(and_, [rows[c].eqNullSafe(gone[f"_gone_{c}"]) for c in by]), "left_anti")
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier calls toxic go."""
-    return toxicity.clean_rows(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-
-
-def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule or a learned rule rejects go."""
-    return quality.kept_rows(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
-
-
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays; rows repeated with one id and text stay once.
-
-    An id may have several texts, and so may null: each row goes or stays with its own text.
-    """
-    groups = stored(exact.exact_groups(docs))
-    left = _without(docs.withColumn("text_sha256", _digest()), groups.where("NOT kept"), "doc_id", "text_sha256")
-    repeated = groups.where("kept AND group_size > 1").groupBy("doc_id", "text_sha256").count().where("count > 1")
-    return (left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text_sha256"])).drop("text_sha256")
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar texts the document with the smallest id stays; rows with a null id link with nothing.
-
-    Where ids repeat, each row gets a key in the order of ids and is a document of its own: of a group one row stays.
-    """
-    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return _without(docs, jaccard.similar_groups(docs).where("doc_id <> component_id"), "doc_id")
-    key = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
-    rows = stored(docs.orderBy("doc_id", F.xxhash64("text")).withColumn("_key", key))
-    return _without(rows, jaccard.similar_groups(rows, id="_key").where("doc_id <> component_id").select(F.col("doc_id").alias("_key")), "_key").drop("_key")
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all that is left, in sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-
-
-STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("quality_rules", drop_poor),
-    ("exact_dedup", drop_copies),
-    ("ngram_jaccard", drop_near_copies),
-    ("packing", pack),
-]
-
-# The classifier, the learned rules and the tokenizer have no SQL form.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(share_code(spark), sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
