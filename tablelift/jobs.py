@@ -33,7 +33,7 @@ from tablelift.plans.tasks import is_large
 from tablelift.session import tune
 from tablelift.sinks.files import TableDir, read_export, write_csv_text, write_parquet
 from tablelift.sinks.manifest import (
-    delete_folder, delete_manifest, manifest_stats, read_json, read_manifest, write_json, write_manifest, write_refusal,
+    compact_records, delete_folder, delete_manifest, manifest_stats, read_json, read_manifest, write_json, write_manifest, write_refusal,
 )
 from tablelift.sources.chunks import Chunk
 from tablelift.sources.scan import JdbcSource, Source, scan, scan_chunk, scan_chunked
@@ -396,6 +396,7 @@ def export_tables(
         done += [r for results in pool.map(inheritable_thread_target(spark)(run), units) for r in results]
     done += [_result(s, 0, 0, 0.0, SKIPPED, None) for s in specs if (s.schema, s.table) not in todo]
 
+    compact_records(spark, out)
     tasks = spark.createDataFrame(done, RESULT_SCHEMA)
     results = table_results(tasks, listing)
     write_report(results, time.monotonic() - started, out, tasks.where("chunk_id IS NOT NULL"))

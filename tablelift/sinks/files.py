@@ -36,10 +36,6 @@ class TableDir:
     def data(self) -> str:
         return f"{self.root}/data"
 
-    @property
-    def manifest(self) -> str:
-        return f"{self.root}/config/manifest"
-
     @property
     def refusal(self) -> str:
         return f"{self.root}/config/refusal"

@@ -1,8 +1,17 @@
-"""Completion records: one row per finished export, kept beside its data."""
+"""Completion records: an append-only log of finished exports in the output folder.
+
+A record is a small file in ``<out>/records/new``; starting an export anew appends a mark that the table has no valid
+record. Readers list one folder, however many tables there are, and take the latest entry of each table. Once many
+files have gathered, :func:`compact_records` writes the whole history as one table and removes them; if it is interrupted, entries
+are there twice, which changes nothing.
+"""
 
 from __future__ import annotations
 
 import json
+import threading
+import time
+import uuid
 from dataclasses import asdict
 from datetime import datetime, timezone
 
@@ -25,6 +34,10 @@ MANIFEST_SCHEMA = """
     casts array<struct<column_name: string, source_values: long, written_values: long, lost: long>>,
     stated array<struct<metric: string, column_name: string, value: string>>, chunks long
 """
+_LOG_SCHEMA = f"{MANIFEST_SCHEMA}, logged_at long, removed boolean"
+
+# Files of the log that are left as they are.
+LOG_FILES = 1000
 
 
 def schema_rows(spec: TableSpec, row_hash: bool = False) -> list[tuple[str, str, str, str | None]]:
@@ -41,10 +54,27 @@ def hadoop_path(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _log(out: str) -> str:
+    return f"{out.rstrip('/')}/records"
+
+
+_last = 0
+_clock = threading.Lock()
+
+
+def _append(spark: SparkSession, out: str, record: dict[str, object]) -> None:
+    """Add an entry; entries of one driver have rising times."""
+    global _last
+    with _clock:
+        _last = max(_last + 1, time.time_ns())
+        now = _last
+    write_json(spark, f"{_log(out)}/new", f"{now}-{uuid.uuid4().hex[:12]}.json", record | {"logged_at": now})
+
+
 def delete_manifest(spark: SparkSession, place: TableDir) -> None:
-    """Forget an earlier export before its files are replaced."""
-    for folder in (place.manifest, place.refusal):
-        delete_folder(spark, folder)
+    """Let an earlier export count no more, before its files are replaced; its record stays in the history."""
+    _append(spark, place.out, {"schema": place.schema, "table": place.table, "removed": True})
+    delete_folder(spark, place.refusal)
 
 
 def write_manifest(
@@ -97,7 +127,7 @@ def write_manifest(
         "stated": None if stated is None else [{"metric": m, "column_name": c, "value": v} for (m, c), v in stated.items()],
         "chunks": chunks,
     }
-    write_json(spark, place.manifest, "record.json", record)
+    _append(spark, place.out, record)
 
 
 def write_json(spark: SparkSession, folder: str, name: str, record: object) -> None:
@@ -150,13 +180,44 @@ def read_refusals(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(REFUSAL_SCHEMA).json(pattern)
 
 
+def _entries(spark: SparkSession, out: str) -> DataFrame:
+    """All entries of the log, each once."""
+    found = []
+    for pattern, read in (("new", spark.read.schema(_LOG_SCHEMA).json), ("compacted-*", spark.read.schema(_LOG_SCHEMA).parquet)):
+        path, fs = hadoop_path(spark, f"{_log(out)}/{pattern}")
+        if fs.globStatus(path):
+            found.append(read(f"{_log(out)}/{pattern}"))
+    if not found:
+        return spark.createDataFrame([], _LOG_SCHEMA)
+    both = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return both.dropDuplicates(["schema", "table", "logged_at"])
+
+
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:
-    """All completion records below an output folder; empty where there is none yet."""
-    pattern = f"{out.rstrip('/')}/*/*/config/manifest"
-    path, fs = hadoop_path(spark, pattern)
-    if not fs.globStatus(path):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).json(pattern)
+    """The completion records that hold now: the latest entry of each table below an output folder."""
+    entries = _entries(spark, out)
+    latest = entries.groupBy("schema", "table").agg(F.max_by(F.struct("*"), "logged_at").alias("r")).select("r.*")
+    return latest.where(~F.coalesce("removed", F.lit(False))).drop("logged_at", "removed")
+
+
+def record_history(spark: SparkSession, out: str) -> DataFrame:
+    """All completion records ever written, those that were replaced too, with the time in ``logged_at`` (nanoseconds)."""
+    return _entries(spark, out).where("removed IS NULL").drop("removed")
+
+
+def compact_records(spark: SparkSession, out: str, files: int = LOG_FILES) -> bool:
+    """Write the log as one table, if more than ``files`` files have gathered; says whether it did."""
+    path, fs = hadoop_path(spark, f"{_log(out)}/new/*.json")
+    new = [f.getPath() for f in fs.globStatus(path) or []]
+    if len(new) <= files:
+        return False
+    path, fs = hadoop_path(spark, f"{_log(out)}/compacted-*")
+    old = [f.getPath() for f in fs.globStatus(path) or []]
+    # Only what was listed goes: entries that come in meanwhile stay.
+    _entries(spark, out).repartition(1 + len(new) // 100_000).write.parquet(f"{_log(out)}/compacted-{time.time_ns()}")
+    for p in [*new, *old]:
+        fs.delete(p, True)
+    return True
 
 
 def _aggregates() -> Column:

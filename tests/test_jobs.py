@@ -1,6 +1,7 @@
 import glob
 import gzip
 import json
+import shutil
 import threading
 from dataclasses import replace
 
@@ -12,7 +13,9 @@ from tablelift.operators.validate import added_figures, validate
 from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir, read_export
-from tablelift.sinks.manifest import delete_manifest, lost_values, manifest_checks, read_manifest, read_refusals, schema_rows
+from tablelift.sinks.manifest import (
+    compact_records, delete_manifest, lost_values, manifest_checks, read_manifest, read_refusals, record_history, schema_rows,
+)
 from tablelift.sinks.publish import load_table, publish_table, published_versions
 from tablelift.sources.chunks import Chunk
 from tablelift.sources.statement import stated_by_spark, statement_query, statement_rows
@@ -173,6 +176,29 @@ def test_completion_record(spark, spec, tmp_path):
     assert c["pk_hash"] and c["sums"] == 2
 
 
+def test_records_are_a_log_with_history(spark, spec, tmp_path):
+    out, names = str(tmp_path), ("A", "B", "C")
+    specs = [replace(spec, table=t) for t in names]
+    assert read_manifest(spark, out).count() == 0 and record_history(spark, out).count() == 0 and not compact_records(spark, out)
+    for where in ("ID < 10", "ID < 20"):
+        for s in specs:
+            export_table(spark, people, s, out, ExportOptions(fmt="parquet", where=where))
+    delete_manifest(spark, TableDir(out, "HR", "C"))
+    now = lambda: sorted((r["table"], r["rows"]) for r in read_manifest(spark, out).collect())
+    past = lambda: [(r["table"], r["rows"]) for r in record_history(spark, out).orderBy("logged_at").collect()]
+    assert now() == [("A", 20), ("B", 20)] and past() == [(t, n) for n in (10, 20) for t in names]
+    entries, history = len(list(tmp_path.glob("records/new/*.json"))), past()
+    assert entries == 13 and not compact_records(spark, out, files=13) and compact_records(spark, out, files=5)
+    assert not list(tmp_path.glob("records/new/*.json")) and now() == [("A", 20), ("B", 20)] and past() == history
+    # The log goes on behind its compacted part; a compaction that was cut short leaves entries twice, and counts them once.
+    kept = tmp_path / "kept"
+    shutil.copytree(next(tmp_path.glob("records/compacted-*")), kept)
+    export_table(spark, people, specs[2], out, ExportOptions(fmt="parquet", where="ID < 5"))
+    assert compact_records(spark, out, files=1)
+    shutil.copytree(kept, tmp_path / "records/compacted-1")
+    assert now() == [("A", 20), ("B", 20), ("C", 5)] and past() == [*history, ("C", 5)]
+
+
 def test_verify_needs_a_record(spark, spec, tmp_path):
     with pytest.raises(ValueError, match="no completion record"):
         verify_export(spark, spec, str(tmp_path))

@@ -57,7 +57,7 @@ def test_codecs():
 
 def test_layout():
     place = TableDir("s3a://b/out/", "HR", "EMP")
-    assert place.data == "s3a://b/out/HR/EMP/data" and place.manifest == "s3a://b/out/HR/EMP/config/manifest"
+    assert place.data == "s3a://b/out/HR/EMP/data" and place.chunks == "s3a://b/out/HR/EMP/config/chunks"
 
 
 @pytest.mark.parametrize(
