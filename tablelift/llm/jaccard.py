@@ -55,7 +55,7 @@ SIEVE_BITS = 1 << 24
 _SEEDS = mix(np.arange(101, 105, dtype=np.uint64))
 _MOST_SKETCH = 1 << 16
 #: Bytes of the sketches that travel with matrix rows, and pairs compared at once.
-_SHORT, _PAIRS = 256, 1 << 17
+_SHORT, _PAIRS = 128, 1 << 17
 
 
 def token_sets(data: np.ndarray, at: np.ndarray):
@@ -273,15 +273,17 @@ def _chains(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     Stars miss copies that are similar to each other but not to the least of them. A minimum that many classes share is
     dealt into salts, and each salt is a chain of its own.
     """
-    shared = grouped.select("cls", "n", "sketch", "group", F.posexplode("minima").alias("r", "minimum"))
+    shared = grouped.select("cls", "group", F.posexplode("minima").alias("r", "minimum"))
     mixed = shared.groupBy("r", "minimum").agg(F.count(F.lit(1)).alias("size"), F.min("group").alias("least"), F.max("group").alias("most")).where("least < most")
     order = F.xxhash64("cls", F.lit(1))
-    salted = shared.join(mixed, ["r", "minimum"]).withColumn("salt", F.pmod(order, F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK))))
+    salted = shared.join(mixed.drop("least", "most"), ["r", "minimum"]).withColumn("salt", F.pmod(order, F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK))))
     chain = Window.partitionBy("r", "minimum", "salt").orderBy(F.xxhash64("cls", F.lit(2)), "cls")
-    met = salted.withColumn("next", F.lead(F.struct("cls", "n", "sketch", "group")).over(chain)).where("next.group <> group")
-    pairs = met.select(F.col("cls").alias("q"), "n", "sketch", F.col("next.cls").alias("x"), F.col("next.n").alias("m"), F.col("next.sketch").alias("other"), F.col("next.cls").cast("string").alias("block"))
-    near = pairs.mapInArrow(_near, "q long, x long, block string")
-    return _verify(docs, stored(near.dropDuplicates(["q", "x"])))
+    met = salted.withColumn("next", F.lead(F.struct("cls", "group")).over(chain)).where("next.group <> group")
+    pairs = stored(met.select(F.col("cls").alias("q"), F.col("next.cls").alias("x")).distinct())
+    own = grouped.select(F.col("cls").alias("q"), "n", "sketch")
+    other = grouped.select(F.col("cls").alias("x"), F.col("n").alias("m"), F.col("sketch").alias("other"))
+    near = pairs.join(own, "q").join(other, "x").withColumn("block", F.col("x").cast("string"))
+    return _verify(docs, stored(near.mapInArrow(_near, "q long, x long, block string")))
 
 
 def _seen_once(batches, sets=100_000):
