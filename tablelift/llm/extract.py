@@ -5,8 +5,13 @@ blocks before and after it, and where it stands: inside an article, on a page wi
 tag or name around it says menu, advert, form, comment and so on. A decision tree, trained on the small labelled table
 below, tells which blocks are main text. Only these are joined, in page order; nothing is capped.
 
-Scripts, styles, comments, hidden elements and the head hold no blocks. An unfinished tag at the end of a cut-off page is
-dropped. Null and empty pages give an empty text. Rows may repeat, ids and urls may be null and other columns are
+A name says what an element is only by a whole word of its class, id or role, such as ``sidebar`` or ``cookie-notice``; ``has-sidebar`` says
+nothing. Articles count as the page's articles only if they hold a good share of its words outside links; else a teaser
+would outweigh the text.
+
+Scripts, styles, comments, hidden elements, drawings (svg), what is shown only without scripts (noscript, a notice) and the head hold no blocks;
+formulas (math) are text. An unfinished tag at the end of a cut-off page is dropped, and so is the rest of a page behind a script or style that
+never ends; a drawing or noscript that never ends takes nothing with it. Null and empty pages give an empty text. Rows may repeat, ids and urls may be null and other columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -25,7 +30,9 @@ from pyspark.sql import functions as F
 from tablelift.llm.common import share_code
 
 # Element names of HTML by their role for text blocks.
-RAW = ["script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "xmp"]
+RAW = ["script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp"]
+# Those that a missing end tag does not stretch to the end of the page.
+OPEN_ENDED = ["noscript", "template", "iframe", "svg"]
 CONTAINERS = [
     "html", "head", "body", "main", "article", "section", "div", "nav", "header", "footer", "aside", "form", "fieldset", "menu", "dialog",
     "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "tr", "figure", "blockquote", "details", "address", "select", "button", "center", "hgroup", "search",
@@ -42,17 +49,25 @@ BOILER_NAMES = [
     "disqus", "discussion", "share", "sharing", "social", "related", "recommended", "recommendations", "teaser", "newsletter", "subscribe", "subscription", "signup",
     "login", "register", "search", "toolbar", "widget", "widgets", "form", "tags", "skip",
 ]
-COMMENT_NAMES = ["comment", "comments", "reply"]
+# Words that say where or how large something is, not what; they may stand beside one of the above.
+PLAIN_NAMES = [
+    "area", "bar", "block", "bottom", "box", "card", "container", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "outer", "page", "panel",
+    "primary", "right", "secondary", "section", "site", "slot", "top", "unit", "wrap", "wrapper",
+]
 
-_RAW, _CONTAINERS, _BLOCKS, _BOILER_TAGS, _VOID, _NAMES = (frozenset(x) for x in (RAW, CONTAINERS, BLOCKS, BOILER_TAGS, VOID, BOILER_NAMES))
+_RAW, _OPEN_ENDED, _CONTAINERS, _BLOCKS, _BOILER_TAGS, _VOID, _NAMES, _PLAIN = (
+    frozenset(x) for x in (RAW, OPEN_ENDED, CONTAINERS, BLOCKS, BOILER_TAGS, VOID, BOILER_NAMES, PLAIN_NAMES)
+)
+#: Share of a page's words outside links that its articles hold at least, if they are to be its articles.
+ARTICLE_SHARE = 0.2
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z))",
     re.S,
 )
-_NAMED = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
@@ -66,16 +81,25 @@ class Block:
     heading: bool
 
 
+def _says_boiler(word: str) -> bool:
+    """Whether a name, all its parts taken together, is one of the listed ones."""
+    parts = _PART.findall(word.lower())
+    return any(p in _NAMES for p in parts) and all(p in _NAMES or p in _PLAIN for p in parts)
+
+
 def _named(rest: str, name: str) -> bool:
+    """Whether an element's attributes hide it, or say that it isn't main text."""
     if "=" not in rest and "hidden" not in rest.lower():
         return False
-    if _HIDDEN.search(rest):
-        return True
-    if name in ("html", "body", "main"):
-        return False
-    for m in _NAMED.finditer(rest):
-        parts = _PART.findall((m[2] or m[3] or m[4] or "").lower())
-        if any(p in (COMMENT_NAMES if name == "article" else _NAMES) for p in parts):
+    for key, *values in _ATTRIBUTE.findall(rest):
+        key, value = key.lower(), "".join(values)
+        if key == "hidden" or (key == "aria-hidden" and value.strip().lower() == "true") or (key == "style" and _NO_DISPLAY.search(value)):
+            return True
+        if name in ("html", "body", "main"):
+            continue
+        if key in ("class", "id", "role") and any(map(_says_boiler, value.split())):
+            return True
+        if key == "aria-label" and _says_boiler(value):
             return True
     return False
 
@@ -140,6 +164,8 @@ def blocks(page: str) -> list[Block]:
             end = re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I).search(page, at) if not rest.endswith("/>") else None
             if end is None and rest.endswith("/>"):
                 continue
+            if end is None and name in _OPEN_ENDED:
+                continue
             if end is None:
                 break
             close = page.find(">", end.end())
@@ -168,8 +194,10 @@ def blocks(page: str) -> list[Block]:
                 if heading or name in ("p", "li"):
                     links = 0
     flush()
+    plain = {place: sum(b.words - b.link_words for b in found if not b.boiler and b.place == place) for place in (0, 1)}
+    has_article = has_article and plain[1] >= ARTICLE_SHARE * (plain[0] + plain[1])
     for b in found:
-        b.place = 1 if b.place else -1 if has_article else 0
+        b.place = 0 if not has_article else 1 if b.place else -1
     return found
 
 

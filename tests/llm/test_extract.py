@@ -25,6 +25,29 @@ def test_pages(page, text):
     assert extract.main_text(page) == text
 
 
+LONG = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p title='the hidden truth'>text</p><p data-x='hidden' alt=hidden>more</p></article>", "text more"),
+    (f"<div class='content has-sidebar'><p>{LONG}</p></div>", LONG), (f"<div class='post with-comments' id=no-ads><p>{LONG}</p></div>", LONG),
+    (f"<div><p>{LONG}</p></div><article class=related><p>a card with some words</p></article>", LONG),
+    (f"<div><p>{LONG}</p></div><article class='Sponsored-Box'><p>a card with some words</p></article>", LONG),
+    ("<article><p>sum <math><mi>x</mi><mo>+</mo></math> done</p></article>", "sum x+ done"),
+    ("<article><p>a</p><noscript><p>Enable scripts</p></noscript><p>b</p></article>", "a b"),
+    ("<article><p>a</p><svg><path d='M0'><p>b</p><noscript><p>c</p></article>", "a b c"), ("<article><p>a</p><svg><text>drawn</text></svg><p>b</p></article>", "a b"),
+    ("<article><p>a</p><div aria-hidden='true'>h</div><div aria-hidden=false>b</div><div style='color:red;DISPLAY : none'>h</div></article>", "a b"),
+    ("<article><p>a</p><div class='main-nav'>menu</div><div id=cookie_notice-bar>cookies</div><div aria-label='Comments'>c</div><div aria-label='Comments are facts'>b</div></article>", "a b"),
+])
+def test_names_and_attributes_say_what_they_say(page, text):
+    assert extract.main_text(page) == text
+
+
+def test_a_teaser_is_not_the_page():
+    page = f"<article><p>Read more about <a href=x>lamps</a></p></article><div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></div>"
+    assert f"Head {LONG} {LONG}" in extract.main_text(page)
+
+
 def test_the_tree_fits_its_table():
     table = np.array(extract.LABELLED, dtype=float)
     right = 0
