@@ -9,7 +9,7 @@ import tablelift as tl
 from checks.frames import (
     VAGUE_DICTIONARY, completion_records, dictionary, scratch, spread_table, table, task_results, task_tables,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tablelift.functions import rewrites
 from tablelift.functions.text import csv_value
@@ -19,7 +19,7 @@ from tablelift.operators.validate import summed_columns, validation_record
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir
 from tablelift.sinks.manifest import delete_folder, delete_manifest, lost_values, manifest_checks, read_manifest, read_refusals
-from tablelift.sinks.publish import logical_view, with_day
+from tablelift.sinks.publish import logical_view, published_versions, with_day
 from tablelift.sources.catalog import drop_tables, keep_tables, list_tables, name_set
 from tablelift.sources.chunks import range_predicates, split_predicates
 from tablelift.sources.statement import stated_by_spark
@@ -591,6 +591,45 @@ def export_many(spark, sf_dir):
     return results.select("schema", "table", "rows", "bytes", "status", F.col("error").isNotNull().alias("has_error"))
 
 
+@query
+def inspect_export(spark, sf_dir):
+    """Column types, row count and first rows of an exported table, as an inspection of its files shows them."""
+    spec = _spec(spark, sf_dir, "customer", pk_cols=["c_custkey"])
+    out = scratch(spark)
+    tl.export_table(spark, _source(sf_dir), spec, out, tl.ExportOptions(fmt="csv", row_hash=True))
+    back = tl.read_export(spark, TableDir(out, spec.schema, spec.table).data, spec, "csv", True)
+    types, rows, look = tl.describe_export(back)
+    shown = look.join(table(spark, sf_dir, "customer"), "c_custkey", "left_semi").count()
+    return spark.createDataFrame([(n, t, rows, shown) for n, t in types], "column_name string, type string, rows long, shown long")
+
+
+@query
+def run_report(spark, sf_dir):
+    """The report of a run of several tables, read back from its files."""
+    out = scratch(spark)
+    specs = [_spec(spark, sf_dir, t, pk_cols=k) for t, k in VALIDATED.items()]
+    tl.export_tables(spark, _source(sf_dir), specs, out, tl.ExportOptions(fmt="parquet"))
+    summary = spark.read.json(f"{out}/report_*/summary").select("total_tasks", "success", "failed", "total_rows").first()
+    details = spark.read.json(f"{out}/report_*/details").select("table", "status", "rows")
+    return details.withColumns({k: F.lit(v) for k, v in summary.asDict().items()})
+
+
+@query
+def published_layout(spark, sf_dir):
+    """Cluster columns of a published table: the files hold ranges of them that do not overlap, however the rows came."""
+    lineitem = table(spark, sf_dir, "lineitem").repartition(8, "l_partkey")
+    spec = TableSpec.from_frame(lineitem, "TPC", "lineitem_clustered", pk_cols=["l_orderkey"], index_cols=["l_linenumber"])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
+    name = tl.publish_table(lineitem, spec, DATABASE, f"{scratch(spark)}/published", max_rows_per_file=20_000)
+    version = published_versions(spark, spec.physical_name, DATABASE)[-1]
+    key = F.struct("l_orderkey", "l_linenumber")
+    files = spark.table(f"{DATABASE}.`{version}`").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    # One row for each file of at most 20,000 rows.
+    before = F.lag("hi").over(Window.partitionBy(F.lit(1)).orderBy("lo", "hi"))
+    overlaps = files.select((before > F.col("lo")).alias("over")).where("over").agg(F.count(F.lit(1))).scalar()
+    return spark.table(name).withColumn("overlaps", overlaps)
+
+
 class _Lossy:
     """Lineitem as a source that states what it has, and loses some rows on the way."""
 

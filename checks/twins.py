@@ -473,6 +473,13 @@ TWINS: dict[str, str] = {
             "SELECT 'TPC', 'no_such_table', 0, 0, 'FAILED', true",
         ]
     ),
+    "inspect_export": """
+        SELECT t[1] AS column_name, t[2] AS type, rows, 2 AS shown
+        FROM (SELECT unnest([['c_custkey', 'bigint'], ['c_name', 'string'], ['c_nationkey', 'int'], ['c_acctbal', 'double'], ['c_mktsegment', 'string'], ['ROW_HASH', 'string']]) AS t),
+             (SELECT count(*) AS rows FROM customer)""",
+    "run_report": "WITH d AS (" + " UNION ALL ".join(f"""SELECT '{t}' AS "table", 'SUCCESS' AS status, count(*) AS rows FROM {t}""" for t in VALIDATED) + f""")
+        SELECT *, {len(VALIDATED)} AS total_tasks, {len(VALIDATED)} AS success, 0 AS failed, (SELECT CAST(sum(rows) AS BIGINT) FROM d) AS total_rows FROM d""",
+    "published_layout": "SELECT *, 0 AS overlaps FROM lineitem",
     "export_source_disagrees": DISAGREES,
     "export_restarted": f"""
         SELECT run, 'SUCCESS' AS status, n AS rows, {CHUNKS // 2} AS chunks, written AS chunks_written, kept AS chunks_kept, n AS rows_in_files, true AS verified

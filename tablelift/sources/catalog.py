@@ -174,7 +174,7 @@ def discover(
     own_segments: DataFrame | None = None,
     number_fallback: str = "string",
 ) -> DataFrame:
-    """One row per table with everything an export needs (``TableSpec.from_row`` reads it).
+    """One row per table with everything an export needs (``TableSpec.from_row`` reads it), by schema and name.
 
     ``tables`` decides which tables come out; narrow it with :func:`list_tables`,
     :func:`keep_tables` and :func:`drop_tables` first.
@@ -212,4 +212,4 @@ def discover(
         "size_gb",
         "blocks",
         *[F.coalesce(n, none).alias(n) for n in keys],
-    )
+    ).orderBy("schema", "table")
