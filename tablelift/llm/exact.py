@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import scratch, share_code, shuffle_tasks, stored
+from tablelift.llm.common import scratch, share_code, shuffle_tasks, stored, tidy
 from tablelift.llm.words import lower, slices
 
 #: Depth at which the directory stops doubling, and the bytes a bucket holds before it is split.
@@ -163,9 +163,9 @@ def build_index(docs: DataFrame, keys: DataFrame, capacity: int = BUCKET_BYTES,
             yield pa.RecordBatch.from_arrays([pa.array(shared.value[at]), *batch.columns], names=["bucket", *batch.schema.names])
 
     schema = "bucket long, h long, text binary, top long, n long"
-    owned = docs.mapInArrow(routed, schema).repartition(shuffle_tasks(spark), "bucket").sortWithinPartitions("bucket", "h")
+    owned = docs.mapInArrow(tidy(routed), schema).repartition(shuffle_tasks(spark), "bucket").sortWithinPartitions("bucket", "h")
     path = scratch(spark)
-    entries = owned.mapInArrow(_chains, "bucket long, h long, chain int, sha binary, keep_id long, group_size long")
+    entries = owned.mapInArrow(tidy(_chains), "bucket long, h long, chain int, sha binary, keep_id long, group_size long")
     entries.write.parquet(path)
     return spark.read.schema(entries.schema).parquet(path), directory, depth
 
@@ -174,7 +174,7 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", capaci
     """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
     share_code(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    keys = stored(rows.mapInArrow(_keys, "doc_id long, h long, sha binary, n_bytes long"))
+    keys = stored(rows.mapInArrow(tidy(_keys), "doc_id long, h long, sha binary, n_bytes long"))
     entries, _, _ = build_index(rows, keys, capacity)
     copies = entries.where("group_size > 1").select("h", "sha", "keep_id", "group_size")
     found = keys.join(copies, ["h", "sha"], "left")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import share_code, shuffle_tasks, stored
+from tablelift.llm.common import release_memory, share_code, shuffle_tasks, stored, tidy
 from tablelift.llm.components import components
 from tablelift.llm.words import gather, lower, mix, slices, span_hashes, spans, windows
 
@@ -241,7 +241,7 @@ def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     rows = stored(rows)
     texts = _sifted(docs, rows).join(rows, F.col("doc_id") == rows["cls"]).select("block", "role", "cls", "text")
     placed = texts.repartition(shuffle_tasks(docs.sparkSession), "block").sortWithinPartitions("block", "role", "cls")
-    return stored(placed.mapInArrow(_verified, "a long, b long"))
+    return stored(placed.mapInArrow(tidy(_verified), "a long, b long"))
 
 
 def _salted(owner, member, size):
@@ -356,8 +356,8 @@ def frequent_tokens(docs: DataFrame, total: int, most: int = HOT_TOKENS) -> tupl
         if held:
             yield out()
 
-    spread = docs.mapInArrow(blocks, "part int, tokens binary").repartition(shuffle_tasks(docs.sparkSession), "part").sortWithinPartitions("part")
-    hot = stored(spread.mapInArrow(counted, "token long, n long").withColumn("level", F.floor(F.log2("n") * 2).cast("int")))
+    spread = docs.mapInArrow(tidy(blocks), "part int, tokens binary").repartition(shuffle_tasks(docs.sparkSession), "part").sortWithinPartitions("part")
+    hot = stored(spread.mapInArrow(tidy(counted), "token long, n long").withColumn("level", F.floor(F.log2("n") * 2).cast("int")))
     levels = sorted((r["level"], r["count"]) for r in hot.groupBy("level").count().collect())
     least, kept = 0, 0
     for level, count in reversed(levels):
@@ -450,7 +450,7 @@ def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFra
             if keep.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fa, place, before)], names=_ROW)
 
-    rows = docs.mapInArrow(prefixes, _ROWS)
+    rows = docs.mapInArrow(tidy(prefixes), _ROWS)
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", "fa")
     return placed.mapInArrow(shared_only, _ROWS)
 
@@ -562,7 +562,7 @@ def _cross_links(docs: DataFrame, classes: DataFrame, hot: tuple) -> DataFrame:
     rows = _matrix(docs, hot).join(handles, "fa").select("token", "group_size", "group", "cls", "n", "place", "before", "salt", "short")
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", F.desc("group_size"), "group", "cls")
     nearest = F.min(F.struct("apart", "x")).alias("best")
-    asked = stored(placed.mapInArrow(_queries, _ASKED).groupBy("q", "own", "group", "block").agg(nearest).select("q", "own", "group", "block", "best.*"))
+    asked = stored(placed.mapInArrow(tidy(_queries), _ASKED).groupBy("q", "own", "group", "block").agg(nearest).select("q", "own", "group", "block", "best.*"))
 
     # One pair for two groups, verified beside all that ask for the same member.
     first = asked.groupBy("own", "group").agg(F.min(F.struct("apart", "q", "x")).alias("p")).select("own", "group", "p.q", "p.x")
@@ -578,7 +578,7 @@ def _cross_links(docs: DataFrame, classes: DataFrame, hot: tuple) -> DataFrame:
     block = _salted(F.col("group"), F.col("cls"), F.col("group_size")).alias("block")
     members = classes.select(block, F.lit(0).alias("role"), "cls", "n", "sketch").join(rest.select("block").distinct(), "block", "left_semi")
     placed = queries.unionByName(members).repartition(shuffle_tasks(spark), "block").sortWithinPartitions("block", "role", "cls")
-    near = placed.mapInArrow(_near_blocks, "q long, x long, block string")
+    near = placed.mapInArrow(tidy(_near_blocks), "q long, x long, block string")
     return links.union(_verify(docs, stored(near)))
 
 
@@ -594,7 +594,7 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     """doc_id, n_shingles and component_id of every row."""
     share_code(docs.sparkSession)
     docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    profile = stored(docs.mapInArrow(_profile, _PROFILE))
+    profile = stored(docs.mapInArrow(tidy(_profile), _PROFILE))
     named = profile.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(
         named.groupBy("n", "fa", "fb").agg(F.min("doc_id").alias("cls"), F.first("minima").alias("minima"), F.first("sketch").alias("sketch"), F.first("short").alias("short"))
@@ -606,6 +606,7 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 
     total = classes.agg(F.sum("n")).first()[0] or 0
     links = _cross_links(docs, grouped, frequent_tokens(docs, total))
+    release_memory()
     group_of = grouped.select(F.col("cls").alias("a"), F.col("group").alias("ga"))
     other_of = grouped.select(F.col("cls").alias("b"), F.col("group").alias("gb"))
     joined = components(links.join(group_of, "a").join(other_of, "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")))

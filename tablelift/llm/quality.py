@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tablelift.llm.common import share_code, stored
+from tablelift.llm.common import share_code, stored, tidy
 from tablelift.llm.words import is_space, mix, slices, span_hashes, spans, windows
 
 #: Labelled rows that rules are learned from at most, the least hashes of their ids first.
@@ -110,7 +110,7 @@ def _counted(rows: DataFrame) -> DataFrame:
                 found = statistics_of(data, at)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[c].astype(np.int64)) for c in COUNTS)], names=[carried.name, *COUNTS])
 
-    return rows.mapInArrow(run, StructType([carried, *(StructField(c, LongType()) for c in COUNTS)]))
+    return rows.mapInArrow(tidy(run), StructType([carried, *(StructField(c, LongType()) for c in COUNTS)]))
 
 
 def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
