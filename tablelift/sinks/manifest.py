@@ -77,6 +77,15 @@ def delete_manifest(spark: SparkSession, place: TableDir) -> None:
     delete_folder(spark, place.refusal)
 
 
+def forget_export(spark: SparkSession, place: TableDir) -> None:
+    """Let the next run export a table wholly anew: neither its record nor those of its chunks count any more.
+
+    Without the chunk records' removal, a table whose record was revoked is completed from the chunks that have records.
+    """
+    delete_manifest(spark, place)
+    delete_folder(spark, place.chunks)
+
+
 def write_manifest(
     spark: SparkSession,
     place: TableDir,

@@ -14,7 +14,7 @@ from tablelift.plans.options import ExportOptions
 from tablelift.plans.spec import ColumnSpec, TableSpec
 from tablelift.sinks.files import TableDir, read_export
 from tablelift.sinks.manifest import (
-    compact_records, delete_manifest, lost_values, manifest_checks, read_manifest, read_refusals, record_history, schema_rows,
+    compact_records, delete_manifest, forget_export, lost_values, manifest_checks, read_manifest, read_refusals, record_history, schema_rows,
 )
 from tablelift.sinks.publish import load_table, publish_table, published_versions
 from tablelift.sources.chunks import Chunk
@@ -340,6 +340,10 @@ def test_chunks_are_units_of_work_and_restart(spark, spec, tmp_path):
     assert source.read == [3] and (again["PEOPLE"]["status"], again["PEOPLE"]["rows"], again["SMALL"]["status"]) == ("SUCCESS", 500, "SKIPPED")
     kept = {f: t for f, t in files.items() if "chunk_0003" not in str(f)}
     assert kept and all(f.stat().st_mtime_ns == t for f, t in kept.items())
+    # Forgetting the export means to read all of it again.
+    forget_export(spark, place)
+    source.read.clear()
+    assert results(export_tables(spark, source, [spec], out, options))["PEOPLE"]["status"] == "SUCCESS" and sorted(source.read) == list(range(5))
     # Another filter is another export: new plan, old chunks go.
     third = results(export_tables(spark, Cut(chunks=2), [spec], out, replace(options, where="ID < 10")))
     assert third["PEOPLE"]["rows"] == 10 or third["PEOPLE"]["error"]
