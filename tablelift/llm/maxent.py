@@ -1,17 +1,20 @@
 """Language model scores: a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). Every word has one class: the most frequent words and the end
-of text have their own; all others, unseen words too, are put into spelling buckets by their last three bytes, and
-buckets that follow the same frequent words in the training texts share a class (k-means over those counts). The class is predicted by
-a softmax over weights of hashed features of the three words before: the word before, its class, the pair of classes
-before (n-grams), and the words two and three back (skips); infrequent words are represented by their class. Within
-a class the softmax has only the word's own feature, whose best weights are its smoothed share of the class: (c + 1) /
-(N_class + V_class + 1), where one unit is left for all unseen words of that class. So probabilities over all seen
-words and one unseen word per class sum to one.
-
-Training words are counted over the whole training fold. Class weights are trained by distributed gradient updates:
-in each round every task updates its own copy in small AdaGrad steps over all of its training texts, and the updates of
-each weight row are averaged, weighted by how often tasks met the row. Scoring works in small sparse batches.
+P(word | history) = P(class | history) * P(slot | class, history) * P(word | slot). Every word has one class: the most
+frequent words and the end of text have their own; all others, unseen words too, are put into spelling buckets by their
+last three bytes, and buckets that follow the same frequent words in the training texts share a class (k-means over those
+counts). The class is predicted by a softmax over weights of hashed features of the three words before: the word before,
+its class, the pair of classes before (n-grams), and the words two and three back (skips); infrequent words are
+represented by their class. Within a class a second softmax, over weights of hashed features of the class and its history
+(the word before, the word two back), predicts the slot: the most frequent words of the class have one each,
+all others share slots by spelling bucket. Within a slot only the word's own feature is left, whose best weights are its
+smoothed share: (c + 1) / (N_slot + V_slot + 1), where one unit is left for all unseen words of that slot. So
+probabilities over all seen words and one unseen word per slot sum to one.
+
+Training words are counted over the whole training fold. Weights of classes and slots are trained by distributed gradient
+updates: in each round every task updates its own copy in small AdaGrad steps over all of its training texts, and the
+updates of each weight row are averaged, weighted by how often tasks met the row. Each round reads the whole training
+fold. Scoring works in small sparse batches.
 
 Counts of frequent words (at most ``BROADCAST_WORDS``) are broadcast; all others are joined by hash, for every row's
 infrequent words. Words are told apart by 64-bit hashes.
@@ -24,7 +27,7 @@ unseen words. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +44,14 @@ OWN, SPELLED = 15, 32
 SPELLINGS, CONTEXTS = 1 << 12, 64
 CLASSES = OWN + 1 + SPELLED
 END_CLASS = OWN
-#: Rows of the weight table, and words whose counts are broadcast at most.
-ROWS, BROADCAST_WORDS = 1 << 13, 1 << 17
+#: Slots of each class of several words: its most frequent words, then groups of all others by spelling bucket.
+SINGLE, GROUPED = 12, 4
+SLOTS = SINGLE + GROUPED
+#: Rows of the weight tables of classes and of slots (below 2^15: they are sorted as 16-bit numbers), and words whose counts are broadcast at most.
+ROWS, SLOT_ROWS, BROADCAST_WORDS = 1 << 13, 1 << 15, 1 << 17
 #: Words that count as frequent in features.
 FEATURE_WORDS = 1 << 12
-#: Training rounds (each over its share of the training texts), tokens in a step and in a scoring batch, step size.
+#: Training rounds (each over all training texts), tokens in a step and in a scoring batch, step size.
 ROUNDS, STEP, BATCH, RATE = 2, 4096, 8192, 0.3
 #: Different words a task counts before it sends its counts on.
 COUNTED = 1 << 20
@@ -114,6 +120,11 @@ class Model:
     class_of: np.ndarray  # of each spelling bucket
     weights: np.ndarray
     bias: np.ndarray
+    slot_of: np.ndarray  # of each frequent word, -1 where its spelling bucket decides
+    slot_total: np.ndarray  # classes x slots
+    slot_different: np.ndarray
+    slot_weights: np.ndarray
+    slot_bias: np.ndarray  # classes x slots
 
     def lookup(self) -> LongTable:
         table = LongTable(max(16, len(self.h)))
@@ -138,11 +149,22 @@ def _own_classes(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def _slots(rank: np.ndarray, kind: np.ndarray, classes: np.ndarray, slot_of: np.ndarray) -> np.ndarray:
+    """Slot of each token in its class; classes of one word have slot 0 only."""
+    out = SINGLE + kind % GROUPED
+    top = np.flatnonzero((rank >= 0) & (rank < len(slot_of)))
+    own = slot_of[rank[top]]
+    out[top[own >= 0]] = own[own >= 0]
+    out[classes <= END_CLASS] = 0
+    return out
+
+
 _SALT = mix(np.arange(7, 12, dtype=np.uint64))
+_SLOT_SALT = mix(np.arange(17, 19, dtype=np.uint64))
 
 
-def features(rank: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Weight rows of each token's history (5 of them)."""
+def _history(rank: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """The word before, its class, the classes of the two before, the words two and three back, as numbers."""
     n = len(rank)
     # One number for a word as a feature: frequent words by rank, others by class, before the text a start.
     seen = np.where((rank >= 0) & (rank < FEATURE_WORDS), rank.astype(np.int64) + CLASSES + 1, classes.astype(np.int64) + 1)
@@ -156,61 +178,119 @@ def features(rank: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> np.nd
 
     kinds = classes.astype(np.int64) + 1
     one, two = back(kinds, 1), back(kinds, 2)
-    columns = [back(seen, 1), one, one * (CLASSES + 1) + two, back(seen, 2), back(seen, 3)]
-    rows = [mix(c.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + s) & _U(ROWS - 1) for c, s in zip(columns, _SALT)]
-    return np.stack(rows, axis=1).astype(np.int32)
+    return [back(seen, 1), one, one * (CLASSES + 1) + two, back(seen, 2), back(seen, 3)]
 
 
-def log_classes(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, with_all: bool = False):
-    """Scores of all classes, less their log sum, for each token."""
-    s = weights[rows[:, 0]]
+def _hashed(columns: list[np.ndarray], salt: np.ndarray, rows: int) -> np.ndarray:
+    return np.stack([mix(c.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + s) & _U(rows - 1) for c, s in zip(columns, salt)], axis=1).astype(np.int32)
+
+
+def features(rank: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Weight rows of each token's history (5 of them)."""
+    return _hashed(_history(rank, classes, bounds), _SALT, ROWS)
+
+
+def slot_features(rank: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Slot weight rows of each token's class and history (2 of them)."""
+    before, _, _, two, _ = _history(rank, classes, bounds)
+    return _hashed([c * CLASSES + classes for c in (before, two)], _SLOT_SALT, SLOT_ROWS)
+
+
+def _shifted(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of the weight rows of each token and its bias, less the largest."""
+    s = np.take(weights, rows[:, 0], axis=0)
+    more = np.empty_like(s)
     for f in range(1, rows.shape[1]):
-        s += weights[rows[:, f]]
+        s += np.take(weights, rows[:, f], axis=0, out=more, mode="clip")
     s += bias
     s -= s.max(axis=1, keepdims=True)
+    return s
+
+
+def log_classes(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, with_all: bool = False):
+    """Log probabilities of all classes, or of all slots of a class, for each token; ``with_all`` adds the probabilities."""
+    s = _shifted(weights, bias, rows)
     e = np.exp(s)
     total = e.sum(axis=1, keepdims=True)
     return s - np.log(total), e / total if with_all else None
 
 
+class _Steps:
+    """A task's own copy of one weight table and its bias rows, updated by AdaGrad in steps of at most ``STEP`` tokens."""
+
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, at_once: int):
+        self.weights, self.bias, self.before = weights.copy(), bias.copy(), (weights, bias)
+        self.state, self.bias_state = np.full((len(weights), 1), 1e-2, np.float32), np.full(bias.shape, 1e-2, np.float32)
+        self.met, self.bias_met = np.zeros(len(weights), np.int64), np.zeros(len(bias), np.int64)
+        # Features whose gradients are added up together, and room for numbers of a step, so that steps take no new memory.
+        self.at_once, width = at_once, weights.shape[1]
+        self.room = [np.empty((STEP * k, width), np.float32) for k in (1, at_once, at_once)]
+
+    def step(self, rows: np.ndarray, bias_rows: np.ndarray, y: np.ndarray) -> None:
+        """One step on tokens whose answers are ``y``."""
+        n, columns = len(y), np.ascontiguousarray(rows.T)
+        g, more = self.room[0][:n], self.room[1][:n]
+        np.take(self.weights, columns[0], axis=0, out=g, mode="clip")
+        for c in columns[1:]:
+            g += np.take(self.weights, c, axis=0, out=more, mode="clip")
+        g += np.take(self.bias, bias_rows, axis=0, out=more, mode="clip") if len(self.bias) > 1 else self.bias
+        g -= g.max(axis=1, keepdims=True)
+        np.exp(g, out=g)
+        g /= g.sum(axis=1, keepdims=True)
+        g[np.arange(n), y] -= 1
+        for i in range(0, len(columns), self.at_once):
+            self._add(g, columns[i : i + self.at_once].ravel(), self.weights, self.state, self.met)
+        self._add(g, bias_rows, self.bias, self.bias_state, self.bias_met)
+
+    def _add(self, g, flat, value, state, met):
+        n = len(g)
+        if len(value) == 1:
+            used, total, times = [0], g.sum(axis=0, keepdims=True), n
+        else:
+            # Sixteen bits are sorted by counting.
+            order = np.argsort(flat.astype(np.int16), kind="stable")
+            ordered = flat[order]
+            begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            used = ordered[begin]
+            gathered = np.take(g, order % n, axis=0, out=self.room[1][: len(flat)], mode="clip")
+            total = np.add.reduceat(gathered, begin, axis=0, out=self.room[2][: len(begin)])
+            times = np.diff(np.append(begin, len(flat)))
+        total /= n
+        squares = total * total
+        state[used] += squares if state.shape[1] > 1 else squares.sum(axis=1, keepdims=True)
+        total *= RATE / np.sqrt(state[used])
+        value[used] -= total
+        met[used] += times
+
+    def changes(self):
+        """(row, how often it was met, change) of the rows met; bias rows come after the weights."""
+        for value, before, met, first in zip((self.weights, self.bias), self.before, (self.met, self.bias_met), (0, len(self.weights))):
+            used = np.flatnonzero(met)
+            yield first + used, met[used], [x.tobytes() for x in (value - before)[used].astype(np.float32)]
+
+
 def _train_task(batches, shared, lookup_of):
-    model, own, weights, bias = shared.value
+    model, own = shared.value
     lookup = lookup_of(model)
-    w, b = weights.copy(), bias.copy()
-    state, bias_state = np.full(ROWS, 1e-2, np.float32), np.full(CLASSES, 1e-2, np.float32)
-    met = np.zeros(ROWS, np.int64)
-    done = 0
+    tables = _Steps(model.weights, model.bias[None], 1), _Steps(model.slot_weights, model.slot_bias, 2)
     for batch in batches:
         for _, data, at in slices(batch, "text"):
             h, kind, bounds = tokens(data, at)
             rank = lookup.find(h)
             target = _classes(rank, kind, own, model.class_of)
-            rows = features(rank, target, bounds)
+            slot = _slots(rank, kind, target, model.slot_of)
+            rows, slot_rows = features(rank, target, bounds), slot_features(rank, target, bounds)
+            several = np.flatnonzero(target > END_CLASS)
             for i in range(0, len(h), STEP):
-                r, y = rows[i : i + STEP], target[i : i + STEP]
-                g = log_classes(w, b, r, True)[1]
-                g[np.arange(len(y)), y] -= 1
-                g /= len(y)
-                flat = r.T.ravel()
-                order = np.argsort(flat, kind="stable")
-                ordered = flat[order]
-                begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                used = ordered[begin]
-                total = np.add.reduceat(g[order % len(y)], begin, axis=0)
-                state[used] += (total * total).sum(axis=1)
-                w[used] -= RATE * total / np.sqrt(state[used])[:, None]
-                total = g.sum(axis=0)
-                bias_state += total * total
-                b -= RATE * total / np.sqrt(bias_state)
-                met[used] += np.diff(np.append(begin, len(flat)))
-            done += len(h)
-    if not done:
-        return
-    used = np.flatnonzero(met)
-    rows = np.append(used, ROWS).astype(np.int32)
-    n = np.append(met[used], done)
-    changes = np.vstack([(w - weights)[used], (b - bias)[None]]).astype(np.float32)
-    yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(n), pa.array([x.tobytes() for x in changes], pa.binary())], names=["row", "n", "change"])
+                y = target[i : i + STEP]
+                tables[0].step(rows[i : i + STEP], np.zeros(len(y), np.int32), y)
+            for i in range(0, len(several), STEP):
+                k = several[i : i + STEP]
+                tables[1].step(slot_rows[k], target[k].astype(np.int32), slot[k])
+    for k, table in enumerate(tables):
+        for rows, n, changes in table.changes():
+            kinds = pa.array(np.full(len(rows), k, np.int32))
+            yield pa.RecordBatch.from_arrays([kinds, pa.array(rows.astype(np.int32)), pa.array(n), pa.array(changes, pa.binary())], names=["part", "row", "n", "change"])
 
 
 def _followers(batches, shared):
@@ -274,41 +354,41 @@ def _spelled_classes(training: DataFrame, h: np.ndarray) -> np.ndarray:
 
 def _averaged(batches):
     """Mean change of each weight row, weighted by how often its tasks met it; rows come sorted."""
-    row, n, total = None, 0, None
+    key, n, total = None, 0, None
     done = []
     for batch in batches:
-        for r, k, change in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if r != row:
-                if row is not None:
-                    done.append((row, total / n))
-                row, n, total = r, 0, np.zeros(CLASSES)
+        for part, r, k, change in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            change = np.frombuffer(change, np.float32).astype(np.float64)
+            if (part, r) != key:
+                if key is not None:
+                    done.append((*key, total / n))
+                key, n, total = (part, r), 0, 0.0
             n += k
-            total += k * np.frombuffer(change, np.float32)
-    if row is not None:
-        done.append((row, total / n))
+            total = total + k * change
+    if key is not None:
+        done.append((*key, total / n))
     if done:
+        parts, rows, changes = zip(*done)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r for r, _ in done], pa.int32()), pa.array([x.astype(np.float32).tobytes() for _, x in done], pa.binary())], names=["row", "change"]
+            [pa.array(parts, pa.int32()), pa.array(rows, pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in changes], pa.binary())], names=["part", "row", "change"]
         )
 
 
 def _trained(docs: DataFrame, model: Model, rounds: int) -> Model:
     spark = docs.sparkSession
     own = _own_classes(model.h)
-    for k in range(rounds):
-        shared = spark.sparkContext.broadcast((model, own, model.weights, model.bias))
-        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("text")
-        changes = part.mapInArrow(lambda x, s=shared: _train_task(x, s, Model.lookup), "row int, n long, change binary")
-        placed = changes.repartition(shuffle_tasks(spark), "row").sortWithinPartitions("row")
-        # At most ROWS + 1 rows of one weight row each reach the driver.
-        rows = placed.mapInArrow(_averaged, "row int, change binary").toArrow()
-        weights, bias = model.weights.copy(), model.bias.copy()
-        for r, change in zip(rows["row"].to_pylist(), rows["change"].to_pylist()):
-            if r == ROWS:
-                bias = bias + np.frombuffer(change, np.float32)
-            else:
-                weights[r] += np.frombuffer(change, np.float32)
-        model.weights, model.bias = weights, bias.astype(np.float32)
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast((model, own))
+        changes = docs.select("text").mapInArrow(lambda x, s=shared: _train_task(x, s, Model.lookup), "part int, row int, n long, change binary")
+        placed = changes.repartition(shuffle_tasks(spark), "part", "row").sortWithinPartitions("part", "row")
+        # At most one row for each weight and bias row of the two tables reaches the driver.
+        rows = placed.mapInArrow(_averaged, "part int, row int, change binary").toArrow()
+        tables = [np.vstack([model.weights, model.bias[None]]), np.vstack([model.slot_weights, model.slot_bias])]
+        for batch in rows.to_batches():
+            for part, r, change in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                tables[part][r] += np.frombuffer(change, np.float32)
+        weights, slots = tables
+        model = replace(model, weights=weights[:ROWS], bias=weights[ROWS], slot_weights=slots[:SLOT_ROWS], slot_bias=slots[SLOT_ROWS:])
     return model
 
 
@@ -325,27 +405,45 @@ def fit(training: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
             least = r["level"] + 1
             break
     # At most BROADCAST_WORDS rows.
-    top = vocabulary.where(level >= least).select("h", "n").toArrow()
-    h, n = top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    top = vocabulary.where(level >= least).select("h", "n", "kind").toArrow()
+    h, n, kind = top["h"].to_numpy().view(np.uint64), top["n"].to_numpy(), top["kind"].to_numpy()
     order = np.lexsort((h, -n))
-    h, n = h[order], n[order]
+    h, n, kind = h[order], n[order], kind[order]
 
     own = _own_classes(h)
     class_of = _spelled_classes(training, h) if len(h) else np.append(np.full(SPELLINGS, OWN + 1), END_CLASS).astype(np.int16)
     kinds = vocabulary.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    total, different = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    total, different = np.zeros((CLASSES, SLOTS), np.int64), np.zeros((CLASSES, SLOTS), np.int64)
+
+    def place(k, n, v):
+        at = class_of[k], 0 if class_of[k] <= END_CLASS else SINGLE + k % GROUPED
+        total[at] += n
+        different[at] += v
+
     for r in kinds:
-        total[class_of[r["kind"]]] += r["n"]
-        different[class_of[r["kind"]]] += r["v"]
-    moved = [(int(h[i].view(np.int64)), int(own[i]), int(n[i])) for i in range(len(own)) if own[i] >= 0]
-    kind_of = {r["h"]: r["kind"] for r in vocabulary.where(F.col("h").isin([m[0] for m in moved])).select("h", "kind").collect()} if moved else {}
-    for key, to, count in moved:
-        total[class_of[kind_of[key]]] -= count
-        different[class_of[kind_of[key]]] -= 1
-        total[to], different[to] = count, 1
-    model = Model(h, n, int(total.sum()), int(different.sum()), total, different, class_of, np.zeros((ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32))
+        place(r["kind"], r["n"], r["v"])
+    slot_of, taken = np.full(len(h), -1, np.int8), np.zeros(CLASSES, np.int64)
+    for i in range(len(h)):
+        mine = class_of[kind[i]]
+        if i < len(own) and own[i] >= 0:
+            to = own[i], 0
+        elif mine > END_CLASS and taken[mine] < SINGLE:
+            to = mine, taken[mine]
+            slot_of[i] = taken[mine]
+            taken[mine] += 1
+        else:
+            continue
+        place(kind[i], -n[i], -1)
+        total[to], different[to] = n[i], 1
+    slot_of = slot_of[: np.flatnonzero(slot_of >= 0).max(initial=-1) + 1]
+    # Slots that stand for no word have next to no share.
+    slot_bias = np.log(np.where((np.arange(SLOTS) < SINGLE) & (total == 0), 1e-12, total + 1) / (total.sum(axis=1, keepdims=True) + SLOTS)).astype(np.float32)
+    model = Model(
+        h, n, int(total.sum()), int(different.sum()), total.sum(axis=1), different.sum(axis=1), class_of, np.zeros((ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32),
+        slot_of, total, different, np.zeros((SLOT_ROWS, SLOTS), np.float32), slot_bias,
+    )
     if len(h):
-        model.bias = np.log((total + 1) / (total.sum() + CLASSES)).astype(np.float32)
+        model.bias = np.log((model.class_total + 1) / (model.total + CLASSES)).astype(np.float32)
         model = _trained(training, model, rounds)
     return model, vocabulary.select("h", "n")
 
@@ -365,18 +463,22 @@ def scored(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
         model = shared.value
         lookup, own = model.lookup(), _own_classes(model.h)
         log_count = np.log10(model.counts + 1.0)
-        log_size = np.log10(model.class_total + model.class_different + 1.0)
+        log_size = np.log10(model.slot_total + model.slot_different + 1.0)
         task = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part, data, at in slices(batch, "text"):
                 h, kind, bounds = tokens(data, at)
                 rank = lookup.find(h)
                 classes = _classes(rank, kind, own, model.class_of)
-                wanted = features(rank, classes, bounds)
+                slot = _slots(rank, kind, classes, model.slot_of)
+                wanted, within = features(rank, classes, bounds), slot_features(rank, classes, bounds)
                 chosen = np.empty(len(h))
                 for i in range(0, len(h), BATCH):
                     y = classes[i : i + BATCH]
                     chosen[i : i + BATCH] = log_classes(model.weights, model.bias, wanted[i : i + BATCH])[0][np.arange(len(y)), y]
+                    parted = i + np.flatnonzero(y > END_CLASS)
+                    if len(parted):
+                        chosen[parted] += log_classes(model.slot_weights, model.slot_bias[classes[parted]], within[parted])[0][np.arange(len(parted)), slot[parted]]
                 known = rank >= 0
                 counts = np.zeros(len(h))
                 counts[known] = log_count[rank[known]]
@@ -386,7 +488,7 @@ def scored(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
                 n = len(at) - 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(task, task + n)), part.column(0), part.column(1), pa.array(np.diff(bounds)), pa.array(per(known.astype(np.int64))),
-                     pa.array(per(counts)), pa.array(per(chosen) / math.log(10)), pa.array(per(log_size[classes])),
+                     pa.array(per(counts)), pa.array(per(chosen) / math.log(10)), pa.array(per(log_size[classes, slot])),
                      pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(rare))],
                     names=["row", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_classes", "log_sizes", "rare"],
                 )

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablelift.llm import maxent
@@ -78,3 +79,54 @@ def test_probabilities_sum_to_one(spark):
     assert mass.sum() + (p * (model.class_total + model.class_different) / sizes).sum() == pytest.approx(1)
     assert model.class_total.sum() == model.total == vocabulary.agg({"n": "sum"}).first()[0]
     assert model.class_different.sum() == model.different == vocabulary.count()
+
+
+def test_history_decides_within_a_class(spark):
+    """Two words of one spelling bucket, told apart by the word before."""
+    common = " ".join(f"common{k}" for k in range(maxent.OWN)) + " "
+    rows = []
+    for i in range(200):
+        pairs = ["lamp xzing" if (k * 7 + k * k // 3 + i) % 2 else "river yzing" for k in range(20)]
+        rows.append((i, common * 30 + " ".join(pairs)))
+    model, _ = maxent.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+
+    def p(text):
+        batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
+        (_, data, at), = slices(batch, "text")
+        h, kind, bounds = maxent.tokens(data, at)
+        rank = model.lookup().find(h)
+        classes = maxent._classes(rank, kind, maxent._own_classes(model.h), model.class_of)
+        rows = maxent.slot_features(rank, classes, bounds)
+        every = np.exp(maxent.log_classes(model.slot_weights, model.slot_bias[classes], rows)[0])
+        assert every.sum(axis=1) == pytest.approx(1, abs=1e-5)
+        assert classes[1] > maxent.END_CLASS
+        return every[1][maxent._slots(rank, kind, classes, model.slot_of)[1]]
+
+    assert p("lamp xzing") > 1.5 * p("lamp yzing") and p("river yzing") > 1.5 * p("river xzing")
+
+
+def test_each_round_reads_every_training_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, prose(i, 50)) for i in range(40)], "doc_id long, text string")
+    seen = spark.sparkContext.accumulator(0)
+    train = maxent._train_task
+
+    def counting(batches, *args):
+        def passed():
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return train(passed(), *args)
+
+    monkeypatch.setattr(maxent, "_train_task", counting)
+    maxent.fit(docs, rounds=3)
+    assert seen.value == 3 * 40
+
+
+def test_slots_of_a_class_add_up(spark):
+    docs = spark.createDataFrame([(i, prose(i, 200)) for i in range(30)], "doc_id long, text string")
+    model, vocabulary = maxent.fit(docs, rounds=1)
+    assert (model.slot_total.sum(axis=1) == model.class_total).all() and (model.slot_different.sum(axis=1) == model.class_different).all()
+    assert (model.slot_total >= 0).all() and model.slot_total.sum() == vocabulary.agg({"n": "sum"}).first()[0]
+    single = model.slot_different[maxent.OWN + 1 :, : maxent.SINGLE]
+    assert single.max() == 1 and (single == (model.slot_total[maxent.OWN + 1 :, : maxent.SINGLE] > 0)).all()
