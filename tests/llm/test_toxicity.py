@@ -70,3 +70,19 @@ def test_thresholds_follow_the_fold_where_the_sample_is_capped(spark):
     called = {k: [x.predicted for x in held if (x.doc_id % 15 < 6, x.doc_id % 15 == 14) == k] for k in ((True, False), (False, True))}
     unsure, sure = called.values()
     assert sum(unsure) < 0.1 * len(unsure) and sum(sure) > 0.9 * len(sure), (sum(unsure) / len(unsure), sum(sure) / len(sure))
+
+
+def test_all_labelled_texts_are_learned_from(spark):
+    """Each kind of rude word is too rare for a sample of a few texts to hold it."""
+    r = random.Random(5)
+    words = "the of and to is river stone lamp cloud tree".split()
+    rows, labels = [], []
+    for i in range(2400):
+        bad = i % 4 == 0
+        text = [r.choice(words) for _ in range(15)]
+        text[r.randrange(15)] = f"{'zvqw'[i // 4 % 4] * 3}rude{i // 16 % 5}x" if bad else "garden"
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(bad)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = [x for x in toxicity.scored(docs, labels, toxic=4, clean=4).collect() if x.held_out]
+    assert sum(x.predicted == (x.doc_id % 4 == 0) for x in held) > 0.97 * len(held)
