@@ -82,10 +82,14 @@ def columns_of(columns: DataFrame, comments: DataFrame, number_fallback: str = "
     columns of a table; columns without a number come last.
     """
     keys = [*TABLE, "column_name"]
+    return _uncommented(columns, number_fallback).join(comments.select(*keys, "comments"), keys, "left")
+
+
+def _uncommented(columns: DataFrame, number_fallback: str) -> DataFrame:
     visible = columns.where(~_yes("hidden_column") | _yes("user_generated"))
-    mapped = map_types(visible, number_fallback)
-    return mapped.join(comments.select(*keys, "comments"), keys, "left").select(
-        *keys,
+    return map_types(visible, number_fallback).select(
+        *TABLE,
+        "column_name",
         F.struct(
             F.coalesce("column_id", F.lit(_LAST)).alias("column_id"),
             F.coalesce("internal_column_id", F.lit(_LAST)).alias("internal_column_id"),
@@ -99,7 +103,6 @@ def columns_of(columns: DataFrame, comments: DataFrame, number_fallback: str = "
         (_yes("virtual_column") & F.coalesce(F.octet_length("data_default") >= LONG_EXPRESSION, F.lit(False))).alias("may_be_cut"),
         _yes("hidden_column").alias("is_hidden"),
         _yes("identity_column").alias("is_identity"),
-        "comments",
     )
 
 
@@ -179,7 +182,7 @@ def discover(
     ``tables`` decides which tables come out; narrow it with :func:`list_tables`,
     :func:`keep_tables` and :func:`drop_tables` first.
     """
-    detail = columns_of(columns, comments, number_fallback)
+    detail = _uncommented(columns, number_fallback)
     fields = [c for c in detail.columns if c not in (*TABLE, "position")]
     described = T.StructType([detail.schema[f] for f in fields])
     no_member, no_column = F.lit(None).cast("string").alias("member"), F.lit(None).cast(described).alias("column")
@@ -188,27 +191,42 @@ def discover(
         "partition_cols": (partition_cols_of(part_keys), _place(None, "position", None)),
         "index_cols": (index_cols_of(indexes), _place("position.index_name", "position.column_position", None)),
     }
-    # All that belongs to a table is stacked and grouped once. A database limits the columns of one table, so the
-    # lists stay short.
+    # All that belongs to a table is stacked and grouped once, comments too: columns find theirs in the list of their table,
+    # without a shuffle of their own. A database limits the columns of one table, so the lists stay short.
     stacked = detail.select(
         *TABLE, F.lit("columns").alias("kind"), _place(None, "position.column_id", "position.internal_column_id"),
         no_member, F.struct(*fields).alias("column"),
     )
+    named = comments.select(
+        *TABLE, F.lit("comments").alias("kind"), _place("column_name", None, None), F.col("comments").cast("string").alias("member"), no_column
+    )
+    stacked = stacked.unionByName(named)
     for kind, (rows, place) in keys.items():
         members = rows.select(*TABLE, F.lit(kind).alias("kind"), place, F.col("column_name").alias("member"), no_column)
         stacked = stacked.unionByName(members)
 
+    def sorted_list(kind: str) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("place", "member", "column"))))
+
     def listed(kind: str, value: str) -> Column:
-        own = F.collect_list(F.when(F.col("kind") == kind, F.struct("place", "member", "column")))
-        return F.transform(F.sort_array(own), lambda x: x[value]).alias(kind)
+        return F.transform(sorted_list(kind), lambda x: x[value]).alias(kind)
+
+    def commented(c: Column) -> Column:
+        """The column once for each of its comments, or once without."""
+        def with_comment(text: Column) -> Column:
+            return F.struct(*[c[f].alias(f) for f in fields], text.alias("comments"))
+
+        own = F.filter("__comments", lambda x: x["place"]["name"] == c["column_name"])
+        return F.when(F.size(own) == 0, F.array(with_comment(F.lit(None).cast("string")))).otherwise(F.transform(own, lambda x: with_comment(x["member"])))
 
-    grouped = stacked.groupBy(*TABLE).agg(listed("columns", "column"), *[listed(kind, "member") for kind in keys])
+    lists = [listed("columns", "column"), sorted_list("comments").alias("__comments"), *[listed(kind, "member") for kind in keys]]
+    grouped = stacked.groupBy(*TABLE).agg(*lists).withColumn("columns", F.flatten(F.transform("columns", commented))).drop("__comments")
     joined = table_sizes(tables, segments, own_segments).join(grouped, TABLE, "left")
     none = F.array().cast("array<string>")
     return joined.select(
         F.col("owner").alias("schema"),
         F.col("table_name").alias("table"),
-        F.coalesce("columns", F.array().cast(T.ArrayType(described))).alias("columns"),
+        F.coalesce("columns", F.array().cast(T.ArrayType(T.StructType([*described.fields, T.StructField("comments", T.StringType())])))).alias("columns"),
         "size_gb",
         "blocks",
         *[F.coalesce(n, none).alias(n) for n in keys],

@@ -99,3 +99,18 @@ def test_long_expressions_are_marked(spark):
 def test_columns_without_comment_stay(spark):
     f = frames(spark)
     assert columns_of(f["columns"], f["comments"]).count() == 5
+
+
+def test_comments_are_found_without_a_shuffle_of_columns(spark):
+    """Comments join the list of their table; a column has a row for each of its comments, as a join would give."""
+    f = frames(spark)
+    more = [("HR", "T", "ID", "a second"), ("HR", "T", "NAME", None), ("HR", "T", None, "nobody's"), ("HR", None, "ID", "no table's"), ("HR", "U", "X", "no column's")]
+    f["comments"] = f["comments"].union(spark.createDataFrame(more, f["comments"].schema))
+    specs = discover(**f)
+    t, u = specs.orderBy("table").collect()
+    assert [(c["column_name"], c["comments"]) for c in t["columns"]] == [
+        ("NAME", None), ("ID", "a second"), ("ID", "the key"), ("TOTAL", None), ("AT", None), ("HID", None)
+    ]
+    assert u["columns"] == []
+    joins = [x for x in specs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    assert joins and not any("column_name" in x for x in joins)
