@@ -185,15 +185,23 @@ def _hashed(columns: list[np.ndarray], salt: np.ndarray, rows: int) -> np.ndarra
     return np.stack([mix(c.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + s) & _U(rows - 1) for c, s in zip(columns, salt)], axis=1).astype(np.int32)
 
 
+def _class_rows(history: list[np.ndarray]) -> np.ndarray:
+    return _hashed(history, _SALT, ROWS)
+
+
+def _slot_rows(history: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
+    before, _, _, two, _ = history
+    return _hashed([c * CLASSES + classes for c in (before, two)], _SLOT_SALT, SLOT_ROWS)
+
+
 def features(rank: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Weight rows of each token's history (5 of them)."""
-    return _hashed(_history(rank, classes, bounds), _SALT, ROWS)
+    return _class_rows(_history(rank, classes, bounds))
 
 
 def slot_features(rank: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Slot weight rows of each token's class and history (2 of them)."""
-    before, _, _, two, _ = _history(rank, classes, bounds)
-    return _hashed([c * CLASSES + classes for c in (before, two)], _SLOT_SALT, SLOT_ROWS)
+    return _slot_rows(_history(rank, classes, bounds), classes)
 
 
 def _shifted(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -215,51 +223,94 @@ def log_classes(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, with_al
     return s - np.log(total), e / total if with_all else None
 
 
+def _exp(s: np.ndarray) -> np.ndarray:
+    """Exponentials in place of the scores, and the sum of each row; rows are lowered by their largest score only where scores are large."""
+    if not (s.min() > -80 and s.max() < 80):
+        s -= s.max(axis=1, keepdims=True)
+    np.exp(s, out=s)
+    return s @ np.ones(s.shape[1], np.float32)
+
+
+def _log_chosen(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, y: np.ndarray, room: list[np.ndarray]) -> np.ndarray:
+    """Log probability of the class, or slot, ``y`` of each token; ``room`` is two arrays of enough rows."""
+    s, more = room[0][: len(y)], room[1][: len(y)]
+    np.take(weights, rows[:, 0], axis=0, out=s, mode="clip")
+    for f in range(1, rows.shape[1]):
+        s += np.take(weights, rows[:, f], axis=0, out=more, mode="clip")
+    s += bias
+    if not (s.min() > -80 and s.max() < 80):
+        s -= s.max(axis=1, keepdims=True)
+    chosen = s[np.arange(len(y)), y]
+    return chosen - np.log(_exp(s))
+
+
 class _Steps:
     """A task's own copy of one weight table and its bias rows, updated by AdaGrad in steps of at most ``STEP`` tokens."""
 
     def __init__(self, weights: np.ndarray, bias: np.ndarray, at_once: int):
         self.weights, self.bias, self.before = weights.copy(), bias.copy(), (weights, bias)
-        self.state, self.bias_state = np.full((len(weights), 1), 1e-2, np.float32), np.full(bias.shape, 1e-2, np.float32)
+        self.state, self.bias_state = np.full(len(weights), 1e-2, np.float32), np.full(bias.shape, 1e-2, np.float32)
         self.met, self.bias_met = np.zeros(len(weights), np.int64), np.zeros(len(bias), np.int64)
         # Features whose gradients are added up together, and room for numbers of a step, so that steps take no new memory.
         self.at_once, width = at_once, weights.shape[1]
-        self.room = [np.empty((STEP * k, width), np.float32) for k in (1, at_once, at_once)]
+        self.room = [np.empty((STEP * k, width), np.float32) for k in (1, 1, at_once)]
 
-    def step(self, rows: np.ndarray, bias_rows: np.ndarray, y: np.ndarray) -> None:
-        """One step on tokens whose answers are ``y``."""
+    def step(self, rows: np.ndarray, bias_rows: np.ndarray, y: np.ndarray, nested: tuple[np.ndarray, tuple[int, ...]] | None = None) -> None:
+        """One step on tokens whose answers are ``y``.
+
+        ``nested`` gives a small number of each token that decides the rows of the columns listed, and the bias row: their gradients are
+        added up by that number first.
+        """
         n, columns = len(y), np.ascontiguousarray(rows.T)
         g, more = self.room[0][:n], self.room[1][:n]
         np.take(self.weights, columns[0], axis=0, out=g, mode="clip")
         for c in columns[1:]:
             g += np.take(self.weights, c, axis=0, out=more, mode="clip")
         g += np.take(self.bias, bias_rows, axis=0, out=more, mode="clip") if len(self.bias) > 1 else self.bias
-        g -= g.max(axis=1, keepdims=True)
-        np.exp(g, out=g)
-        g /= g.sum(axis=1, keepdims=True)
+        g *= (1 / _exp(g))[:, None]
         g[np.arange(n), y] -= 1
+        if nested:
+            _, first, times, total = self._sums(g, nested[0])
+            for i, c in enumerate(columns):
+                if i in nested[1]:
+                    self._add(n, total, c[first], self.weights, self.state, self.met, times)
+                else:
+                    self._add(n, g, c, self.weights, self.state, self.met)
+            self._add(n, total, bias_rows[first], self.bias, self.bias_state, self.bias_met, times)
+            return
         for i in range(0, len(columns), self.at_once):
-            self._add(g, columns[i : i + self.at_once].ravel(), self.weights, self.state, self.met)
-        self._add(g, bias_rows, self.bias, self.bias_state, self.bias_met)
-
-    def _add(self, g, flat, value, state, met):
-        n = len(g)
-        if len(value) == 1:
-            used, total, times = [0], g.sum(axis=0, keepdims=True), n
-        else:
-            # Sixteen bits are sorted by counting.
-            order = np.argsort(flat.astype(np.int16), kind="stable")
-            ordered = flat[order]
-            begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            used = ordered[begin]
-            gathered = np.take(g, order % n, axis=0, out=self.room[1][: len(flat)], mode="clip")
-            total = np.add.reduceat(gathered, begin, axis=0, out=self.room[2][: len(begin)])
-            times = np.diff(np.append(begin, len(flat)))
+            self._add(n, g, columns[i : i + self.at_once].ravel(), self.weights, self.state, self.met)
+        self._add(n, g, bias_rows, self.bias, self.bias_state, self.bias_met)
+
+    def _sums(self, g, flat, times=None):
+        """(place of the first, how many, sum of the rows of ``g``) of each different number."""
+        # Sixteen bits are sorted by counting.
+        order = np.argsort(flat.astype(np.int16), kind="stable")
+        ordered = flat[order]
+        begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        size = np.diff(np.append(begin, len(flat)))
+        if len(flat) > len(g):
+            order %= len(g)
+        first = order[begin]
+        total, several = np.take(g, first, axis=0, mode="clip"), np.flatnonzero(size > 1)
+        if len(several):
+            among, sizes = order[np.repeat(size > 1, size)], size[several]
+            gathered = np.take(g, among, axis=0, out=self.room[2][: len(among)], mode="clip")
+            # Two numbers are added at once.
+            total[several] = np.add.reduceat(gathered.view(np.complex64), np.cumsum(sizes) - sizes, axis=0).view(np.float32)
+        return ordered[begin], first, size if times is None else np.add.reduceat(times[order], begin), total
+
+    def _add(self, n, g, flat, value, state, met, times=None):
+        """AdaGrad on the rows ``flat`` of a table, for ``n`` tokens; ``times`` tells how many tokens each row of ``g`` stands for."""
+        used, _, times, total = self._sums(g, flat, times)
         total /= n
-        squares = total * total
-        state[used] += squares if state.shape[1] > 1 else squares.sum(axis=1, keepdims=True)
-        total *= RATE / np.sqrt(state[used])
-        value[used] -= total
+        if state.ndim > 1:
+            state[used] = sums = state[used] + total * total
+            total *= RATE / np.sqrt(sums)
+        else:
+            state[used] = sums = state[used] + np.einsum("ij,ij->i", total, total)
+            total *= (RATE / np.sqrt(sums))[:, None]
+        value[used] = np.subtract(np.take(value, used, axis=0, mode="clip"), total, out=total)
         met[used] += times
 
     def changes(self):
@@ -279,11 +330,13 @@ def _train_task(batches, shared, lookup_of):
             rank = lookup.find(h)
             target = _classes(rank, kind, own, model.class_of)
             slot = _slots(rank, kind, target, model.slot_of)
-            rows, slot_rows = features(rank, target, bounds), slot_features(rank, target, bounds)
+            history = _history(rank, target, bounds)
+            rows, slot_rows, pairs = _class_rows(history), _slot_rows(history, target), history[2].astype(np.int32)
             several = np.flatnonzero(target > END_CLASS)
             for i in range(0, len(h), STEP):
                 y = target[i : i + STEP]
-                tables[0].step(rows[i : i + STEP], np.zeros(len(y), np.int32), y)
+                # The classes before decide the rows of the class and of the pair of classes before.
+                tables[0].step(rows[i : i + STEP], np.zeros(len(y), np.int32), y, (pairs[i : i + STEP], (1, 2)))
             for i in range(0, len(several), STEP):
                 k = several[i : i + STEP]
                 tables[1].step(slot_rows[k], target[k].astype(np.int32), slot[k])
@@ -464,6 +517,7 @@ def scored(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
         lookup, own = model.lookup(), _own_classes(model.h)
         log_count = np.log10(model.counts + 1.0)
         log_size = np.log10(model.slot_total + model.slot_different + 1.0)
+        rooms = [[np.empty((BATCH, width), np.float32) for _ in range(2)] for width in (CLASSES, SLOTS)]
         task = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part, data, at in slices(batch, "text"):
@@ -471,14 +525,15 @@ def scored(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
                 rank = lookup.find(h)
                 classes = _classes(rank, kind, own, model.class_of)
                 slot = _slots(rank, kind, classes, model.slot_of)
-                wanted, within = features(rank, classes, bounds), slot_features(rank, classes, bounds)
+                history = _history(rank, classes, bounds)
+                wanted, within = _class_rows(history), _slot_rows(history, classes)
                 chosen = np.empty(len(h))
                 for i in range(0, len(h), BATCH):
                     y = classes[i : i + BATCH]
-                    chosen[i : i + BATCH] = log_classes(model.weights, model.bias, wanted[i : i + BATCH])[0][np.arange(len(y)), y]
+                    chosen[i : i + BATCH] = _log_chosen(model.weights, model.bias, wanted[i : i + BATCH], y, rooms[0])
                     parted = i + np.flatnonzero(y > END_CLASS)
                     if len(parted):
-                        chosen[parted] += log_classes(model.slot_weights, model.slot_bias[classes[parted]], within[parted])[0][np.arange(len(parted)), slot[parted]]
+                        chosen[parted] += _log_chosen(model.slot_weights, model.slot_bias[classes[parted]], within[parted], slot[parted], rooms[1])
                 known = rank >= 0
                 counts = np.zeros(len(h))
                 counts[known] = log_count[rank[known]]

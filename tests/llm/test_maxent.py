@@ -130,3 +130,52 @@ def test_slots_of_a_class_add_up(spark):
     assert (model.slot_total >= 0).all() and model.slot_total.sum() == vocabulary.agg({"n": "sum"}).first()[0]
     single = model.slot_different[maxent.OWN + 1 :, : maxent.SINGLE]
     assert single.max() == 1 and (single == (model.slot_total[maxent.OWN + 1 :, : maxent.SINGLE] > 0)).all()
+
+
+def test_a_step_adds_up_the_gradients_of_each_row():
+    """Against one token at a time; pairs of classes share weight rows, as hashes may."""
+    r = np.random.default_rng(5)
+    n, rows, width = 300, 40, 6
+    pairs = r.integers(0, 25, n).astype(np.int32)
+    decided = r.integers(0, rows, (25, 2))
+    columns = np.stack([r.integers(0, rows, n), decided[pairs, 0], decided[pairs, 1]], axis=1).astype(np.int32)
+    weights, bias = r.normal(size=(rows, width)).astype(np.float32), r.normal(size=(1, width)).astype(np.float32)
+    weights[7] += 200  # scores beyond what exponentials hold
+    y, none = r.integers(0, width, n), np.zeros(n, np.int32)
+
+    s = weights.astype(float)[columns].sum(axis=1) + bias
+    p = np.exp(s - s.max(axis=1, keepdims=True))
+    g = p / p.sum(axis=1, keepdims=True)
+    g[np.arange(n), y] -= 1
+    wanted, state = weights.astype(float), np.full(rows, 1e-2)
+    for c in columns.T:
+        total = np.zeros((rows, width))
+        np.add.at(total, c, g / n)
+        state += (total**2).sum(axis=1)
+        wanted -= maxent.RATE * total / np.sqrt(state)[:, None]
+
+    for nested in (None, (pairs, (1, 2))):
+        steps = maxent._Steps(weights, bias, 1)
+        steps.step(columns, none, y, nested)
+        assert steps.weights == pytest.approx(wanted, abs=1e-4)
+        total = g.sum(axis=0) / n
+        assert steps.bias[0] == pytest.approx(bias[0] - maxent.RATE * total / np.sqrt(1e-2 + total**2), abs=1e-4)
+        assert steps.met.sum() == 3 * n and steps.bias_met.sum() == n
+
+
+def test_gradients_of_pairs_of_classes_are_added_up_once(spark, monkeypatch):
+    """A step walks over its tokens for the words before, and once for the classes before; not for each feature and bias."""
+    seen = []
+    sums = maxent._Steps._sums
+
+    def counting(self, g, flat, times=None):
+        seen.append((g.shape[1], len(flat)))
+        return sums(self, g, flat, times)
+
+    monkeypatch.setattr(maxent._Steps, "_sums", counting)
+    weights = np.zeros((64, maxent.CLASSES), np.float32)
+    r = np.random.default_rng(3)
+    pairs = r.integers(0, 9, 500).astype(np.int32)
+    rows = np.stack([r.integers(0, 64, 500), pairs % 3, pairs, r.integers(0, 64, 500), r.integers(0, 64, 500)], axis=1).astype(np.int32)
+    maxent._Steps(weights, weights[:1], 1).step(rows, np.zeros(500, np.int32), r.integers(0, maxent.CLASSES, 500), (pairs, (1, 2)))
+    assert sorted(n for _, n in seen) == [9, 9, 9, 500, 500, 500, 500]
