@@ -22,6 +22,8 @@ from tablelift.plans.spec import ROW_HASH
 STEP, MOST_LEAVES = 12, 1 << 16
 #: Rows of differing leaves that are compared without another level.
 SMALL = 1 << 20
+#: One of 2^LOOK key ranges is looked at first, to tell whether a level would find equal leaves at all.
+LOOK = 6
 
 _KEY, _LEAF = "__leaf_key", "__leaf"
 
@@ -82,8 +84,19 @@ def differing_leaves(source: DataFrame, target: DataFrame, keys: Sequence[str],
     return found
 
 
+def mostly_differ(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: str = ROW_HASH) -> bool:
+    """Whether most leaves of the first level differ, told from one of 2^LOOK key ranges; rows of the others are not hashed."""
+    ours, theirs = (df.where(_leaf(_hash(keys), LOOK) == 0) for df in (source, target))
+    return 2 * _level(ours, theirs, keys, hash_col, STEP).count() > 1 << (STEP - LOOK)
+
+
 def tree_diff(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: str = ROW_HASH, small: int = SMALL) -> DataFrame:
-    """The same as :func:`tablelift.operators.validate.diff`; rows of equal leaves are not shuffled."""
+    """The same as :func:`tablelift.operators.validate.diff`; rows of equal leaves are not shuffled.
+
+    Tables that differ nearly everywhere are compared row by row at once: a level would read and hash all rows for nothing.
+    """
+    if mostly_differ(source, target, keys, hash_col):
+        return diff(source, target, keys, hash_col)
     found = differing_leaves(source, target, keys, hash_col, small)
     if found is None:
         return diff(source, target, keys, hash_col)

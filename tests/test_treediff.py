@@ -50,3 +50,13 @@ def test_copies_that_change_in_pairs_are_seen(spark):
     assert _rows(tree_diff(a, b, ["k"])) == [(1, "changed", 2, 2)]
     none = a.limit(0)
     assert tree_diff(none, none, ["k"]).count() == 0 and tree_diff(a, none, ["k"]).count() == 2
+
+
+def test_tables_that_differ_everywhere_are_read_once(spark, monkeypatch):
+    source, _ = _tables(spark, 40_000)
+    other = source.withColumn("ROW_HASH", F.when(F.col("k") % 3 == 0, F.concat("ROW_HASH", F.lit("!"))).otherwise(F.col("ROW_HASH")))
+    levels = []
+    monkeypatch.setattr(treediff, "differing_leaves", lambda *a: levels.append(a))
+    assert _rows(tree_diff(source, other, ["k"])) == _rows(diff(source, other, ["k"]))
+    assert not levels and treediff.mostly_differ(source, other, ["k"])
+    assert not treediff.mostly_differ(source, source.where("k <> 7"), ["k"]) and not treediff.mostly_differ(source.limit(0), source.limit(0), ["k"])
