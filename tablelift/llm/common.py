@@ -8,7 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import suppress
+from functools import cache
 from pathlib import Path
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -64,10 +66,36 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A batch function whose worker, which goes on to tasks of other stages, keeps no memory of this one."""
+_Made = TypeVar("_Made", bound=Callable)
+_kept: list = []
+
+
+def kept_by_worker(make: _Made) -> _Made:
+    """What a worker makes once and keeps for later tasks, until a task comes that has no use for it; see ``tidy``."""
+    made = cache(make)
+    _kept.append(made)
+    return made
+
+
+def forget() -> None:
+    """Let a worker drop all that it keeps for later tasks."""
+    if any(made.cache_info().currsize for made in _kept):
+        for made in _kept:
+            made.cache_clear()
+        release_memory()
+
+
+def tidy(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: bool = False
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A batch function whose worker, which goes on to tasks of other stages, keeps no memory of this one.
+
+    Only with ``keeps`` does it find what earlier tasks left for it; else that goes first.
+    """
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         yield from run(batches)
         release_memory()
 

@@ -262,7 +262,7 @@ def _stars(docs: DataFrame, classes: DataFrame) -> DataFrame:
         shared.join(leaders, ["r", "minimum"]).where("cls <> x")
         .select(F.col("cls").alias("q"), "n", "sketch", "x", F.col("least.n").alias("m"), F.col("least.sketch").alias("other"), _salted(F.col("x"), F.col("cls"), F.col("size")).alias("block"))
     )
-    near = pairs.mapInArrow(_near, "q long, x long, block string")
+    near = pairs.mapInArrow(tidy(_near), "q long, x long, block string")
     once = near.groupBy("q", "x").agg(F.min("block").alias("block"))
     return _verify(docs, stored(once))
 
@@ -283,7 +283,7 @@ def _chains(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     own = grouped.select(F.col("cls").alias("q"), "n", "sketch")
     other = grouped.select(F.col("cls").alias("x"), F.col("n").alias("m"), F.col("sketch").alias("other"))
     near = pairs.join(own, "q").join(other, "x").withColumn("block", F.col("x").cast("string"))
-    return _verify(docs, stored(near.mapInArrow(_near, "q long, x long, block string")))
+    return _verify(docs, stored(near.mapInArrow(tidy(_near), "q long, x long, block string")))
 
 
 def _seen_once(batches, sets=100_000):
@@ -452,7 +452,7 @@ def _matrix(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray, int]) -> DataFra
 
     rows = docs.mapInArrow(tidy(prefixes), _ROWS)
     placed = rows.repartition(shuffle_tasks(spark), "token").sortWithinPartitions("token", "fa")
-    return placed.mapInArrow(shared_only, _ROWS)
+    return placed.mapInArrow(tidy(shared_only), _ROWS)
 
 
 def _overlap(n, m):

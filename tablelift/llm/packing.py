@@ -13,14 +13,13 @@ its own pieces. Null ids are kept. Other columns are ignored; an empty table giv
 from __future__ import annotations
 
 import zlib
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import share_code, stored, tidy
+from tablelift.llm.common import kept_by_worker, share_code, stored, tidy
 from tablelift.llm.pieces import WordIds, ids_below, library_ids, text_bounds
 from tablelift.llm.words import slices, spans
 
@@ -28,7 +27,7 @@ from tablelift.llm.words import slices, spans
 BUCKET_PIECES = 4096
 
 
-@cache
+@kept_by_worker
 def _worker(path: str) -> WordIds:
     return WordIds(library_ids(path), ids_below(path))
 
@@ -63,7 +62,7 @@ def pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int, id: str = "
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * with_ids
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(tidy(run), schema)
+    return rows.mapInArrow(tidy(run, keeps=True), schema)
 
 
 def plan(histogram: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:

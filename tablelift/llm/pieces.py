@@ -7,11 +7,11 @@ ids one after the other. Whether a tokenizer is of that kind is tried on probe t
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from tablelift.llm.common import kept_by_worker
 from tablelift.llm.words import LongTable, gather, span_hashes
 
 #: Bytes of a generation of remembered words; a worker holds two. Bounds its memory, not its results.
@@ -22,7 +22,7 @@ LOT = 1000
 _PROBES = ["a  b\tc\r\nd", "it's 12,5!! \n\n é  x", " Ab\x0b\x0cCd ", "<|endoftext|> <|endoftext|>x y"]
 
 
-@cache
+@kept_by_worker
 def load(path: str) -> Tokenizer:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()

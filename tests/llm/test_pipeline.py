@@ -1,6 +1,10 @@
+import public_tokenizers
+
 from __spark_entry__ import oracle_sql, queries
 from checks.compare import connect, differences
+from tablelift.llm import packing, pieces
 from tablelift.llm import pipeline as corpus_pipeline
+from tablelift.llm.common import tidy
 from tablelift.llm.queries import QUERIES, TWINS
 from tests.llm.conftest import prose
 from tests.llm.test_exact import _wanted
@@ -93,3 +97,13 @@ def test_filters_keep_columns_and_empty_tables(spark):
         docs = stage(spark, docs, SF)
         assert docs.columns == DOCUMENTS.replace(",", "").split()[::2] and docs.count() == 0
     assert corpus_pipeline.pack(spark, docs, SF).count() == 0
+
+
+def test_a_task_of_another_stage_drops_what_the_packer_keeps_in_its_worker():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packing._worker(path)
+    same = lambda batches: batches
+    assert list(tidy(same, keeps=True)(iter([]))) == []
+    assert packing._worker.cache_info().currsize == pieces.load.cache_info().currsize == 1
+    assert list(tidy(same)(iter([1]))) == [1]
+    assert packing._worker.cache_info().currsize == pieces.load.cache_info().currsize == 0
