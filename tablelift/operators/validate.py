@@ -23,6 +23,8 @@ NON_NULL, HASH_MISMATCHES = "NON_NULL", "HASH_MISMATCHES"
 # 2**102, which two 64-bit parts hold exactly; the parts are added apart.
 _BANDS = (-42, 8, 58, 108)
 _WIDTH, _HALF = 50, 2.0**40
+# Bits of the lower part of millionths.
+_MICROS_BITS = 26
 _BEYOND, _NAN, _INF, _NEGATIVE_INF = range(len(_BANDS), len(_BANDS) + 4)
 
 # Prefixes of the columns that sums of written and of source values are made of.
@@ -82,11 +84,14 @@ def _sum_of_parts(p: str) -> Column:
     numbers of its units, and what lies beyond all bands is counted: NaN, infinities, and the tiniest and hugest
     numbers with a total of their hashes. Nothing is rounded, and no value changes how the others are added.
     """
-    def total(part: str, k: int | None = None) -> Column:
-        own = F.col(f"{p}{part}") if k is None else F.when(F.col(f"{p}b") == k, F.col(f"{p}{part}"))
-        return F.try_sum(own.cast("decimal(20,0)"))
-
-    texts = [(total("m") / F.lit(1_000_000)).cast("decimal(38,6)").cast("string")]
+    def total(part: str, k: int) -> Column:
+        return F.try_sum(F.when(F.col(f"{p}b") == k, F.col(f"{p}{part}")).cast("decimal(20,0)"))
+
+    # Millionths are below 2**53: both parts add up as 64-bit numbers over 2**36 rows, much cheaper than decimals.
+    m, split = F.col(f"{p}m"), 1 << _MICROS_BITS
+    upper, lower = (F.try_sum(part).cast("decimal(20,0)") for part in (F.shiftright(m, _MICROS_BITS), m.bitwiseAND(F.lit(split - 1))))
+    micros = (upper * F.lit(split) + lower).cast("decimal(30,0)")
+    texts = [(micros / F.lit(1_000_000)).cast("decimal(38,6)").cast("string")]
     for k, low in enumerate(_BANDS):
         texts += [F.concat(total(part, k).cast("string"), F.lit(f" x 2^{unit}")) for part, unit in (("u", low - 12), ("l", low - 52))]
     for k, name in ((_BEYOND, "beyond"), (_NAN, "NaN"), (_INF, "Infinity"), (_NEGATIVE_INF, "-Infinity")):

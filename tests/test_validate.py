@@ -108,3 +108,14 @@ def test_diff_combines_hot_keys_before_the_shuffle(spark):
     assert diff(hot, hot.repartition(5), ["k"]).count() == 0
     plan = diff(hot, hot, ["k"])._jdf.queryExecution().sparkPlan().toString()
     assert "Join" not in plan and "partial_sum" in plan
+
+
+def test_millionths_add_up_without_decimals_for_each_row(spark):
+    values = [8999999999.999999, -8999999999.999999, 8999999999.999999, -0.000001, -67.108864, 67.108865, 0.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = validate(df, TableSpec.from_frame(df, "S", "T"))
+    want = sum((Decimal(repr(v)).quantize(Decimal("0.000001")) for v in values if v is not None), Decimal(0))
+    assert rows.where("metric = 'SUM'").first()["value"] == f"{want:f}"
+    none = df.where("x IS NULL")
+    assert validate(none, TableSpec.from_frame(none, "S", "T")).where("metric = 'SUM'").count() == 0
+    assert "shiftright" in rows._jdf.queryExecution().optimizedPlan().toString()
